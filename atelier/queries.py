@@ -8,6 +8,7 @@ them. Fractional measures are reported as exact-rounded doubles
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,6 +32,15 @@ from atelier.operators.star import order_rows
 from atelier.plans import mart as mart_plan
 from atelier.schemas import MART_BUSINESS_COLS
 from atelier.sources import fixtures as fx
+from atelier.operators import consolidate as cons
+from atelier.operators import upsert
+from atelier.operators.keys import assign_ids
+from atelier.plans import load
+from atelier.operators import delta as delta_ops
+from atelier.operators import diagnostics as diag
+from atelier.operators import quality
+from atelier.functions.measures import fee_rounded
+from atelier.schemas import MART, MART_NOT_NULL
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -84,5 +94,347 @@ def q_mart_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report_types(mart_plan.full_mart(fx.star_schema(spark, sf_dir)))
 
 
+# --- S1, J1-J3, X1, A12 ------------------------------------------------------
+def _sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return fx.source_tables(spark, sf_dir)
+
+
+def _stage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cons.consolidate_sources(_sources(spark, sf_dir))
+
+
+@register("src_wide")
+def q_src_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cons.scan_wide(_sources(spark, sf_dir)[cons.SOURCE1_WIDE])
+
+
+@register("src2_join")
+def q_src2_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    src = _sources(spark, sf_dir)
+    return cons.join_source2(src[cons.SOURCE2_MASTERS_PRODUCTS], src[cons.SOURCE2_ORDERS_CUSTOMERS])
+
+
+@register("src3_join")
+def q_src3_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    src = _sources(spark, sf_dir)
+    return cons.join_source3(
+        src[cons.SOURCE3_ORDERS], src[cons.SOURCE3_CRAFTSMEN], src[cons.SOURCE3_CUSTOMERS]
+    )
+
+
+@register("src_external_join")
+def q_src_external_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    src = _sources(spark, sf_dir)
+    return cons.join_external(src[cons.EXTERNAL_ORDERS], src[cons.EXTERNAL_CUSTOMERS])
+
+
+@register("stage_union_distinct")
+def q_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stage(spark, sf_dir)
+
+
+@register("dim_craftsman_distinct")
+def q_dim_craftsman(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cons.dimension_rows(_stage(spark, sf_dir), load.CRAFTSMAN_ATTRS)
+
+
+@register("dim_product_distinct")
+def q_dim_product(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cons.dimension_rows(_stage(spark, sf_dir), load.PRODUCT_ATTRS)
+
+
+@register("dim_customer_distinct")
+def q_dim_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cons.dimension_rows(_stage(spark, sf_dir), load.CUSTOMER_ATTRS)
+
+
+# --- M1-M5, K1, J4 -------------------------------------------------------------
+# A dimension row counts as loaded by an earlier run when its fixture load
+# date is on or before PRIOR_LOAD; the merge stamps AS_OF.
+PRIOR_LOAD = dt.date(1998, 1, 1)
+AS_OF = dt.date(2024, 1, 1)
+
+
+def _prior(df: DataFrame) -> DataFrame:
+    return df.filter(F.col("load_dttm") <= F.lit(PRIOR_LOAD))
+
+
+def _merge_dim(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    star = fx.star_schema(spark, sf_dir)
+    return load.merge_dimension(_prior(star[name]), _stage(spark, sf_dir), name, AS_OF)
+
+
+@register("merge_craftsman")
+def q_merge_craftsman(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _merge_dim(spark, sf_dir, "d_craftsman")
+
+
+@register("merge_product")
+def q_merge_product(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _merge_dim(spark, sf_dir, "d_product")
+
+
+@register("merge_customer")
+def q_merge_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _merge_dim(spark, sf_dir, "d_customer")
+
+
+@register("fact_key_lookup")
+def q_fact_key_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return load.fact_key_lookup(_stage(spark, sf_dir), fx.star_schema(spark, sf_dir))
+
+
+@register("merge_order")
+def q_merge_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders created before 1997 were loaded earlier, still in status 'created'."""
+    star = fx.star_schema(spark, sf_dir)
+    earlier = star["f_order"].filter(F.col("order_created_date") < F.lit(dt.date(1997, 1, 1)))
+    target = earlier.select(
+        "order_id",
+        "product_id",
+        "craftsman_id",
+        "customer_id",
+        "order_created_date",
+        F.lit(None).cast("date").alias("order_completion_date"),
+        F.lit("created").alias("order_status"),
+        "load_dttm",
+    )
+    return load.merge_orders(target, _stage(spark, sf_dir), star, AS_OF)
+
+
+@register("merge_conflicts")
+def q_merge_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Products keyed with the brand alone as description collide (M5)."""
+    brand = F.substring_index(F.col("product_description"), " ", 1).alias("product_description")
+    stage = _stage(spark, sf_dir)
+    source = stage.select("product_name", brand, "product_type", "product_price").distinct()
+    target = fx.star_schema(spark, sf_dir)["d_product"].select(
+        "product_name", brand, "product_price"
+    )
+    return upsert.merge_conflicts(target, source, ["product_name", "product_description", "product_price"])
+
+
+@register("surrogate_keys")
+def q_surrogate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = cons.dimension_rows(_stage(spark, sf_dir), load.CUSTOMER_ATTRS)
+    return assign_ids(
+        rows, ["customer_name", "customer_email", "customer_address", "customer_birthday"], "customer_id"
+    )
+
+
+# --- C4-C7, C13 ------------------------------------------------------------------
+WATERMARK = fx.FIXTURE_WATERMARK
+NOW = dt.datetime(2024, 1, 1)
+
+
+def _delta_inputs(spark: SparkSession, sf_dir: str):
+    star = fx.star_schema(spark, sf_dir)
+    return star, fx.existing_mart_keys(star["f_order"])
+
+
+def _delta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    star, keys = _delta_inputs(spark, sf_dir)
+    return delta_ops.delta_pruned(star, keys, WATERMARK)
+
+
+def watermark_log(star: dict[str, DataFrame]) -> DataFrame:
+    """A log of earlier monthly refreshes: the day after each order month ends."""
+    runs = star["f_order"].select(
+        F.add_months(F.trunc("order_created_date", "month"), 1).alias("load_dttm")
+    ).distinct()
+    return assign_ids(runs, ["load_dttm"], "id")
+
+
+@register("watermark_read")
+def q_watermark_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return delta_ops.watermark_frame(watermark_log(fx.star_schema(spark, sf_dir)))
+
+
+@register("delta_literal")
+def q_delta_literal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    star, keys = _delta_inputs(spark, sf_dir)
+    return delta_ops.delta_literal(star, keys, WATERMARK)
+
+
+@register("delta_pruned")
+def q_delta_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _delta(spark, sf_dir)
+
+
+@register("affected_customers")
+def q_affected_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return delta_ops.affected_customers(fx.star_schema(spark, sf_dir), WATERMARK)
+
+
+@register("existing_delta_customers")
+def q_existing_delta_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C7 as written: customer ids of delta rows already in the mart (row count kept)."""
+    _, existing = delta_ops.split_new_existing(_delta(spark, sf_dir))
+    return existing.groupBy("customer_id").agg(F.sum("mart_row_multiplicity").alias("delta_rows"))
+
+
+@register("delta_new_customers")
+def q_delta_new_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return delta_ops.split_new_existing(_delta(spark, sf_dir))[0]
+
+
+@register("delta_existing_customers")
+def q_delta_existing_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return delta_ops.split_new_existing(_delta(spark, sf_dir))[1]
+
+
+@register("watermark_advance_literal")
+def q_watermark_advance_literal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return delta_ops.advance_watermark_literal(_delta(spark, sf_dir), NOW)
+
+
+@register("watermark_advance")
+def q_watermark_advance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return delta_ops.advance_watermark(_delta(spark, sf_dir), WATERMARK)
+
+
+# --- C11 literal, U1 -----------------------------------------------------------
+@register("mart_insert_literal")
+def q_mart_insert_literal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mart_plan.literal_results(_delta(spark, sf_dir))[0]
+
+
+@register("mart_update_literal")
+def q_mart_update_literal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mart_plan.literal_results(_delta(spark, sf_dir))[1]
+
+
+def _old_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mart before the refresh: right values for the existing keys, ids in period order."""
+    star, keys = _delta_inputs(spark, sf_dir)
+    rows = mart_plan.intended_mart(star).join(keys, CUSTOMER_MONTH, "left_semi")
+    return mart_plan.with_mart_ids(rows)
+
+
+def _update_literal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    old = _old_mart(spark, sf_dir)
+    upd = mart_plan.literal_results(_delta(spark, sf_dir))[1]
+    return upsert.update_from(old, upd, ["customer_id"], MART_BUSINESS_COLS, pick_by=["report_period"])
+
+
+@register("update_from_literal")
+def q_update_from_literal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """U1 as written (keyed on customer only); the latest period's row is applied."""
+    return _update_literal(spark, sf_dir)
+
+
+@register("update_from_by_customer_month")
+def q_update_from_by_customer_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    old = _old_mart(spark, sf_dir)
+    upd = mart_plan.literal_results(_delta(spark, sf_dir))[1]
+    return upsert.update_from(old, upd, CUSTOMER_MONTH, MART_BUSINESS_COLS)
+
+
+# --- C12 incremental ---------------------------------------------------------------
+def previous_star(star: dict[str, DataFrame], watermark) -> dict[str, DataFrame]:
+    """The star schema before the changes after ``watermark``.
+
+    Dimension rows loaded after the watermark get their earlier values back
+    (price one lower, address marked old); facts are unchanged.
+    """
+    changed = F.col("load_dttm") > F.lit(watermark)
+    prev = dict(star)
+    prev["d_product"] = star["d_product"].withColumn(
+        "product_price", F.when(changed, F.col("product_price") - 1).otherwise(F.col("product_price"))
+    )
+    prev["d_customer"] = star["d_customer"].withColumn(
+        "customer_address",
+        F.when(changed, F.concat(F.lit("old-"), F.col("customer_address"))).otherwise(
+            F.col("customer_address")
+        ),
+    )
+    return prev
+
+
+@register("mart_incremental")
+def q_mart_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Full refresh of the earlier state, then an incremental refresh to now."""
+    star = fx.star_schema(spark, sf_dir)
+    before = mart_plan.full_mart(previous_star(star, WATERMARK))
+    after = mart_plan.incremental_mart(before, star, WATERMARK)
+    return report_types(after.select(*MART_BUSINESS_COLS))
+
+
+# --- A6 / A7 subsets -------------------------------------------------------------
+@register("status_counts")
+def q_status_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = q_customer_month_measures(spark, sf_dir)
+    return m.select(
+        *CUSTOMER_MONTH,
+        "total_order_count",
+        "count_order_created",
+        "count_order_in_progress",
+        "count_order_delivery",
+        "count_order_done",
+        "count_order_not_done",
+    )
+
+
+@register("median_completion_days")
+def q_median_completion_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return q_customer_month_measures(spark, sf_dir).select(
+        *CUSTOMER_MONTH, "median_time_order_completed"
+    )
+
+
+# --- C14-C17 -------------------------------------------------------------------------
+def _view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    star, keys = _delta_inputs(spark, sf_dir)
+    return diag.orders_view(star, keys)
+
+
+@register("diag_orders_view")
+def q_diag_orders_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _view(spark, sf_dir)
+
+
+@register("diag_duplicate_customers")
+def q_diag_duplicate_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return diag.duplicate_customers(_view(spark, sf_dir))
+
+
+@register("diag_craftsman_counts")
+def q_diag_craftsman_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return diag.craftsman_rows_per_customer(_view(spark, sf_dir))
+
+
+@register("diag_global_rank")
+def q_diag_global_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return diag.global_craftsman_rank(_delta(spark, sf_dir))
+
+
+# --- Q1-Q4 -----------------------------------------------------------------------------
+@register("quality_nulls")
+def q_quality_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mart = mart_plan.intended_mart(fx.star_schema(spark, sf_dir))
+    return quality.null_violations(mart, [c for c in MART_NOT_NULL if c != "id"])
+
+
+@register("quality_grain")
+def q_quality_grain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q4 on the mart after the literal customer-keyed update (D3 breaks the grain)."""
+    return quality.duplicate_keys(_update_literal(spark, sf_dir), CUSTOMER_MONTH)
+
+
+@register("quality_range")
+def q_quality_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q3: unconformed measures checked against the mart's declared types."""
+    raw = month_measures(_grain(spark, sf_dir), CUSTOMER_MONTH).select(
+        "customer_id",
+        F.col("spend").alias("customer_costs"),
+        fee_rounded("spend").alias("platform_money"),
+        F.col("n_orders").alias("total_order_count"),
+        F.col("median_days").alias("median_time_order_completed"),
+        F.col("n_created").alias("count_order_created"),
+        F.col("n_in_progress").alias("count_order_in_progress"),
+    )
+    return quality.range_violations(raw, MART)
+
+
 def all_queries() -> dict[str, Query]:
     return dict(REGISTRY)
