@@ -95,13 +95,9 @@ def run_load(spark: SparkSession, sources: dict[str, DataFrame], dwh_root: str,
     for name, (schema, id_col, *_rest) in DIMENSIONS.items():
         root = f"{dwh_root}/{name}"
         merged = merge_dimension(_read_or_empty(spark, root, schema), stage, name, as_of)
-        staged = write_stage(merged, scratch_dir(spark, name))
-        max_id = staged.agg({id_col: "max"}).first()[0]
-        versions[name] = commit_version(staged, root, schema, max_id=max_id)
+        versions[name] = commit_version(merged, root, schema, id_col=id_col)
         dims[name] = read_table(spark, root, schema)
     root = f"{dwh_root}/f_order"
     merged = merge_orders(_read_or_empty(spark, root, F_ORDER), stage, dims, as_of)
-    staged = write_stage(merged, scratch_dir(spark, "f_order"))
-    max_id = staged.agg({"order_id": "max"}).first()[0]
-    versions["f_order"] = commit_version(staged, root, F_ORDER, max_id=max_id)
+    versions["f_order"] = commit_version(merged, root, F_ORDER, id_col="order_id")
     return versions

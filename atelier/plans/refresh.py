@@ -16,14 +16,7 @@ from pyspark.sql import functions as F
 from atelier.operators.delta import DEFAULT_WATERMARK, read_watermark
 from atelier.plans.mart import full_mart, incremental_mart, stored_mart
 from atelier.schemas import D_CRAFTSMAN, D_CUSTOMER, D_PRODUCT, F_ORDER, MART, WATERMARK_LOG
-from atelier.session import scratch_dir
-from atelier.sources.tables import (
-    append_rows,
-    commit_version,
-    current_commit,
-    read_table,
-    write_stage,
-)
+from atelier.sources.tables import append_rows, commit_version, current_commit, read_table
 
 MART_TABLE = "customer_report_datamart"
 WATERMARK_TABLE = "load_dates_customer_report_datamart"
@@ -68,9 +61,7 @@ def refresh_mart(spark: SparkSession, dwh_root: str, mode: str = "incremental")
         new_mart = full_mart(star)
     else:
         new_mart = incremental_mart(read_table(spark, mart_root, MART), star, watermark)
-    staged = write_stage(stored_mart(new_mart), scratch_dir(spark, "mart"))
-    max_id = staged.agg(F.max("id").alias("m")).first()["m"] or 0
-    version = commit_version(staged, mart_root, MART, max_id=max_id)
+    version = commit_version(stored_mart(new_mart), mart_root, MART, id_col="id")
     next_wm = newest_load(star, watermark)
     log_id = (log_commit or {}).get("max_id") or 0
     row = spark.createDataFrame([(log_id + 1, next_wm)], WATERMARK_LOG)

@@ -72,10 +72,13 @@ def commit_version(
     mode: str = "overwrite",
     max_id: int | None = None,
     partition_by: list[str] | None = None,
+    id_col: str | None = None,
 ) -> int:
     """Write ``df`` (conformed to ``schema``) and commit it as the next version.
 
     ``mode='append'`` keeps the previous version's folders in the new version.
+    With ``id_col`` the largest id is read back from the written folder (one
+    column, pruned scan) and kept in the commit row for the next id range.
     """
     spark = df.sparkSession
     prev = current_commit(spark, root)
@@ -85,6 +88,11 @@ def commit_version(
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(folder)
+    if id_col is not None:
+        written = spark.read.schema(schema).parquet(folder)
+        new_max = written.agg(F.max(id_col).alias("m")).first()["m"]
+        prev_max = (prev or {}).get("max_id") if mode == "append" else None
+        max_id = max(v for v in (new_max, prev_max, 0) if v is not None)
     paths = [folder]
     if mode == "append" and prev is not None:
         paths = list(prev["paths"]) + [folder]
