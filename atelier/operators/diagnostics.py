@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from atelier.operators.delta import _star_join, _with_existing
 from atelier.operators.keys import assign_ids
+from atelier.operators.star import broadcast_if_small
 
 VIEW_COLS = [
     "customer_id",
@@ -78,6 +79,7 @@ def global_craftsman_rank(delta: DataFrame) -> DataFrame:
     ranked = assign_ids(
         levels, [F.col("craftsman_count").desc_nulls_last()], "rank_count_craftsman"
     )
-    return counts.join(ranked, "craftsman_count").select(
+    # Distinct counts are at most sqrt(2 * rows); broadcast only under the bound check.
+    return counts.join(broadcast_if_small(ranked), "craftsman_count").select(
         "customer_id", "craftsman_id", "craftsman_count", "rank_count_craftsman"
     )

@@ -12,10 +12,19 @@
 - two source rows for one matched target row is an error (M5), as in the
   reference; the check runs before anything is written.
 
-Built from joins: target LEFT JOIN source gives the kept and updated rows,
-source LEFT ANTI JOIN target the inserts. Both joins shuffle the same two
-inputs on the same keys, so Spark reuses the exchanges. Hot keys are split by
-AQE's skew-join handling; the conflict check pre-aggregates per key.
+Built from joins on the natural key, each with the big side on the left
+where AQE's skew handling can split a hot key:
+
+- conflicts: source keys counted with a partial (map-side) aggregate, then
+  semi-joined to the target;
+- updates: the source is first semi-joined to the target keys, so only
+  matching rows reach ``target LEFT JOIN source`` (a hot key with no target
+  row never lands in one task of the outer join);
+- inserts: ``source LEFT ANTI JOIN target``, then distributed surrogate ids
+  (``assign_ids``) after the current maximum id.
+
+Physical strategies are left to the planner: a side is broadcast only when
+its measured size is under the threshold, otherwise both are shuffled.
 """
 
 from __future__ import annotations
@@ -52,8 +61,13 @@ def merge_upsert(
     id_col: str,
     load_col: str = "load_dttm",
     check_conflicts: bool = True,
+    base_id: int | None = None,
 ) -> DataFrame:
-    """Return the target after the merge (same columns as ``target``)."""
+    """Return the target after the merge (same columns as ``target``).
+
+    ``base_id`` is the target's largest id (from its commit log); when not
+    given it is read from the target.
+    """
     if check_conflicts:
         sample = merge_conflicts(target, source, keys).limit(5).collect()
         if sample:
@@ -64,6 +78,14 @@ def merge_upsert(
     )
     stamp = F.lit(as_of).cast(target.schema[load_col].dataType)
 
+    # Only source rows whose key exists in the target can update anything.
+    # The semi join keeps the source on the left (where AQE can split a hot
+    # key), so a hot unmatched key never reaches the outer join's one task.
+    s = s.join(
+        target.select(*[F.col(k).alias(f"s_{k}") for k in keys]),
+        [f"s_{k}" for k in keys],
+        "left_semi",
+    )
     joined = target.join(s, _eq(target, s, keys, "s_"), "left")
     hit = F.col("_matched").isNotNull()
     updated = joined.select(
@@ -81,7 +103,9 @@ def merge_upsert(
         reduce(lambda a, b: a & b, [s_plain[k] == F.col(f"t_{k}") for k in keys]),
         "left_anti",
     )
-    base = target.agg(F.max(id_col).alias("m")).first()["m"] or 0
+    if base_id is None:
+        base_id = target.agg(F.max(id_col).alias("m")).first()["m"]
+    base = base_id or 0
     checkpoint_ready(target)
     inserted = assign_ids(
         new_rows.checkpoint(eager=True), keys + [c for c in src_cols if c not in keys], id_col, base

@@ -45,10 +45,14 @@ DIMENSIONS = {
 }
 
 
-def merge_dimension(target: DataFrame, stage: DataFrame, name: str, as_of) -> DataFrame:
+def merge_dimension(
+    target: DataFrame, stage: DataFrame, name: str, as_of, base_id: int | None = None
+) -> DataFrame:
     """M1-M3: MERGE one dimension from the distinct staging attributes."""
     _, id_col, attrs, key, set_cols = DIMENSIONS[name]
-    return merge_upsert(target, dimension_rows(stage, attrs), key, set_cols, as_of, id_col)
+    return merge_upsert(
+        target, dimension_rows(stage, attrs), key, set_cols, as_of, id_col, base_id=base_id
+    )
 
 
 def fact_key_lookup(stage: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
@@ -76,15 +80,25 @@ def fact_key_lookup(stage: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     )
 
 
-def merge_orders(f_order: DataFrame, stage: DataFrame, dims: dict[str, DataFrame], as_of) -> DataFrame:
+def merge_orders(
+    f_order: DataFrame,
+    stage: DataFrame,
+    dims: dict[str, DataFrame],
+    as_of,
+    base_id: int | None = None,
+) -> DataFrame:
     """M4: MERGE the orders resolved by ``fact_key_lookup``."""
-    return merge_upsert(f_order, fact_key_lookup(stage, dims), ORDER_KEY, ORDER_SET, as_of, "order_id")
+    return merge_upsert(
+        f_order, fact_key_lookup(stage, dims), ORDER_KEY, ORDER_SET, as_of, "order_id", base_id=base_id
+    )
 
 
-def _read_or_empty(spark: SparkSession, root: str, schema) -> DataFrame:
-    if current_commit(spark, root) is None:
-        return spark.createDataFrame([], schema)
-    return read_table(spark, root, schema)
+def _read_or_empty(spark: SparkSession, root: str, schema) -> tuple[DataFrame, int]:
+    """The table's current version and its largest id (0 for a new table)."""
+    commit = current_commit(spark, root)
+    if commit is None:
+        return spark.createDataFrame([], schema), 0
+    return spark.read.schema(schema).parquet(*commit["paths"]), commit["max_id"] or 0
 
 
 def run_load(spark: SparkSession, sources: dict[str, DataFrame], dwh_root: str, as_of) -> dict[str, int]:
@@ -94,10 +108,12 @@ def run_load(spark: SparkSession, sources: dict[str, DataFrame], dwh_root: str,
     dims: dict[str, DataFrame] = {}
     for name, (schema, id_col, *_rest) in DIMENSIONS.items():
         root = f"{dwh_root}/{name}"
-        merged = merge_dimension(_read_or_empty(spark, root, schema), stage, name, as_of)
+        target, base_id = _read_or_empty(spark, root, schema)
+        merged = merge_dimension(target, stage, name, as_of, base_id)
         versions[name] = commit_version(merged, root, schema, id_col=id_col)
         dims[name] = read_table(spark, root, schema)
     root = f"{dwh_root}/f_order"
-    merged = merge_orders(_read_or_empty(spark, root, F_ORDER), stage, dims, as_of)
+    target, base_id = _read_or_empty(spark, root, F_ORDER)
+    merged = merge_orders(target, stage, dims, as_of, base_id)
     versions["f_order"] = commit_version(merged, root, F_ORDER, id_col="order_id")
     return versions

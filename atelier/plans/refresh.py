@@ -13,7 +13,8 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from atelier.operators.delta import DEFAULT_WATERMARK, read_watermark
+from atelier.operators.delta import DEFAULT_WATERMARK, affected_with_load, read_watermark
+from atelier.session import checkpoint_root
 from atelier.plans.mart import full_mart, incremental_mart, stored_mart
 from atelier.schemas import D_CRAFTSMAN, D_CUSTOMER, D_PRODUCT, F_ORDER, MART, WATERMARK_LOG
 from atelier.sources.tables import append_rows, commit_version, current_commit, read_table
@@ -32,19 +33,28 @@ def read_star(spark: SparkSession, dwh_root: str) -> dict[str, DataFrame]:
     return {name: read_table(spark, f"{dwh_root}/{name}", schema) for name, schema in STAR_TABLES.items()}
 
 
-def newest_load(star: dict[str, DataFrame], watermark) -> object:
+def _as_timestamp(value) -> dt.datetime:
+    if isinstance(value, dt.datetime):
+        return value
+    return dt.datetime.combine(value, dt.time())
+
+
+def newest_load(star: dict[str, DataFrame], watermark, fact_newest=None) -> object:
     """C13 (intended): the newest load time across the fact and dimensions.
 
     Everything loaded after the watermark has been taken into account by the
     refresh that uses this value, so it becomes the next watermark. Returns
-    the old watermark when nothing newer exists (an empty delta, D10).
+    the old watermark when nothing newer exists (an empty delta, D10). When
+    the caller already knows the fact's newest load time (from the delta
+    pass), the fact is not scanned again.
     """
-    newest = None
-    for df in star.values():
-        value = df.agg(F.max(F.col("load_dttm").cast("timestamp")).alias("m")).first()["m"]
-        if value is not None and (newest is None or value > newest):
-            newest = value
-    wm_ts = watermark if isinstance(watermark, dt.datetime) else dt.datetime.combine(watermark, dt.time())
+    values = [fact_newest]
+    for name, df in star.items():
+        if name == "f_order" and fact_newest is not None:
+            continue
+        values.append(df.agg(F.max(F.col("load_dttm").cast("timestamp")).alias("m")).first()["m"])
+    wm_ts = _as_timestamp(watermark)
+    newest = max((v for v in values if v is not None), default=None)
     return wm_ts if newest is None or newest <= wm_ts else newest
 
 
@@ -52,17 +62,23 @@ def refresh_mart(spark: SparkSession, dwh_root: str, mode: str = "incremental")
     """Refresh the mart; ``mode`` is 'incremental' or 'full'."""
     mart_root = f"{dwh_root}/{MART_TABLE}"
     log_root = f"{dwh_root}/{WATERMARK_TABLE}"
+    checkpoint_root(spark)
     star = read_star(spark, dwh_root)
     log_commit = current_commit(spark, log_root)
     log = read_table(spark, log_root, WATERMARK_LOG) if log_commit else None
     watermark = read_watermark(log, DEFAULT_WATERMARK)
     mart_commit = current_commit(spark, mart_root)
+    fact_newest = None
     if mode == "full" or mart_commit is None:
         new_mart = full_mart(star)
     else:
-        new_mart = incremental_mart(read_table(spark, mart_root, MART), star, watermark)
+        affected = affected_with_load(star, watermark).checkpoint(eager=True)
+        fact_newest = affected.agg(F.max("max_load_dttm").alias("m")).first()["m"]
+        fact_newest = _as_timestamp(watermark) if fact_newest is None else fact_newest
+        prev = read_table(spark, mart_root, MART)
+        new_mart = incremental_mart(prev, star, watermark, affected, mart_commit["max_id"])
     version = commit_version(stored_mart(new_mart), mart_root, MART, id_col="id")
-    next_wm = newest_load(star, watermark)
+    next_wm = newest_load(star, watermark, fact_newest)
     log_id = (log_commit or {}).get("max_id") or 0
     row = spark.createDataFrame([(log_id + 1, next_wm)], WATERMARK_LOG)
     append_rows(spark, log_root, row, WATERMARK_LOG, max_id=log_id + 1)

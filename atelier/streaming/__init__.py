@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The reference has no streaming operator: no event-time watermark, window,
+session or state. Its "incremental" refresh is a batch job driven by a
+high-watermark log of load times (``atelier.plans.refresh``), where late data
+is simply whatever arrives with a newer ``load_dttm``, for any order month.
+Nothing here adds behaviour the reference does not have.
+"""
