@@ -191,18 +191,30 @@ def split_new_existing(delta: DataFrame) -> tuple[DataFrame, DataFrame]:
     return delta.filter(is_new), delta.filter(~is_new)
 
 
+def _wall_clock(value) -> Column:
+    """A datetime/date literal as a time-zone-free timestamp (TIMESTAMP_NTZ)."""
+    text = value.isoformat(sep=" ") if isinstance(value, dt.datetime) else f"{value} 00:00:00"
+    return F.lit(text).cast("timestamp_ntz")
+
+
+def _ntz(col: str) -> Column:
+    return F.max(col).cast("timestamp_ntz")
+
+
 def advance_watermark_literal(delta: DataFrame, now: dt.datetime) -> DataFrame:
     """C13 as written: GREATEST(COALESCE(MAX(dim load), NOW()) x3) over the delta.
 
     ``now`` stands in for ``NOW()`` so the result is reproducible. The fact's
     own load time is not included (D8) and an empty delta yields ``now`` (D10).
+    Load times are wall-clock values (TIMESTAMP_NTZ), independent of the
+    session time zone.
     """
-    now_c = F.lit(now)
+    now_c = _wall_clock(now)
     return delta.agg(
         F.greatest(
-            F.coalesce(F.max("craftsman_load_dttm").cast("timestamp"), now_c),
-            F.coalesce(F.max("customers_load_dttm").cast("timestamp"), now_c),
-            F.coalesce(F.max("products_load_dttm").cast("timestamp"), now_c),
+            F.coalesce(_ntz("craftsman_load_dttm"), now_c),
+            F.coalesce(_ntz("customers_load_dttm"), now_c),
+            F.coalesce(_ntz("products_load_dttm"), now_c),
         ).alias("load_dttm")
     )
 
@@ -213,11 +225,9 @@ def advance_watermark(delta: DataFrame, previous) -> DataFrame:
     An empty delta keeps the previous watermark instead of jumping to now.
     """
     newest = F.greatest(
-        F.max("craftsman_load_dttm").cast("timestamp"),
-        F.max("customers_load_dttm").cast("timestamp"),
-        F.max("products_load_dttm").cast("timestamp"),
-        F.max("order_load_dttm").cast("timestamp"),
-    )
-    return delta.agg(
-        F.coalesce(newest, F.lit(previous).cast("timestamp")).alias("load_dttm")
+        _ntz("craftsman_load_dttm"),
+        _ntz("customers_load_dttm"),
+        _ntz("products_load_dttm"),
+        _ntz("order_load_dttm"),
     )
+    return delta.agg(F.coalesce(newest, _wall_clock(previous)).alias("load_dttm"))
