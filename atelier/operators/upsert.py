@@ -34,7 +34,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from atelier.operators.keys import assign_ids
+from atelier.operators.keys import assign_ids_counted
 
 
 class MergeConflict(ValueError):
@@ -52,6 +52,22 @@ def _eq(left: DataFrame, right: DataFrame, keys: list[str], prefix: str) -> Colu
     return reduce(lambda a, b: a & b, [left[k] == right[f"{prefix}{k}"] for k in keys])
 
 
+def check_no_conflicts(target: DataFrame, source: DataFrame, keys: list[str]) -> None:
+    """Raise ``MergeConflict`` when M5 finds any key (one aggregate job)."""
+    stats = (
+        merge_conflicts(target, source, keys)
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.min(F.struct(*keys, "source_rows")).alias("example"),
+        )
+        .first()
+    )
+    if stats["n"]:
+        raise MergeConflict(
+            f"{stats['n']} keys with several source rows matching the target, e.g. {stats['example']}"
+        )
+
+
 def merge_upsert(
     target: DataFrame,
     source: DataFrame,
@@ -68,10 +84,25 @@ def merge_upsert(
     ``base_id`` is the target's largest id (from its commit log); when not
     given it is read from the target.
     """
+    return merge_upsert_counted(
+        target, source, keys, set_cols, as_of, id_col, load_col, check_conflicts, base_id
+    )[0]
+
+
+def merge_upsert_counted(
+    target: DataFrame,
+    source: DataFrame,
+    keys: list[str],
+    set_cols: list[str],
+    as_of,
+    id_col: str,
+    load_col: str = "load_dttm",
+    check_conflicts: bool = True,
+    base_id: int | None = None,
+) -> tuple[DataFrame, int]:
+    """``merge_upsert`` that also returns the largest id after the merge."""
     if check_conflicts:
-        sample = merge_conflicts(target, source, keys).limit(5).collect()
-        if sample:
-            raise MergeConflict(f"several source rows per matched key, e.g. {sample}")
+        check_no_conflicts(target, source, keys)
     src_cols = [c for c in source.columns if c in target.columns and c not in (id_col, load_col)]
     s = source.select(*[F.col(c).alias(f"s_{c}") for c in src_cols]).withColumn(
         "_matched", F.lit(True)
@@ -106,9 +137,8 @@ def merge_upsert(
     if base_id is None:
         base_id = target.agg(F.max(id_col).alias("m")).first()["m"]
     base = base_id or 0
-    checkpoint_ready(target)
-    inserted = assign_ids(
-        new_rows.checkpoint(eager=True), keys + [c for c in src_cols if c not in keys], id_col, base
+    inserted, max_id = assign_ids_counted(
+        new_rows, keys + [c for c in src_cols if c not in keys], id_col, base
     )
     inserted = inserted.select(
         *[
@@ -118,13 +148,7 @@ def merge_upsert(
             for c in target.columns
         ]
     )
-    return updated.unionByName(inserted)
-
-
-def checkpoint_ready(df: DataFrame) -> None:
-    from atelier.session import checkpoint_root
-
-    checkpoint_root(df.sparkSession)
+    return updated.unionByName(inserted), max_id
 
 
 def update_from(

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from atelier.operators.consolidate import consolidate_sources, dimension_rows
-from atelier.operators.upsert import merge_upsert
+from atelier.operators.upsert import merge_upsert, merge_upsert_counted
 from atelier.schemas import (
     CRAFTSMAN_KEY,
     CRAFTSMAN_SET,
@@ -49,8 +49,14 @@ def merge_dimension(
     target: DataFrame, stage: DataFrame, name: str, as_of, base_id: int | None = None
 ) -> DataFrame:
     """M1-M3: MERGE one dimension from the distinct staging attributes."""
+    return merge_dimension_counted(target, stage, name, as_of, base_id)[0]
+
+
+def merge_dimension_counted(
+    target: DataFrame, stage: DataFrame, name: str, as_of, base_id: int | None = None
+) -> tuple[DataFrame, int]:
     _, id_col, attrs, key, set_cols = DIMENSIONS[name]
-    return merge_upsert(
+    return merge_upsert_counted(
         target, dimension_rows(stage, attrs), key, set_cols, as_of, id_col, base_id=base_id
     )
 
@@ -109,11 +115,13 @@ def run_load(spark: SparkSession, sources: dict[str, DataFrame], dwh_root: str,
     for name, (schema, id_col, *_rest) in DIMENSIONS.items():
         root = f"{dwh_root}/{name}"
         target, base_id = _read_or_empty(spark, root, schema)
-        merged = merge_dimension(target, stage, name, as_of, base_id)
-        versions[name] = commit_version(merged, root, schema, id_col=id_col)
+        merged, max_id = merge_dimension_counted(target, stage, name, as_of, base_id)
+        versions[name] = commit_version(merged, root, schema, max_id=max_id)
         dims[name] = read_table(spark, root, schema)
     root = f"{dwh_root}/f_order"
     target, base_id = _read_or_empty(spark, root, F_ORDER)
-    merged = merge_orders(target, stage, dims, as_of, base_id)
-    versions["f_order"] = commit_version(merged, root, F_ORDER, id_col="order_id")
+    merged, max_id = merge_upsert_counted(
+        target, fact_key_lookup(stage, dims), ORDER_KEY, ORDER_SET, as_of, "order_id", base_id=base_id
+    )
+    versions["f_order"] = commit_version(merged, root, F_ORDER, max_id=max_id)
     return versions

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from atelier.functions.conform import conform
 from atelier.operators.delta import affected_customers
-from atelier.operators.keys import assign_ids
+from atelier.operators.keys import assign_ids_counted
 from atelier.operators.measures import (
     category_counts,
     craftsman_counts,
@@ -39,7 +39,7 @@ from atelier.operators.ranking import (
 )
 from atelier.operators.star import broadcast_if_small, customer_attributes, order_rows
 from atelier.schemas import MART, MART_BUSINESS_COLS
-from atelier.session import checkpoint_root
+from atelier.session import materialize
 
 CUSTOMER_MONTH = ["customer_id", "report_period"]
 MART_ID_ORDER = ["report_period", "customer_id"]
@@ -48,17 +48,16 @@ MART_ID_ORDER = ["report_period", "customer_id"]
 def intended_mart(star: dict[str, DataFrame], customers: DataFrame | None = None) -> DataFrame:
     """Mart business columns for all customers, or for ``customers`` only.
 
-    The level-1 grain is checkpointed (written once to the shared checkpoint
-    folder): the three rollups then read it instead of each scanning and
-    joining the fact again, and a lost executor re-reads it rather than
-    recomputing the fact join.
+    The level-1 grain is written once to the shared checkpoint folder: the
+    three rollups then read it instead of each scanning and joining the fact
+    again, and a lost executor re-reads it rather than recomputing the fact
+    join.
     """
     fo = star["f_order"]
     if customers is not None:
         fo = fo.join(customers.select("customer_id"), "customer_id", "left_semi")
     rows = order_rows(fo, star["d_craftsman"], star["d_product"])
-    checkpoint_root(fo.sparkSession)
-    grain = order_grain(rows).checkpoint(eager=True)
+    grain = materialize(order_grain(rows), "grain")
     measures = finish_measures(month_measures(grain, CUSTOMER_MONTH))
     top_craft = top_craftsman_one(craftsman_counts(grain))
     top_cat = top_category_by_count(category_counts(grain, CUSTOMER_MONTH), CUSTOMER_MONTH)
@@ -70,17 +69,24 @@ def intended_mart(star: dict[str, DataFrame], customers: DataFrame | None = None
     return out.select(*MART_BUSINESS_COLS)
 
 
+def with_mart_ids_counted(rows: DataFrame, base: int = 0) -> tuple[DataFrame, int]:
+    """Identity ids in report-period order (O1 folded into K1)."""
+    with_ids, max_id = assign_ids_counted(rows, MART_ID_ORDER, "id", base=base)
+    return with_ids.select("id", *MART_BUSINESS_COLS), max_id
+
+
 def with_mart_ids(rows: DataFrame, base: int = 0) -> DataFrame:
-    """Identity ids in report-period order (O1 folded into K1), lineage cut first."""
-    checkpoint_root(rows.sparkSession)
-    stable = rows.checkpoint(eager=True)
-    with_ids = assign_ids(stable, MART_ID_ORDER, "id", base=base)
-    return with_ids.select("id", *MART_BUSINESS_COLS)
+    return with_mart_ids_counted(rows, base)[0]
+
+
+def full_mart_counted(star: dict[str, DataFrame]) -> tuple[DataFrame, int]:
+    """Full refresh: every customer-month, ids 1..n, and n."""
+    return with_mart_ids_counted(intended_mart(star))
 
 
 def full_mart(star: dict[str, DataFrame]) -> DataFrame:
     """Full refresh: every customer-month, ids 1..n."""
-    return with_mart_ids(intended_mart(star))
+    return full_mart_counted(star)[0]
 
 
 def incremental_mart(
@@ -90,6 +96,17 @@ def incremental_mart(
     affected: DataFrame | None = None,
     base_id: int | None = None,
 ) -> DataFrame:
+    """``incremental_mart_counted`` without the largest id."""
+    return incremental_mart_counted(prev_mart, star, watermark, affected, base_id)[0]
+
+
+def incremental_mart_counted(
+    prev_mart: DataFrame,
+    star: dict[str, DataFrame],
+    watermark,
+    affected: DataFrame | None = None,
+    base_id: int | None = None,
+) -> tuple[DataFrame, int]:
     """Incremental refresh: replace every row of each affected customer.
 
     Rows of unaffected customers are kept as they are. Recomputed rows keep
@@ -98,25 +115,26 @@ def incremental_mart(
     log by the job). Equals ``full_mart`` on the business columns whenever
     ``prev_mart`` was right for the unaffected customers.
     """
-    spark = prev_mart.sparkSession
-    checkpoint_root(spark)
     if affected is None:
-        affected = affected_customers(star, watermark).checkpoint(eager=True)
+        affected = materialize(affected_customers(star, watermark), "affected")
     affected = broadcast_if_small(affected.select("customer_id"))
     recomputed = intended_mart(star, affected)
     kept = prev_mart.join(affected, "customer_id", "left_anti")
     old_ids = prev_mart.join(affected, "customer_id", "left_semi").select("id", *CUSTOMER_MONTH)
-    matched = recomputed.join(old_ids, CUSTOMER_MONTH, "left").checkpoint(eager=True)
+    matched = materialize(recomputed.join(old_ids, CUSTOMER_MONTH, "left"), "recomputed")
     if base_id is None:
         base_id = prev_mart.agg(F.max("id").alias("m")).first()["m"]
     base = base_id or 0
-    fresh = assign_ids(matched.filter(F.col("id").isNull()).drop("id"), MART_ID_ORDER, "id", base=base)
+    fresh, max_id = assign_ids_counted(
+        matched.filter(F.col("id").isNull()).drop("id"), MART_ID_ORDER, "id", base=base
+    )
     cols = ["id", *MART_BUSINESS_COLS]
-    return (
+    out = (
         kept.select(*cols)
         .unionByName(matched.filter(F.col("id").isNotNull()).select(*cols))
         .unionByName(fresh.select(*cols))
     )
+    return out, max_id
 
 
 def literal_results(delta: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from atelier.operators.delta import DEFAULT_WATERMARK, affected_with_load, read_watermark
-from atelier.session import checkpoint_root
-from atelier.plans.mart import full_mart, incremental_mart, stored_mart
+from atelier.session import checkpoint_root, materialize
+from atelier.plans.mart import full_mart_counted, incremental_mart_counted, stored_mart
 from atelier.schemas import D_CRAFTSMAN, D_CUSTOMER, D_PRODUCT, F_ORDER, MART, WATERMARK_LOG
 from atelier.sources.tables import append_rows, commit_version, current_commit, read_table
 
@@ -70,14 +70,16 @@ def refresh_mart(spark: SparkSession, dwh_root: str, mode: str = "incremental")
     mart_commit = current_commit(spark, mart_root)
     fact_newest = None
     if mode == "full" or mart_commit is None:
-        new_mart = full_mart(star)
+        new_mart, max_id = full_mart_counted(star)
     else:
-        affected = affected_with_load(star, watermark).checkpoint(eager=True)
+        affected = materialize(affected_with_load(star, watermark), "affected")
         fact_newest = affected.agg(F.max("max_load_dttm").alias("m")).first()["m"]
         fact_newest = _as_timestamp(watermark) if fact_newest is None else fact_newest
         prev = read_table(spark, mart_root, MART)
-        new_mart = incremental_mart(prev, star, watermark, affected, mart_commit["max_id"])
-    version = commit_version(stored_mart(new_mart), mart_root, MART, id_col="id")
+        new_mart, max_id = incremental_mart_counted(
+            prev, star, watermark, affected, mart_commit["max_id"]
+        )
+    version = commit_version(stored_mart(new_mart), mart_root, MART, max_id=max_id)
     next_wm = newest_load(star, watermark, fact_newest)
     log_id = (log_commit or {}).get("max_id") or 0
     row = spark.createDataFrame([(log_id + 1, next_wm)], WATERMARK_LOG)

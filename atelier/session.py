@@ -11,7 +11,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_session(
@@ -74,3 +74,17 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new, unique folder under the shared checkpoint root for written stages."""
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/atelier-{label}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df: DataFrame, label: str) -> DataFrame:
+    """Cut lineage: write ``df`` as a parquet table in the shared checkpoint
+    folder and read it back.
+
+    One job computes and writes the data (``Dataset.checkpoint`` on an
+    unpersisted frame computes it twice: once to count, once to write), and
+    the re-read gets column pruning and filter pushdown. A lost executor
+    re-reads the files instead of recomputing the lineage.
+    """
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

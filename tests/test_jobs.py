@@ -12,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from atelier.operators.upsert import MergeConflict
+from atelier.session import materialize
 
 from atelier.plans.load import run_load
 from atelier.plans.refresh import MART_TABLE, WATERMARK_TABLE, read_star, refresh_mart
@@ -54,7 +55,7 @@ def test_load_refresh_incremental_equals_full(spark, workdir):
             F.col("load_dttm")
         ),
     )
-    staged = changed.checkpoint(eager=True)
+    staged = materialize(changed, "changed-orders")
     commit_version(staged, f"{dwh}/f_order", F_ORDER, max_id=current_commit(spark, f"{dwh}/f_order")["max_id"])
 
     incr = refresh_mart(spark, dwh, mode="incremental")
@@ -88,7 +89,8 @@ def test_load_twice_adds_no_rows(spark, workdir):
         .drop("count"),
         ["product_id", "craftsman_id", "customer_id", "order_created_date"],
         "left_semi",
-    ).checkpoint(eager=True)
+    )
+    unique = materialize(unique, "unique-orders")
     sources = {name: unique for name in ["source1.craft_market_wide"]}
     sources.update(_empty_other_sources(spark, unique))
     dwh = f"{workdir}/dwh"
