@@ -9,6 +9,11 @@ Order of work, as in the reference script:
    committed as a new table version);
 3. resolve the staging rows to the new dimension ids by natural key (J4);
 4. merge the orders on (product, craftsman, customer, created date).
+
+The fact is laid out by created month. The created date is part of the
+order key, so a source row can only match orders of its own month: the merge
+reads only the months the source touches, and the commit rewrites only
+those months, keeping every other month's folder of the previous version.
 """
 
 from __future__ import annotations
@@ -31,8 +36,30 @@ from atelier.schemas import (
     PRODUCT_KEY,
     PRODUCT_SET,
 )
-from atelier.session import scratch_dir
-from atelier.sources.tables import commit_version, current_commit, read_table, write_stage
+from atelier.functions.dates import month_key
+from atelier.session import materialize, scratch_dir
+from atelier.sources.tables import (
+    commit_version,
+    current_commit,
+    partition_paths,
+    read_paths,
+    read_table,
+    write_stage,
+)
+
+ORDER_MONTH = "order_created_month"
+
+
+def order_partition():
+    """Folder layout of the fact: one folder per created month."""
+    return (ORDER_MONTH, month_key("order_created_date"))
+
+
+def commit_orders(df: DataFrame, root: str, max_id: int, months: list[str] | None = None) -> int:
+    """Commit an f_order version; with ``months`` only those months are replaced."""
+    return commit_version(
+        df, root, F_ORDER, max_id=max_id, partition=order_partition(), replace_partitions=months
+    )
 
 CRAFTSMAN_ATTRS = ["craftsman_name", "craftsman_address", "craftsman_birthday", "craftsman_email"]
 PRODUCT_ATTRS = ["product_name", "product_description", "product_type", "product_price"]
@@ -118,10 +145,18 @@ def run_load(spark: SparkSession, sources: dict[str, DataFrame], dwh_root: str,
         merged, max_id = merge_dimension_counted(target, stage, name, as_of, base_id)
         versions[name] = commit_version(merged, root, schema, max_id=max_id)
         dims[name] = read_table(spark, root, schema)
-    root = f"{dwh_root}/f_order"
-    target, base_id = _read_or_empty(spark, root, F_ORDER)
+    versions["f_order"] = load_orders(spark, stage, dims, f"{dwh_root}/f_order", as_of)
+    return versions
+
+
+def load_orders(spark: SparkSession, stage: DataFrame, dims: dict[str, DataFrame], root: str, as_of) -> int:
+    """M4 on the month-partitioned fact: read, merge and rewrite touched months only."""
+    lookup = materialize(fact_key_lookup(stage, dims), "order-lookup")
+    months = [r[0] for r in lookup.select(month_key("order_created_date")).distinct().collect()]
+    prev = current_commit(spark, root)
+    target = read_paths(spark, partition_paths(prev, ORDER_MONTH, months), F_ORDER)
+    base_id = (prev or {}).get("max_id") or 0
     merged, max_id = merge_upsert_counted(
-        target, fact_key_lookup(stage, dims), ORDER_KEY, ORDER_SET, as_of, "order_id", base_id=base_id
+        target, lookup, ORDER_KEY, ORDER_SET, as_of, "order_id", base_id=base_id
     )
-    versions["f_order"] = commit_version(merged, root, F_ORDER, max_id=max_id)
-    return versions
+    return commit_orders(merged, root, max_id, months)

@@ -7,7 +7,10 @@ A table lives under a root folder in shared storage:
 
 A commit row lists the data folders that make up the version. An overwrite
 lists only its new folder; an append lists the previous folders plus the new
-one, so appending never rewrites old files. Writers write their folder first
+one, so appending never rewrites old files. A partitioned table lists one
+folder per partition value (``<root>/data-<n>-<tag>/<col>=<value>``); a
+commit that replaces some partitions writes only those and keeps the
+previous version's folders for the others. Writers write their folder first
 and append the commit row last; a crash in between leaves an orphan folder
 that no reader sees. Readers resolve the newest committed version (one small
 aggregate over the log) and read exactly its folders, so a table can be
@@ -19,7 +22,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -55,7 +58,14 @@ def read_table(spark: SparkSession, root: str, schema: T.StructType) -> DataFram
     commit = current_commit(spark, root)
     if commit is None:
         raise FileNotFoundError(f"no committed version under {root}")
-    return spark.read.schema(schema).parquet(*commit["paths"])
+    return read_paths(spark, commit["paths"], schema)
+
+
+def read_paths(spark: SparkSession, paths: list[str], schema: T.StructType) -> DataFrame:
+    """Read the listed folders with ``schema``; no folders is an empty table."""
+    if not paths:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*paths)
 
 
 def _write_commit(spark: SparkSession, root: str, version: int, paths: list[str], max_id) -> None:
@@ -65,37 +75,75 @@ def _write_commit(spark: SparkSession, root: str, version: int, paths: list[str]
     )
 
 
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
+def partition_dir_value(value) -> str:
+    """How a partition value appears in its folder name."""
+    return NULL_PARTITION if value is None else str(value)
+
+
+def partition_value(path: str, column: str) -> str | None:
+    """The partition value a folder holds (``.../<column>=<value>``), else None."""
+    leaf = path.rstrip("/").rsplit("/", 1)[-1]
+    prefix = f"{column}="
+    return leaf[len(prefix):] if leaf.startswith(prefix) else None
+
+
+def partition_paths(commit: dict | None, column: str, values) -> list[str]:
+    """Folders of ``commit`` holding the given partition values."""
+    wanted = {partition_dir_value(v) for v in values}
+    return [p for p in (commit or {}).get("paths", []) if partition_value(p, column) in wanted]
+
+
 def commit_version(
     df: DataFrame,
     root: str,
     schema: T.StructType,
     mode: str = "overwrite",
     max_id: int | None = None,
-    partition_by: list[str] | None = None,
+    partition: tuple[str, Column] | None = None,
     id_col: str | None = None,
+    replace_partitions: list[str] | None = None,
 ) -> int:
     """Write ``df`` (conformed to ``schema``) and commit it as the next version.
 
     ``mode='append'`` keeps the previous version's folders in the new version.
     With ``id_col`` the largest id is read back from the written folder (one
     column, pruned scan) and kept in the commit row for the next id range.
+
+    ``partition=(name, expr)`` lays the files out by the derived column
+    ``name`` (not stored in the files; readers read the listed folders).
+    With ``replace_partitions`` only those partition values are replaced:
+    ``df`` holds their complete new content, and the previous version's
+    folders for every other value are kept as they are.
     """
     spark = df.sparkSession
     prev = current_commit(spark, root)
     version = 1 if prev is None else prev["version"] + 1
     folder = f"{root.rstrip('/')}/data-{version:08d}-{uuid.uuid4().hex[:8]}"
-    writer = conform(df, schema).write.mode("errorifexists")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(folder)
+    out = conform(df, schema)
+    if partition is not None:
+        name, expr = partition
+        out = out.withColumn(name, expr)
+        values = [r[0] for r in out.select(name).distinct().collect()]
+        out.write.mode("errorifexists").partitionBy(name).parquet(folder)
+        new_paths = [f"{folder}/{name}={partition_dir_value(v)}" for v in values]
+    else:
+        out.write.mode("errorifexists").parquet(folder)
+        new_paths = [folder]
     if id_col is not None:
-        written = spark.read.schema(schema).parquet(folder)
-        new_max = written.agg(F.max(id_col).alias("m")).first()["m"]
+        written = spark.read.schema(schema).parquet(*new_paths) if new_paths else None
+        new_max = written.agg(F.max(id_col).alias("m")).first()["m"] if written else None
         prev_max = (prev or {}).get("max_id") if mode == "append" else None
         max_id = max(v for v in (new_max, prev_max, 0) if v is not None)
-    paths = [folder]
+    paths = new_paths
     if mode == "append" and prev is not None:
-        paths = list(prev["paths"]) + [folder]
+        paths = list(prev["paths"]) + new_paths
+    elif replace_partitions is not None and prev is not None and partition is not None:
+        replaced = {partition_dir_value(v) for v in replace_partitions}
+        kept = [p for p in prev["paths"] if partition_value(p, partition[0]) not in replaced]
+        paths = kept + new_paths
     if max_id is None and prev is not None:
         max_id = prev["max_id"]
     _write_commit(spark, root, version, paths, max_id)

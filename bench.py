@@ -32,13 +32,12 @@ import time
 from pyspark.sql import functions as F
 
 from atelier.operators.upsert import MergeConflict
-from atelier.plans.load import run_load
+from atelier.plans.load import commit_orders, run_load
 from atelier.plans.refresh import read_star, refresh_mart
 from atelier.queries import all_queries
-from atelier.schemas import F_ORDER
 from atelier.session import get_session
 from atelier.sources import fixtures as fx
-from atelier.sources.tables import commit_version, current_commit
+from atelier.sources.tables import current_commit
 
 
 def _timed(fn):
@@ -73,7 +72,7 @@ def change_batch(spark, dwh: str, percent: int, stamp: dt.datetime) -> None:
         F.when(pick, F.lit(stamp)).otherwise(F.col("load_dttm")).alias("load_dttm"),
     )
     root = f"{dwh}/f_order"
-    commit_version(changed, root, F_ORDER, max_id=current_commit(spark, root)["max_id"])
+    commit_orders(changed, root, current_commit(spark, root)["max_id"])
 
 
 def main() -> None:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from atelier.operators.upsert import MergeConflict
 from atelier.session import materialize
 
-from atelier.plans.load import run_load
+from atelier.plans.load import commit_orders, run_load
 from atelier.plans.refresh import MART_TABLE, WATERMARK_TABLE, read_star, refresh_mart
 from atelier.schemas import F_ORDER, MART, MART_BUSINESS_COLS, WATERMARK_LOG
 from atelier.sources import fixtures as fx
@@ -56,7 +56,7 @@ def test_load_refresh_incremental_equals_full(spark, workdir):
         ),
     )
     staged = materialize(changed, "changed-orders")
-    commit_version(staged, f"{dwh}/f_order", F_ORDER, max_id=current_commit(spark, f"{dwh}/f_order")["max_id"])
+    commit_orders(staged, f"{dwh}/f_order", current_commit(spark, f"{dwh}/f_order")["max_id"])
 
     incr = refresh_mart(spark, dwh, mode="incremental")
     incremental = read_table(spark, f"{dwh}/{MART_TABLE}", MART)
@@ -115,3 +115,31 @@ def _empty_other_sources(spark, wide):
         "external_source.craft_products_orders": empty,
         "external_source.customers": empty,
     }
+
+
+def test_load_rewrites_only_touched_months(spark, workdir):
+    wide = fx.wide_orders(spark, SF_SMALL)
+    keys = ["product_id", "craftsman_id", "customer_id", "order_created_date"]
+    unique = wide.join(
+        wide.groupBy(*keys).count().filter("count = 1").drop("count"), keys, "left_semi"
+    )
+    unique = materialize(unique, "unique-orders")
+    dwh = f"{workdir}/dwh"
+    run_load(spark, {"source1.craft_market_wide": unique, **_empty_other_sources(spark, unique)}, dwh, T0)
+    before = current_commit(spark, f"{dwh}/f_order")
+    n_before = read_star(spark, dwh)["f_order"].count()
+
+    month = F.date_format("order_created_date", "yyyy-MM")
+    one_month = unique.filter(month == "1995-03").withColumn("order_status", F.lit("done"))
+    run_load(spark, {"source1.craft_market_wide": one_month, **_empty_other_sources(spark, unique)}, dwh, T1)
+    after = current_commit(spark, f"{dwh}/f_order")
+
+    changed = set(after["paths"]) - set(before["paths"])
+    assert [p.rsplit("=", 1)[-1] for p in changed] == ["1995-03"]
+    assert len(after["paths"]) == len(before["paths"])
+    fo = read_star(spark, dwh)["f_order"]
+    assert fo.count() == n_before
+    touched = fo.filter(F.date_format("order_created_date", "yyyy-MM") == "1995-03")
+    assert touched.filter(F.col("order_status") != "done").count() == 0
+    assert touched.filter(F.col("load_dttm") != F.lit(T1)).count() == 0
+    assert fo.filter(F.col("load_dttm") == F.lit(T1)).count() == one_month.count()
