@@ -18,6 +18,8 @@ those months, keeping every other month's folder of the previous version.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 
 from atelier.operators.consolidate import consolidate_sources, dimension_rows
@@ -134,17 +136,32 @@ def _read_or_empty(spark: SparkSession, root: str, schema) -> tuple[DataFrame, i
     return spark.read.schema(schema).parquet(*commit["paths"]), commit["max_id"] or 0
 
 
+def load_dimension(spark: SparkSession, stage: DataFrame, dwh_root: str, name: str, as_of) -> int:
+    """M1-M3 for one dimension: merge and commit a new version."""
+    schema = DIMENSIONS[name][0]
+    root = f"{dwh_root}/{name}"
+    target, base_id = _read_or_empty(spark, root, schema)
+    merged, max_id = merge_dimension_counted(target, stage, name, as_of, base_id)
+    return commit_version(merged, root, schema, max_id=max_id)
+
+
 def run_load(spark: SparkSession, sources: dict[str, DataFrame], dwh_root: str, as_of) -> dict[str, int]:
-    """Run the whole load; returns the committed version per table."""
+    """Run the whole load; returns the committed version per table.
+
+    The three dimension merges are independent, so they are submitted as
+    concurrent Spark jobs from three driver threads; the order merge waits
+    for all of them (it resolves keys against the new dimension versions).
+    """
     stage = write_stage(consolidate_sources(sources), scratch_dir(spark, "tmp-sources"))
-    versions: dict[str, int] = {}
-    dims: dict[str, DataFrame] = {}
-    for name, (schema, id_col, *_rest) in DIMENSIONS.items():
-        root = f"{dwh_root}/{name}"
-        target, base_id = _read_or_empty(spark, root, schema)
-        merged, max_id = merge_dimension_counted(target, stage, name, as_of, base_id)
-        versions[name] = commit_version(merged, root, schema, max_id=max_id)
-        dims[name] = read_table(spark, root, schema)
+    with ThreadPoolExecutor(max_workers=len(DIMENSIONS)) as pool:
+        futures = {
+            name: pool.submit(load_dimension, spark, stage, dwh_root, name, as_of)
+            for name in DIMENSIONS
+        }
+        versions = {name: f.result() for name, f in futures.items()}
+    dims = {
+        name: read_table(spark, f"{dwh_root}/{name}", DIMENSIONS[name][0]) for name in DIMENSIONS
+    }
     versions["f_order"] = load_orders(spark, stage, dims, f"{dwh_root}/f_order", as_of)
     return versions
 

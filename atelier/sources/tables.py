@@ -125,7 +125,10 @@ def commit_version(
     out = conform(df, schema)
     if partition is not None:
         name, expr = partition
-        out = out.withColumn(name, expr)
+        # REBALANCE lets AQE pack small partition values into one file and
+        # split a large one into advisory-size files (no small-file explosion
+        # of one file per task and value, no single huge file per value).
+        out = out.withColumn(name, expr).hint("rebalance", name)
         values = [r[0] for r in out.select(name).distinct().collect()]
         out.write.mode("errorifexists").partitionBy(name).parquet(folder)
         new_paths = [f"{folder}/{name}={partition_dir_value(v)}" for v in values]
