@@ -84,4 +84,11 @@ def refresh_mart(spark: SparkSession, dwh_root: str, mode: str = "incremental")
     log_id = (log_commit or {}).get("max_id") or 0
     row = spark.createDataFrame([(log_id + 1, next_wm)], WATERMARK_LOG)
     append_rows(spark, log_root, row, WATERMARK_LOG, max_id=log_id + 1)
-    return {"mart_version": version, "watermark": next_wm, "previous_watermark": watermark}
+    # P10: the reference ends with SELECT 'increment datamart'.
+    return {
+        "status": "increment datamart",
+        "mode": "full" if mode == "full" or mart_commit is None else "incremental",
+        "mart_version": version,
+        "watermark": next_wm,
+        "previous_watermark": watermark,
+    }

@@ -15,6 +15,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from atelier.functions.conform import report_types
+from atelier.functions.measures import fee_rounded
+from atelier.operators import consolidate as cons
+from atelier.operators import delta as delta_ops
+from atelier.operators import diagnostics as diag
+from atelier.operators import quality, upsert
+from atelier.operators.keys import assign_ids
 from atelier.operators.measures import (
     category_counts,
     craftsman_counts,
@@ -29,18 +35,10 @@ from atelier.operators.ranking import (
     top_craftsman_ties,
 )
 from atelier.operators.star import order_rows
+from atelier.plans import load
 from atelier.plans import mart as mart_plan
-from atelier.schemas import MART_BUSINESS_COLS
+from atelier.schemas import MART, MART_BUSINESS_COLS, MART_NOT_NULL
 from atelier.sources import fixtures as fx
-from atelier.operators import consolidate as cons
-from atelier.operators import upsert
-from atelier.operators.keys import assign_ids
-from atelier.plans import load
-from atelier.operators import delta as delta_ops
-from atelier.operators import diagnostics as diag
-from atelier.operators import quality
-from atelier.functions.measures import fee_rounded
-from atelier.schemas import MART, MART_NOT_NULL
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
