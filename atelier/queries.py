@@ -419,6 +419,14 @@ def q_quality_grain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.duplicate_keys(_update_literal(spark, sf_dir), CUSTOMER_MONTH)
 
 
+@register("quality_unique_keys")
+def q_quality_unique_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q2: natural keys held by several product rows when the description is the brand alone."""
+    brand = F.substring_index(F.col("product_description"), " ", 1).alias("product_description")
+    products = fx.star_schema(spark, sf_dir)["d_product"].select("product_name", brand, "product_price")
+    return quality.duplicate_keys(products, ["product_name", "product_description", "product_price"])
+
+
 @register("quality_range")
 def q_quality_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q3: unconformed measures checked against the mart's declared types."""
