@@ -17,12 +17,13 @@ only the flagged orders go through the full star join.
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from atelier.functions.dates import day_diff, month_key
-from atelier.operators.star import broadcast_if_small
+from atelier.operators.star import BROADCAST_MAX_KEYS
 
 # Fixed value: the watermark used when the log is empty.
 DEFAULT_WATERMARK = dt.date(1900, 1, 1)
@@ -127,18 +128,27 @@ def _with_existing(rows: DataFrame, mart_keys: DataFrame) -> DataFrame:
     )
 
 
+DIM_KEYS = {"craftsman_id": "d_craftsman", "product_id": "d_product", "customer_id": "d_customer"}
+
+
 def changed_keys(star: dict[str, DataFrame], watermark) -> dict[str, DataFrame]:
-    """Keys of dimension rows loaded after the watermark, size-guarded for broadcast."""
+    """Keys of dimension rows loaded after the watermark, size-guarded for broadcast.
+
+    The three sets are counted in one job; each is broadcast only when its
+    count is within ``BROADCAST_MAX_KEYS``, otherwise it is shuffle-joined.
+    """
+    sets = {
+        key: star[table].filter(_after("load_dttm", watermark)).select(key)
+        for key, table in DIM_KEYS.items()
+    }
+    counts = reduce(
+        DataFrame.unionByName,
+        [df.agg(F.lit(key).alias("key"), F.count(F.lit(1)).alias("n")) for key, df in sets.items()],
+    )
+    sizes = {r["key"]: r["n"] for r in counts.collect()}
     return {
-        "craftsman_id": broadcast_if_small(
-            star["d_craftsman"].filter(_after("load_dttm", watermark)).select("craftsman_id")
-        ),
-        "product_id": broadcast_if_small(
-            star["d_product"].filter(_after("load_dttm", watermark)).select("product_id")
-        ),
-        "customer_id": broadcast_if_small(
-            star["d_customer"].filter(_after("load_dttm", watermark)).select("customer_id")
-        ),
+        key: F.broadcast(df) if sizes[key] <= BROADCAST_MAX_KEYS else df
+        for key, df in sets.items()
     }
 
 

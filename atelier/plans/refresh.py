@@ -9,6 +9,8 @@ next time, and the refresh is idempotent (it replaces whole customers).
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,7 +32,16 @@ STAR_TABLES = {
 
 
 def read_star(spark: SparkSession, dwh_root: str) -> dict[str, DataFrame]:
-    return {name: read_table(spark, f"{dwh_root}/{name}", schema) for name, schema in STAR_TABLES.items()}
+    """The four star tables at their newest committed versions.
+
+    The four commit-log lookups are small independent jobs, run concurrently.
+    """
+    with ThreadPoolExecutor(max_workers=len(STAR_TABLES)) as pool:
+        futures = {
+            name: pool.submit(read_table, spark, f"{dwh_root}/{name}", schema)
+            for name, schema in STAR_TABLES.items()
+        }
+        return {name: f.result() for name, f in futures.items()}
 
 
 def _as_timestamp(value) -> dt.datetime:
@@ -48,11 +59,12 @@ def newest_load(star: dict[str, DataFrame], watermark, fact_newest=None) -> obje
     the caller already knows the fact's newest load time (from the delta
     pass), the fact is not scanned again.
     """
-    values = [fact_newest]
-    for name, df in star.items():
-        if name == "f_order" and fact_newest is not None:
-            continue
-        values.append(df.agg(F.max(F.col("load_dttm").cast("timestamp")).alias("m")).first()["m"])
+    tables = [df for name, df in star.items() if not (name == "f_order" and fact_newest is not None)]
+    maxima = reduce(
+        DataFrame.unionByName,
+        [df.agg(F.max(F.col("load_dttm").cast("timestamp")).alias("m")) for df in tables],
+    )
+    values = [fact_newest, *(r["m"] for r in maxima.collect())]
     wm_ts = _as_timestamp(watermark)
     newest = max((v for v in values if v is not None), default=None)
     return wm_ts if newest is None or newest <= wm_ts else newest
