@@ -68,3 +68,20 @@ def test_surrogate_keys_use_range_partitioning_not_one_task(plans):
     assert "FileScan parquet" in plan and "_pos" in plan
     assert "Window [" not in plan
     assert "SinglePartition" not in plan
+
+
+def test_broadcast_only_under_checked_size(spark):
+    from atelier.operators.star import broadcast_if_small
+
+    facts = spark.range(0, 1000).withColumnRenamed("id", "k")
+    keys = spark.range(0, 10).withColumnRenamed("id", "k")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # no automatic broadcast
+    try:
+        small = facts.join(broadcast_if_small(keys, max_rows=10), "k", "left_semi")
+        large = facts.join(broadcast_if_small(keys, max_rows=9), "k", "left_semi")
+        assert small.count() == large.count() == 10
+        assert "BroadcastHashJoin" in executed(small)
+        assert "BroadcastHashJoin" not in executed(large)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
