@@ -43,3 +43,20 @@ def test_entry_runs_on_sf0001(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert "id" in df.columns and "report_period" in df.columns
+
+
+def test_done_plus_not_done_is_total_without_null_status(spark):
+    from pyspark.sql import functions as F
+
+    m = E.queries()["customer_month_measures"](spark, "/root/testdata/sf0.001")
+    bad = m.filter(
+        F.col("count_order_done") + F.col("count_order_not_done") != F.col("total_order_count")
+    ).count()
+    assert bad == 0
+    parts = (
+        F.col("count_order_created")
+        + F.col("count_order_in_progress")
+        + F.col("count_order_delivery")
+        + F.col("count_order_done")
+    )
+    assert m.filter(parts != F.col("total_order_count")).count() == 0

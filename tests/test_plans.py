@@ -85,3 +85,18 @@ def test_broadcast_only_under_checked_size(spark):
         assert "BroadcastHashJoin" not in executed(large)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_pruned_delta_scans_the_fact_once(spark, workdir):
+    from atelier.operators.delta import delta_pruned
+    from atelier.sources import fixtures as fx
+
+    star = {}
+    for name, df in fx.star_schema(spark, SF_SMALL).items():
+        df.write.parquet(f"{workdir}/{name}")
+        star[name] = spark.read.parquet(f"{workdir}/{name}")
+    fx.existing_mart_keys(star["f_order"]).write.parquet(f"{workdir}/mart_keys")
+    keys = spark.read.parquet(f"{workdir}/mart_keys")
+    plan = executed(delta_pruned(star, keys, fx.FIXTURE_WATERMARK))
+    final = plan.split("== Initial Plan ==")[0]
+    assert final.count(f"{workdir}/f_order") == 1
