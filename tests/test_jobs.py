@@ -143,3 +143,28 @@ def test_load_rewrites_only_touched_months(spark, workdir):
     assert touched.filter(F.col("order_status") != "done").count() == 0
     assert touched.filter(F.col("load_dttm") != F.lit(T1)).count() == 0
     assert fo.filter(F.col("load_dttm") == F.lit(T1)).count() == one_month.count()
+
+
+def test_incremental_refresh_rewrites_only_touched_buckets(spark, workdir):
+    from atelier.plans.refresh import MART_BUCKET
+    from atelier.sources.tables import partition_value
+
+    dwh = f"{workdir}/dwh"
+    run_load(spark, fx.source_tables(spark, SF_SMALL), dwh, T0)
+    refresh_mart(spark, dwh, mode="full")
+    before = current_commit(spark, f"{dwh}/{MART_TABLE}")
+    full_rows = _business(read_table(spark, f"{dwh}/{MART_TABLE}", MART))
+
+    # One customer's orders change after the watermark.
+    fo = read_star(spark, dwh)["f_order"]
+    one = fo.select(F.min("customer_id")).first()[0]
+    hit = F.col("customer_id") == one
+    changed = fo.withColumn("load_dttm", F.when(hit, F.lit(dt.datetime(2024, 5, 1))).otherwise(F.col("load_dttm")))
+    commit_orders(materialize(changed, "one-customer"), f"{dwh}/f_order", current_commit(spark, f"{dwh}/f_order")["max_id"])
+    refresh_mart(spark, dwh, mode="incremental")
+    after = current_commit(spark, f"{dwh}/{MART_TABLE}")
+
+    new_paths = set(after["paths"]) - set(before["paths"])
+    assert len({partition_value(p, MART_BUCKET) for p in new_paths}) == 1
+    assert len(after["paths"]) == len(before["paths"])
+    assert _business(read_table(spark, f"{dwh}/{MART_TABLE}", MART)) == full_rows
