@@ -33,14 +33,20 @@ from atelier.sources.tables import (
 
 MART_TABLE = "customer_report_datamart"
 # The mart is laid out by customer bucket so that an incremental refresh
-# rewrites only the buckets of affected customers. Fixed for a table's
-# lifetime; pick it so a bucket is a few hundred MB at the target size.
-MART_BUCKETS = 64
-MART_BUCKET = "customer_bucket"
+# rewrites only the buckets of affected customers. Set the count with the
+# session setting below so a bucket is a few hundred MB at the target size.
+# The count is part of the folder name: a version written with another count
+# is never mixed with the new layout (the next refresh rewrites it whole).
+MART_BUCKETS_CONF = "spark.atelier.mart.buckets"
+DEFAULT_MART_BUCKETS = 16
 
 
-def mart_partition():
-    return (MART_BUCKET, F.pmod(F.xxhash64("customer_id"), F.lit(MART_BUCKETS)))
+def mart_buckets(spark: SparkSession) -> int:
+    return int(spark.conf.get(MART_BUCKETS_CONF, str(DEFAULT_MART_BUCKETS)))
+
+
+def mart_partition(buckets: int):
+    return (f"customer_bucket_{buckets}", F.pmod(F.xxhash64("customer_id"), F.lit(buckets)))
 WATERMARK_TABLE = "load_dates_customer_report_datamart"
 STAR_TABLES = {
     "d_craftsman": D_CRAFTSMAN,
@@ -101,19 +107,20 @@ def refresh_mart(spark: SparkSession, dwh_root: str, mode: str = "incremental")
     mart_commit = current_commit(spark, mart_root)
     fact_newest = None
     replaced = None
+    bucket_col, bucket_expr = layout = mart_partition(mart_buckets(spark))
     if mode == "full" or mart_commit is None:
         new_mart, max_id = full_mart_counted(star)
     else:
         affected = materialize(affected_with_load(star, watermark), "affected")
         stats = affected.agg(
             F.max("max_load_dttm").alias("m"),
-            F.collect_set(mart_partition()[1]).alias("buckets"),  # at most MART_BUCKETS values
+            F.collect_set(bucket_expr).alias("buckets"),  # at most one value per bucket
         ).first()
         fact_newest = _as_timestamp(watermark) if stats["m"] is None else stats["m"]
-        bucketed = all(partition_value(p, MART_BUCKET) is not None for p in mart_commit["paths"])
+        bucketed = all(partition_value(p, bucket_col) is not None for p in mart_commit["paths"])
         if bucketed:
             replaced = list(stats["buckets"])
-            prev = read_paths(spark, partition_paths(mart_commit, MART_BUCKET, replaced), MART)
+            prev = read_paths(spark, partition_paths(mart_commit, bucket_col, replaced), MART)
         else:  # a version written without buckets is rewritten whole once
             prev = read_table(spark, mart_root, MART)
         new_mart, max_id = incremental_mart_counted(
@@ -124,7 +131,7 @@ def refresh_mart(spark: SparkSession, dwh_root: str, mode: str = "incremental")
         mart_root,
         MART,
         max_id=max_id,
-        partition=mart_partition(),
+        partition=layout,
         replace_partitions=replaced,
     )
     next_wm = newest_load(star, watermark, fact_newest)

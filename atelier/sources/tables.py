@@ -96,6 +96,20 @@ def partition_paths(commit: dict | None, column: str, values) -> list[str]:
     return [p for p in (commit or {}).get("paths", []) if partition_value(p, column) in wanted]
 
 
+def _written_partition_values(spark: SparkSession, folder: str, name: str) -> list:
+    """Partition values present in a freshly written folder.
+
+    Read back from the folder layout (footers only), so the DataFrame that
+    was written is not computed a second time. Bounded by the number of
+    partition values.
+    """
+    try:
+        written = spark.read.option("basePath", folder).parquet(folder)
+    except Exception:  # nothing was written (an empty frame)
+        return []
+    return [r[0] for r in written.select(F.col(name).cast("string")).distinct().collect()]
+
+
 def commit_version(
     df: DataFrame,
     root: str,
@@ -129,8 +143,8 @@ def commit_version(
         # split a large one into advisory-size files (no small-file explosion
         # of one file per task and value, no single huge file per value).
         out = out.withColumn(name, expr).hint("rebalance", name)
-        values = [r[0] for r in out.select(name).distinct().collect()]
         out.write.mode("errorifexists").partitionBy(name).parquet(folder)
+        values = _written_partition_values(spark, folder, name)
         new_paths = [f"{folder}/{name}={partition_dir_value(v)}" for v in values]
     else:
         out.write.mode("errorifexists").parquet(folder)
