@@ -10,7 +10,7 @@ Finding links takes these steps, none of which loses one:
    all other classes together can't link. Tasks send 32 bits of each shingle
    to the bucket that the other bits name, packed by document; a shingle that
    several classes of one batch have is settled there and sent once, so a
-   very common shingle stays small. Buckets return counts per class.
+   very common shingle stays small. Buckets return counts per class, packed.
 2. *Blocks.* Only the survivors' sets move. Their shingles have a global order,
    rare ones first, by counts over all survivors in a table of fixed size.
    Linked sets share a shingle among the first ones of each, so the connected
@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 from atelier.llm.bitmap import BitMap, bits_for, collect_bits
 from atelier.llm.components import components
 from atelier.llm.staging import staged, with_types
-from atelier.llm.textbytes import LOWER, ByteHash, mix64, text_slices, words_of
+from atelier.llm.textbytes import LOWER, ByteHash, mix64, pack_lists, text_slices, words_of
 
 WORDS = 5
 PERCENT = 75
@@ -190,8 +190,8 @@ def _sent(held: dict[bytes, np.ndarray], buckets: int) -> pa.RecordBatch:
     return _packet_batch(list(shingle_packets(keys, list(held.values()), buckets)))
 
 
-def count_shared(packets: pa.Table) -> pa.Table:
-    """One bucket: how many of its shingles each class shares with another class."""
+def count_shared(packets: pa.Table, cells: int) -> pa.Table:
+    """One bucket: how many of its shingles each class shares with another class, packed by cell of the key."""
     columns = {c: [np.frombuffer(x, k) for x in packets.column(c).to_pylist()] for c, k in (
         ("keys", "<u8"), ("listed", "<u4"), ("known", "<u4"), ("shingles", "<u4"), ("witnesses", "<u4"))}
     keys, listed, known = (np.concatenate(columns[c]) for c in ("keys", "listed", "known"))
@@ -212,7 +212,25 @@ def count_shared(packets: pa.Table) -> pa.Table:
         ends = np.cumsum(listed.astype(np.int64))
         out += sums[ends] - sums[ends - listed]
     some = out > 0
-    return pa.table({"short": pa.array(keys[some].view(np.int64)), "shared": pa.array(out[some])})
+    keys, out = keys[some], out[some]
+    cell = (keys >> np.uint64(32)) * np.uint64(cells) >> np.uint64(32)
+    order = np.argsort(cell, kind="stable")
+    edges = np.searchsorted(cell[order], np.arange(cells + 1, dtype=np.uint64))
+    rows = [(c, order[edges[c]:edges[c + 1]]) for c in range(cells) if edges[c] < edges[c + 1]]
+    return pa.table({
+        "cell": pa.array([c for c, _ in rows], pa.int32()),
+        "keys": pack_lists([keys[at] for _, at in rows], "<u8"),
+        "counts": pack_lists([out[at] for _, at in rows], "<u4"),
+    })
+
+
+def sum_shared(cell: pa.Table) -> pa.Table:
+    """One cell: the counts of each class over all buckets."""
+    keys = np.concatenate([np.frombuffer(x, "<u8") for x in cell.column("keys").to_pylist()])
+    counts = np.concatenate([np.frombuffer(x, "<u4") for x in cell.column("counts").to_pylist()])
+    found, at = np.unique(keys, return_inverse=True)
+    total = np.bincount(at, weights=counts).astype(np.int64)
+    return pa.table({"short": pa.array(found.view(np.int64)), "shared": pa.array(total)})
 
 
 def survivors(rows: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame:
@@ -221,8 +239,8 @@ def survivors(rows: DataFrame, classes: DataFrame, width: int, percent: int) ->
     total = classes.agg(F.sum("n_shingles")).first()[0] or 0
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // BUCKET_SHINGLES))
     packets = rows.mapInArrow(_packets(width, buckets), PACKET)
-    counts = packets.groupBy("bucket").applyInArrow(count_shared, "short long, shared long")
-    shared = counts.groupBy("short").agg(F.sum("shared").alias("shared"))
+    counts = packets.groupBy("bucket").applyInArrow(lambda t: count_shared(t, buckets), "cell int, keys binary, counts binary")
+    shared = counts.groupBy("cell").applyInArrow(sum_shared, "short long, shared long")
     return classes.join(shared, "short").where(F.col("shared") * 100 >= F.col("n_shingles") * percent).drop("shared")
 
 
