@@ -38,9 +38,9 @@ SPAN = 11
 CONTEXT = 24
 WIDTH = CONTEXT + SPAN + CONTEXT
 MIN_MATCH = 13
-MIN_SHARE = 0.8
+MIN_SHARE = 0.7
 MIN_ITEM = 8
-COST = 4
+COST = 2
 SALTS = 8
 _WORD = ByteHash(301, LOWER)
 _FACTORS = np.random.default_rng(302).integers(1, 1 << 62, (64, SPAN), dtype=np.uint64) * np.uint64(2) + np.uint64(1)

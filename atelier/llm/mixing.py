@@ -164,7 +164,8 @@ def mix(docs: DataFrame, weights=WEIGHTS, cap: int = MAX_REPEATS, seed: int = 11
     partly = drawn.where("room < n").withColumn("extra", (place <= F.col("room")).cast("long"))
     wholly = drawn.where("room is null or room = n").withColumn("extra", F.col("room").isNotNull().cast("long"))
     chosen = wholly.unionByName(partly)
-    out = _join(chosen, plan, ["source"], "inner")
+    plan = F.broadcast(plan.withColumnRenamed("source", "r_source"))  # one row per source
+    out = chosen.join(plan, F.col("source").eqNullSafe(F.col("r_source")))
     times = F.when(F.col("size") > 0, F.col("whole") + F.col("extra")).otherwise(F.lit(0))
     return out.select(
         "doc_id", "source", "mark", "size", "source_size", "target", times.alias("times"), (times * F.col("size")).alias("taken")
@@ -172,8 +173,11 @@ def mix(docs: DataFrame, weights=WEIGHTS, cap: int = MAX_REPEATS, seed: int = 11
 
 
 def _join(left: DataFrame, right: DataFrame, key: list[str], how: str) -> DataFrame:
-    """A join by ``key`` in which a null source equals itself; the left side's key stays."""
-    renamed = right.select(*[F.col(c).alias(f"r_{c}") if c in key else F.col(c) for c in right.columns])
+    """A join by ``key`` in which a null source equals itself; the left side's key stays.
+
+    Both sides grow with the documents, so neither is broadcast.
+    """
+    renamed = right.select(*[F.col(c).alias(f"r_{c}") if c in key else F.col(c) for c in right.columns]).hint("merge")
     on = None
     for c in key:
         same = F.col(c).eqNullSafe(F.col(f"r_{c}")) if c == "source" else F.col(c) == F.col(f"r_{c}")

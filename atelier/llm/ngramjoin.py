@@ -551,7 +551,10 @@ def near_groups(docs: DataFrame, width: int = WORDS, percent: int = PERCENT, mos
 
 
 def one_of_each(docs: DataFrame, width: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """The rows of ``docs`` whose id is that of their component, so one document of each group."""
+    """The rows of ``docs`` whose id is that of their component, so one document of each group.
+
+    Rows without an id can't be told apart by it and stay.
+    """
     groups = near_groups(docs, width, percent)
     dropped = staged(groups.where("doc_id != component_id").select(F.col("doc_id").alias("gone")).distinct(), "near-copies")
     return docs.join(dropped, F.col("doc_id").cast("long") == F.col("gone"), "left_anti")
