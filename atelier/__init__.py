@@ -11,7 +11,6 @@ Layers
   ranking, quality checks and diagnostics.
 - ``atelier.plans``      the user-level jobs: load the star schema, build the
   mart (literal and intended forms), full and incremental refresh.
-- ``atelier.streaming``  notes only: the reference has no streaming operator.
 """
 
 from atelier.session import get_session, scratch_dir

@@ -1,25 +1 @@
 """Column expressions used by the operators (all JVM-side built-ins)."""
-
-from atelier.functions.dates import day_diff, month_key
-from atelier.functions.measures import (
-    avg_cents,
-    cents_to_decimal,
-    cents_to_double,
-    fee_rounded,
-    status_is,
-    status_is_not,
-)
-from atelier.functions.conform import conform, report_types
-
-__all__ = [
-    "avg_cents",
-    "cents_to_decimal",
-    "cents_to_double",
-    "conform",
-    "day_diff",
-    "fee_rounded",
-    "month_key",
-    "report_types",
-    "status_is",
-    "status_is_not",
-]

@@ -49,21 +49,5 @@ def avg_cents(total: Column | str, count: Column | str) -> Column:
     return F.when(c > 0, F.signum(s).cast("long") * quotient)
 
 
-def cents_to_decimal(cents: Column | str, precision: int = 10) -> Column:
-    return (_c(cents).cast("decimal(20,0)") * F.lit(Decimal("0.01"))).cast(
-        f"decimal({precision},2)"
-    )
-
-
 def cents_to_double(cents: Column | str) -> Column:
     return _c(cents).cast("double") / F.lit(100.0)
-
-
-def status_is(status: Column | str, value: str) -> Column:
-    """1 when the status equals ``value``, else 0 (NULL status gives 0)."""
-    return F.when(_c(status) == value, F.lit(1)).otherwise(F.lit(0))
-
-
-def status_is_not(status: Column | str, value: str) -> Column:
-    """1 when the status differs from ``value``; a NULL status gives 0."""
-    return F.when(_c(status) != value, F.lit(1)).otherwise(F.lit(0))

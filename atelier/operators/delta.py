@@ -9,21 +9,19 @@ the literal results are reproduced exactly from it, and no repeated rows are
 ever produced.
 
 Pruned form: the OR over four tables cannot be pushed into any scan. Each
-dimension is filtered to its changed keys first (small sets, broadcast when
-counted under a bound), the fact is flagged against them in one pass, and
+dimension is filtered to its changed keys first (Spark broadcasts them where
+their measured size allows), the fact is flagged against them in one pass, and
 only the flagged orders go through the full star join.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from atelier.functions.dates import day_diff, month_key
-from atelier.operators.star import BROADCAST_MAX_KEYS
 
 # Fixed value: the watermark used when the log is empty.
 DEFAULT_WATERMARK = dt.date(1900, 1, 1)
@@ -132,23 +130,10 @@ DIM_KEYS = {"craftsman_id": "d_craftsman", "product_id": "d_product", "customer_
 
 
 def changed_keys(star: dict[str, DataFrame], watermark) -> dict[str, DataFrame]:
-    """Keys of dimension rows loaded after the watermark, size-guarded for broadcast.
-
-    The three sets are counted in one job; each is broadcast only when its
-    count is within ``BROADCAST_MAX_KEYS``, otherwise it is shuffle-joined.
-    """
-    sets = {
-        key: star[table].filter(_after("load_dttm", watermark)).select(key)
-        for key, table in DIM_KEYS.items()
-    }
-    counts = reduce(
-        DataFrame.unionByName,
-        [df.agg(F.lit(key).alias("key"), F.count(F.lit(1)).alias("n")) for key, df in sets.items()],
-    )
-    sizes = {r["key"]: r["n"] for r in counts.collect()}
+    """Distinct keys of dimension rows loaded after the watermark."""
     return {
-        key: F.broadcast(df) if sizes[key] <= BROADCAST_MAX_KEYS else df
-        for key, df in sets.items()
+        key: star[table].filter(_after("load_dttm", watermark)).select(key).distinct()
+        for key, table in DIM_KEYS.items()
     }
 
 

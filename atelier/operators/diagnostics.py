@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from atelier.operators.delta import _star_join, _with_existing
 from atelier.operators.keys import assign_ids
-from atelier.operators.star import broadcast_if_small
+from atelier.session import materialize
 
 VIEW_COLS = [
     "customer_id",
@@ -70,16 +70,17 @@ def global_craftsman_rank(delta: DataFrame) -> DataFrame:
     distributed row numbering (a dense rank over distinct values is their row
     number) and joined back on the count.
     """
+    # Written once: the levels, their ranges and the join read it.
     counts = delta.groupBy("customer_id", "craftsman_id").agg(
         F.sum(F.when(F.col("craftsman_id").isNotNull(), F.col("mart_row_multiplicity"))).alias(
             "craftsman_count"
         )
     )
+    counts = materialize(counts, "craftsman-counts")
     levels = counts.select("craftsman_count").distinct()
     ranked = assign_ids(
         levels, [F.col("craftsman_count").desc_nulls_last()], "rank_count_craftsman"
     )
-    # Distinct counts are at most sqrt(2 * rows); broadcast only under the bound check.
-    return counts.join(broadcast_if_small(ranked), "craftsman_count").select(
+    return counts.join(ranked, "craftsman_count").select(
         "customer_id", "craftsman_id", "craftsman_count", "rank_count_craftsman"
     )

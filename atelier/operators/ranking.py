@@ -12,22 +12,20 @@ aggregate partially on the map side; no per-customer sort is needed.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
 def top_craftsman_ties(counts: DataFrame) -> DataFrame:
     """All craftsmen at DENSE_RANK 1 by count per customer.
 
-    Runs on the (customer, craftsman) counts, so a window partition holds one
-    row per distinct craftsman of the customer, never raw orders. The rank
-    filter becomes a ``WindowGroupLimit`` below the window.
+    Rank 1 is the customer's largest count, so the counts are joined with a
+    (partially aggregated) maximum per customer. No window gathers a
+    customer's craftsmen in one task, however many are tied.
     """
-    w = Window.partitionBy("customer_id").orderBy(F.col("craftsman_count").desc())
-    return (
-        counts.withColumn("rank_count_craftsman", F.dense_rank().over(w))
-        .filter(F.col("rank_count_craftsman") == 1)
-        .select("customer_id", F.col("craftsman_id").alias("top_craftsman_id"), "craftsman_count")
+    best = counts.groupBy("customer_id").agg(F.max("craftsman_count").alias("craftsman_count"))
+    return counts.join(best, ["customer_id", "craftsman_count"]).select(
+        "customer_id", F.col("craftsman_id").alias("top_craftsman_id"), "craftsman_count"
     )
 
 

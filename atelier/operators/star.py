@@ -1,4 +1,4 @@
-"""Star joins over the fact (J5) and broadcast guards.
+"""Star joins over the fact.
 
 ``order_rows`` is the order-level input of every mart computation. Of the
 four joins in the reference only the product join adds columns the measures
@@ -13,24 +13,8 @@ size is under the broadcast threshold, and shuffled otherwise.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
 from atelier.functions.dates import day_diff, month_key
 
-# A set of keys is broadcast only when it has at most this many rows
-# (8 bytes per key: 4M keys are ~32 MB). Larger sets are shuffle-joined.
-BROADCAST_MAX_KEYS = 4_000_000
-
-
-def broadcast_if_small(keys: DataFrame, max_rows: int = BROADCAST_MAX_KEYS) -> DataFrame:
-    """Broadcast-hint ``keys`` only after counting it under ``max_rows``.
-
-    The count is a bounded action on an already filtered key set (persisted
-    by the caller where it is reused).
-    """
-    n = keys.limit(max_rows + 1).count()
-    return F.broadcast(keys) if n <= max_rows else keys
-
 
 def order_rows(
     f_order: DataFrame,

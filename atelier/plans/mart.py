@@ -12,9 +12,9 @@ Intended meaning (SURVEY §3.4), used by ``intended_mart`` / ``incremental_mart`
 
 Literal meaning, used by ``literal_results``: the reference's insert and
 update result sets, computed from the change delta alone, with the LEFT JOIN
-fan-out applied as a multiplicity and the category ranked by name. The only
-departure is D4: instead of one row per tied craftsman, the smallest tied id
-is kept (the DDL says "take any").
+fan-out applied as a multiplicity and the category ranked by name. The
+update results name every craftsman tied at the top, one row each (D4), so a
+customer-month has as many rows as its customer has tied craftsmen.
 """
 
 from __future__ import annotations
@@ -36,8 +36,9 @@ from atelier.operators.ranking import (
     top_category_by_count,
     top_category_literal,
     top_craftsman_one,
+    top_craftsman_ties,
 )
-from atelier.operators.star import broadcast_if_small, customer_attributes, order_rows
+from atelier.operators.star import customer_attributes, order_rows
 from atelier.schemas import MART, MART_BUSINESS_COLS
 from atelier.session import materialize
 
@@ -117,7 +118,7 @@ def incremental_mart_counted(
     """
     if affected is None:
         affected = materialize(affected_customers(star, watermark), "affected")
-    affected = broadcast_if_small(affected.select("customer_id"))
+    affected = affected.select("customer_id")
     recomputed = intended_mart(star, affected)
     kept = prev_mart.join(affected, "customer_id", "left_anti")
     old_ids = prev_mart.join(affected, "customer_id", "left_semi").select("id", *CUSTOMER_MONTH)
@@ -151,12 +152,13 @@ def literal_results(delta: DataFrame) -> tuple[DataFrame, DataFrame]:
         "customer_birthday",
         "customer_email",
     ]
-    grain = order_grain(delta, extra_keys=attrs)
+    # Written once: the three rollups read it instead of each scanning the delta.
+    grain = materialize(order_grain(delta, extra_keys=attrs), "literal-grain")
     keys = CUSTOMER_MONTH + attrs
     measures = finish_measures(
         month_measures(grain, keys), multiplicity=F.col("mart_row_multiplicity")
     )
-    top_craft = top_craftsman_one(craftsman_counts(grain))
+    top_craft = top_craftsman_ties(craftsman_counts(grain)).drop("craftsman_count")
     top_cat = top_category_literal(category_counts(grain, ["customer_id"]))
     joined = measures.join(top_craft, "customer_id").join(top_cat, "customer_id")
     is_new = F.col("exist_customer_id").isNull()

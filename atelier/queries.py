@@ -312,12 +312,12 @@ def _old_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _update_literal(spark: SparkSession, sf_dir: str) -> DataFrame:
     old = _old_mart(spark, sf_dir)
     upd = mart_plan.literal_results(_delta(spark, sf_dir))[1]
-    return upsert.update_from(old, upd, ["customer_id"], MART_BUSINESS_COLS, pick_by=["report_period"])
+    return upsert.update_from(old, upd, ["customer_id"], MART_BUSINESS_COLS, pick_by=["report_period", "top_craftsman_id"])
 
 
 @register("update_from_literal")
 def q_update_from_literal(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """U1 as written (keyed on customer only); the latest period's row is applied."""
+    """U1 as written (keyed on customer only); the latest period's row, then the greatest craftsman id's, is applied."""
     return _update_literal(spark, sf_dir)
 
 
@@ -325,7 +325,7 @@ def q_update_from_literal(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_update_from_by_customer_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     old = _old_mart(spark, sf_dir)
     upd = mart_plan.literal_results(_delta(spark, sf_dir))[1]
-    return upsert.update_from(old, upd, CUSTOMER_MONTH, MART_BUSINESS_COLS)
+    return upsert.update_from(old, upd, CUSTOMER_MONTH, MART_BUSINESS_COLS, pick_by=["top_craftsman_id"])
 
 
 # --- C12 incremental ---------------------------------------------------------------

@@ -100,7 +100,7 @@ F_ORDER = T.StructType(
     ]
 )
 
-# Mart table (reference DDL, in its column order). NOT NULL is declared but
+# Mart table (reference DDL, in its column order). NOT NULL is declared but
 # parquet keeps every column nullable; ``atelier.operators.quality`` checks it.
 MART = T.StructType(
     [
@@ -134,12 +134,3 @@ WATERMARK_LOG = T.StructType(
         _f("load_dttm", T.TimestampType(), False),
     ]
 )
-
-TABLES = {
-    "d_craftsman": D_CRAFTSMAN,
-    "d_product": D_PRODUCT,
-    "d_customer": D_CUSTOMER,
-    "f_order": F_ORDER,
-    "customer_report_datamart": MART,
-    "load_dates_customer_report_datamart": WATERMARK_LOG,
-}

@@ -7,7 +7,6 @@ Library code never creates its own session: every operator takes DataFrames
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -17,29 +16,36 @@ from pyspark.sql import DataFrame, SparkSession
 def get_session(
     master: str | None = None,
     shuffle_partitions: int | None = None,
+    driver_memory: str | None = None,
     app_name: str = "atelier",
     extra: dict[str, str] | None = None,
 ) -> SparkSession:
     """Build (or reuse) a session configured for this project.
 
+    Master, shuffle partitions and driver memory are set only where they are
+    given (tests, bench); otherwise what ``spark-submit`` or the cluster says
+    holds.
+
     AQE is on so that joins against dimensions switch to broadcast only when
     the runtime size is under ``spark.sql.adaptive.autoBroadcastJoinThreshold``
     (a checked size, with sort-merge beyond it), small shuffle partitions are
     coalesced, and skewed join partitions are split.
     """
-    cpus = os.environ.get("BENCH_CPUS", "8")
+    given = {
+        "spark.master": master,
+        "spark.sql.shuffle.partitions": shuffle_partitions,
+        "spark.driver.memory": driver_memory,
+    }
     builder = (
-        SparkSession.builder.master(master or f"local[{cpus}]")
-        .appName(app_name)
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions or int(cpus)))
+        SparkSession.builder.appName(app_name)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", os.environ.get("ATELIER_DRIVER_MEMORY", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config(map={k: str(v) for k, v in given.items() if v is not None})
     )
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)

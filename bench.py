@@ -82,6 +82,7 @@ def main() -> None:
     spark = get_session(
         master=f"local[{cpus}]",
         shuffle_partitions=cpus * 2,
+        driver_memory=os.environ.get("ATELIER_DRIVER_MEMORY", "16g"),
         extra={"spark.checkpoint.dir": f"{scratch}/checkpoints"}
         if not os.environ.get("SPARK_CHECKPOINT_DIR")
         else {"spark.checkpoint.dir": os.environ["SPARK_CHECKPOINT_DIR"]},

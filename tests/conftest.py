@@ -21,6 +21,7 @@ def spark():
     session = get_session(
         master="local[4]",
         shuffle_partitions=8,
+        driver_memory="16g",
         extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="atelier-test-ckpt-")},
     )
     yield session

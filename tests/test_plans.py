@@ -35,8 +35,8 @@ def test_no_python_evaluation(plans):
         assert not any(node in plan for node in PYTHON_NODES), name
 
 
-def test_rank_filter_becomes_window_group_limit(plans):
-    assert "WindowGroupLimit" in plans["top_craftsman_ties"]
+def test_ties_need_no_window(plans):
+    assert "Window" not in plans["top_craftsman_ties"]
 
 
 def test_scans_read_only_needed_columns(plans):
@@ -56,9 +56,9 @@ def test_mart_rollups_read_the_checkpointed_grain(plans):
     assert "lineitem.parquet" not in plans["mart_full"]
 
 
-def test_changed_keys_are_broadcast_after_the_size_check(plans):
-    plan = plans["delta_pruned"]
-    assert "BroadcastHashJoin [craftsman_id" in plan and "LeftOuter" in plan
+def test_no_key_set_is_gathered_in_one_task(plans):
+    for name in ("delta_pruned", "diag_global_rank"):
+        assert "SinglePartition" not in plans[name], name
 
 
 def test_surrogate_keys_use_range_partitioning_not_one_task(plans):
@@ -70,23 +70,6 @@ def test_surrogate_keys_use_range_partitioning_not_one_task(plans):
     assert "SinglePartition" not in plan
 
 
-def test_broadcast_only_under_checked_size(spark):
-    from atelier.operators.star import broadcast_if_small
-
-    facts = spark.range(0, 1000).withColumnRenamed("id", "k")
-    keys = spark.range(0, 10).withColumnRenamed("id", "k")
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # no automatic broadcast
-    try:
-        small = facts.join(broadcast_if_small(keys, max_rows=10), "k", "left_semi")
-        large = facts.join(broadcast_if_small(keys, max_rows=9), "k", "left_semi")
-        assert small.count() == large.count() == 10
-        assert "BroadcastHashJoin" in executed(small)
-        assert "BroadcastHashJoin" not in executed(large)
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-
-
 def test_pruned_delta_scans_the_fact_once(spark, workdir):
     from atelier.operators.delta import delta_pruned
     from atelier.sources import fixtures as fx
