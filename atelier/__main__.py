@@ -1,6 +1,6 @@
 """Command line: run the load and refresh jobs, or the mart quality report.
 
-    python -m atelier load --sources DIR --dwh ROOT [--as-of ISO]
+    python -m atelier load --sources DIR [--format F] --dwh ROOT [--as-of ISO]
     python -m atelier refresh --dwh ROOT [--mode incremental|full]
     python -m atelier quality --dwh ROOT
 
@@ -26,6 +26,7 @@ from atelier.operators.consolidate import (
     SOURCE3_ORDERS,
 )
 from atelier.session import get_session
+from atelier.sources.readers import read_source
 
 SOURCE_NAMES = [
     SOURCE1_WIDE,
@@ -44,6 +45,7 @@ def main(argv: list[str] | None = None) -> int:
     sub = parser.add_subparsers(dest="command", required=True)
     p_load = sub.add_parser("load", help="sources -> star schema")
     p_load.add_argument("--sources", required=True)
+    p_load.add_argument("--format", default="parquet", help="reader of the source folders, or 'table' for a catalog database")
     p_load.add_argument("--dwh", required=True)
     p_load.add_argument("--as-of", default=None, help="load time stamp (default: now, UTC)")
     p_refresh = sub.add_parser("refresh", help="star schema -> mart")
@@ -57,12 +59,10 @@ def main(argv: list[str] | None = None) -> int:
     if args.command == "load":
         from atelier.plans.load import run_load
 
-        as_of = (
-            dt.datetime.fromisoformat(args.as_of)
-            if args.as_of
-            else dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        )
-        sources = {n: spark.read.parquet(f"{args.sources.rstrip('/')}/{n}") for n in SOURCE_NAMES}
+        as_of = dt.datetime.fromisoformat(args.as_of) if args.as_of else dt.datetime.now(dt.timezone.utc)
+        if as_of.tzinfo is None:
+            as_of = as_of.replace(tzinfo=dt.timezone.utc)
+        sources = {n: read_source(spark, n, args.sources, args.format) for n in SOURCE_NAMES}
         print(json.dumps(run_load(spark, sources, args.dwh, as_of)))
     elif args.command == "refresh":
         from atelier.plans.refresh import refresh_mart

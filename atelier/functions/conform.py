@@ -17,6 +17,20 @@ _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _FRACTIONAL = (T.DoubleType, T.FloatType, T.DecimalType)
 
 
+def exact(df: DataFrame, column: str, dtype: T.DecimalType) -> DataFrame:
+    """``column`` as ``dtype``; a value that the type can't hold unchanged raises.
+
+    For key columns: rounding one would make it match another row or none.
+    """
+    value = F.col(column)
+    if isinstance(df.schema[column].dataType, (T.DoubleType, T.FloatType)):
+        value = value.cast("string").cast("decimal(38,18)")  # the decimal that the double prints as
+    fitted = F.round(value, dtype.scale).cast(dtype)
+    message = F.concat(F.lit(f"{column} can't be stored unchanged: "), F.col(column).cast("string"))
+    same = value.isNull() | (fitted == value)
+    return df.withColumn(column, F.when(same, fitted).otherwise(F.raise_error(message).cast(dtype)))
+
+
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Select ``schema``'s columns from ``df`` by name, rounding before casting."""
     source = {f.name: f.dataType for f in df.schema.fields}

@@ -8,7 +8,7 @@ order in which partial sums are combined.
   plain Spark cast truncates, so the value is rounded first (``F.round`` is
   HALF_UP on decimals).
 - The average price is stored as DECIMAL(10,2). It is computed exactly in
-  integer cents from (sum, count): ``round_half_up(100 * sum / count)``. A
+  integer cents from (sum, count): ``round_half_up(cents / count)``. A
   decimal ``avg`` carries only scale + 4 digits and would round twice.
 - Status flags follow SQL three-valued logic: a NULL status counts in the
   total only, in neither ``= 'done'`` nor ``!= 'done'``.
@@ -31,19 +31,19 @@ def _c(x: Column | str) -> Column:
 
 def fee_rounded(spend: Column | str, rate: Decimal = PLATFORM_FEE_RATE) -> Column:
     """round_half_up(spend * rate) as an exact decimal with scale 0."""
-    return F.round(_c(spend).cast("decimal(38,0)") * F.lit(rate), 0)
+    return F.round(_c(spend).cast("decimal(30,2)") * F.lit(rate), 0)
 
 
 def avg_cents(total: Column | str, count: Column | str) -> Column:
     """Average in cents, rounded half away from zero, with integer arithmetic.
 
-    floor((200*|s| + c) / (2c)) == round_half_up(100*|s|/c) for c > 0. The
-    floor is taken exactly: the numerator minus its remainder is a multiple of
-    the divisor, so the division has an integral result.
+    With s the total in cents, floor((2*|s| + c) / (2c)) == round_half_up(|s|/c)
+    for c > 0. The floor is taken exactly: the numerator minus its remainder is
+    a multiple of the divisor, so the division has an integral result.
     """
-    s = _c(total).cast("long")
+    s = (_c(total).cast("decimal(30,2)") * 100).cast("long")
     c = _c(count).cast("long")
-    num = F.abs(s) * F.lit(200) + c
+    num = F.abs(s) * F.lit(2) + c
     den = c * F.lit(2)
     quotient = ((num - F.pmod(num, den)) / den).cast("long")
     return F.when(c > 0, F.signum(s).cast("long") * quotient)

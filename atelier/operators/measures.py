@@ -92,7 +92,7 @@ def finish_measures(measures: DataFrame, multiplicity: Column | None = None) ->
     cents = avg_cents("spend", "n_orders")
     return measures.select(
         *[c for c in measures.columns if c not in _RAW],
-        spend.cast("int").alias("customer_costs"),
+        F.round(spend, 0).cast("int").alias("customer_costs"),
         fee_rounded(spend).cast("int").alias("platform_money"),
         (F.col("n_orders") * m).cast("int").alias("total_order_count"),
         cents_to_double(cents).alias("avg_order_price"),

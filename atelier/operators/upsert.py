@@ -12,17 +12,11 @@
 - two source rows for one matched target row is an error (M5), as in the
   reference; the check runs before anything is written.
 
-Built from joins on the natural key, each with the big side on the left
-where AQE's skew handling can split a hot key:
-
-- conflicts: source keys counted with a partial (map-side) aggregate, then
-  semi-joined to the target;
-- updates: the source is first semi-joined to the target keys, so only
-  matching rows reach ``target LEFT JOIN source`` (a hot key with no target
-  row never lands in one task of the outer join);
-- inserts: ``source LEFT ANTI JOIN target``, then distributed surrogate ids
-  (``assign_ids``) after the current maximum id.
-
+Source and target meet once on the natural key: ``source LEFT JOIN target
+keys`` is written to the shared folder with the matched target id, and the
+conflicts (ids matched more than once), the updates (by id) and the inserts
+(rows without an id, numbered by ``assign_ids`` after the largest id) are read
+from it. The source is on the left, where AQE can split a hot key.
 Physical strategies are left to the planner: a side is broadcast only when
 its measured size is under the threshold, otherwise both are shuffled.
 """
@@ -35,6 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from atelier.operators.keys import assign_ids_counted
+from atelier.session import materialize
 
 
 class MergeConflict(ValueError):
@@ -52,19 +47,17 @@ def _eq(left: DataFrame, right: DataFrame, keys: list[str], prefix: str) -> Colu
     return reduce(lambda a, b: a & b, [left[k] == right[f"{prefix}{k}"] for k in keys])
 
 
-def check_no_conflicts(target: DataFrame, source: DataFrame, keys: list[str]) -> None:
-    """Raise ``MergeConflict`` when M5 finds any key (one aggregate job)."""
+def check_no_conflicts(matched: DataFrame, keys: list[str], id_col: str) -> None:
+    """Raise ``MergeConflict`` when two source rows matched one target row (one aggregate job)."""
+    per_row = matched.groupBy(id_col).agg(F.count(F.lit(1)).alias("source_rows"), F.min(F.struct(*keys)).alias("key"))
     stats = (
-        merge_conflicts(target, source, keys)
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.min(F.struct(*keys, "source_rows")).alias("example"),
-        )
+        per_row.filter((F.col("source_rows") > 1) & F.col(id_col).isNotNull())
+        .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "source_rows")).alias("example"))
         .first()
     )
     if stats["n"]:
         raise MergeConflict(
-            f"{stats['n']} keys with several source rows matching the target, e.g. {stats['example']}"
+            f"{stats['n']} target rows matched by several source rows, e.g. {stats['example']}"
         )
 
 
@@ -101,24 +94,19 @@ def merge_upsert_counted(
     base_id: int | None = None,
 ) -> tuple[DataFrame, int]:
     """``merge_upsert`` that also returns the largest id after the merge."""
-    if check_conflicts:
-        check_no_conflicts(target, source, keys)
     src_cols = [c for c in source.columns if c in target.columns and c not in (id_col, load_col)]
-    s = source.select(*[F.col(c).alias(f"s_{c}") for c in src_cols]).withColumn(
-        "_matched", F.lit(True)
-    )
+    s = source.select(*src_cols)
+    t = target.select(F.col(id_col), *[F.col(k).alias(f"t_{k}") for k in keys])
+    met = materialize(s.join(t, _eq(s, t, keys, "t_"), "left").select(id_col, *src_cols), "merge")
+    matched = met.filter(F.col(id_col).isNotNull())
+    if check_conflicts:
+        check_no_conflicts(matched, keys, id_col)
     stamp = F.lit(as_of).cast(target.schema[load_col].dataType)
-
-    # Only source rows whose key exists in the target can update anything.
-    # The semi join keeps the source on the left (where AQE can split a hot
-    # key), so a hot unmatched key never reaches the outer join's one task.
-    s = s.join(
-        target.select(*[F.col(k).alias(f"s_{k}") for k in keys]),
-        [f"s_{k}" for k in keys],
-        "left_semi",
+    new_values = matched.select(
+        F.col(id_col).alias("_id"), *[F.col(c).alias(f"s_{c}") for c in src_cols if c in set_cols]
     )
-    joined = target.join(s, _eq(target, s, keys, "s_"), "left")
-    hit = F.col("_matched").isNotNull()
+    joined = target.join(new_values, F.col(id_col) == F.col("_id"), "left")
+    hit = F.col("_id").isNotNull()
     updated = joined.select(
         *[
             (F.when(hit, F.col(f"s_{c}")).otherwise(F.col(c)) if c in set_cols else F.col(c)).alias(c)
@@ -127,13 +115,7 @@ def merge_upsert_counted(
             for c in target.columns
         ]
     )
-
-    s_plain = source.select(*src_cols)
-    new_rows = s_plain.join(
-        target.select(*[F.col(k).alias(f"t_{k}") for k in keys]),
-        reduce(lambda a, b: a & b, [s_plain[k] == F.col(f"t_{k}") for k in keys]),
-        "left_anti",
-    )
+    new_rows = met.filter(F.col(id_col).isNull()).select(*src_cols)
     if base_id is None:
         base_id = target.agg(F.max(id_col).alias("m")).first()["m"]
     base = base_id or 0

@@ -35,11 +35,14 @@ from atelier.schemas import (
     F_ORDER,
     ORDER_KEY,
     ORDER_SET,
+    PRICE,
     PRODUCT_KEY,
     PRODUCT_SET,
 )
+from atelier.functions.conform import exact
 from atelier.functions.dates import month_key
 from atelier.session import materialize, scratch_dir
+from atelier.sources.star import check_stamp, commit_star
 from atelier.sources.tables import (
     commit_version,
     current_commit,
@@ -151,8 +154,12 @@ def run_load(spark: SparkSession, sources: dict[str, DataFrame], dwh_root: str,
     The three dimension merges are independent, so they are submitted as
     concurrent Spark jobs from three driver threads; the order merge waits
     for all of them (it resolves keys against the new dimension versions).
+    The star manifest is committed last: until then readers see the previous
+    load whole, and a failed load can be repeated with the same ``as_of``.
     """
-    stage = write_stage(consolidate_sources(sources), scratch_dir(spark, "tmp-sources"))
+    check_stamp(spark, dwh_root, as_of)
+    consolidated = exact(consolidate_sources(sources), "product_price", PRICE)
+    stage = write_stage(consolidated, scratch_dir(spark, "tmp-sources"))
     with ThreadPoolExecutor(max_workers=len(DIMENSIONS)) as pool:
         futures = {
             name: pool.submit(load_dimension, spark, stage, dwh_root, name, as_of)
@@ -163,6 +170,7 @@ def run_load(spark: SparkSession, sources: dict[str, DataFrame], dwh_root: str,
         name: read_table(spark, f"{dwh_root}/{name}", DIMENSIONS[name][0]) for name in DIMENSIONS
     }
     versions["f_order"] = load_orders(spark, stage, dims, f"{dwh_root}/f_order", as_of)
+    commit_star(spark, dwh_root, as_of)
     return versions
 
 

@@ -10,8 +10,6 @@ next time, and the refresh is idempotent (it replaces whole customers).
 
 from __future__ import annotations
 
-import datetime as dt
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +18,8 @@ from pyspark.sql import functions as F
 from atelier.operators.delta import DEFAULT_WATERMARK, affected_with_load, read_watermark
 from atelier.session import checkpoint_root, materialize
 from atelier.plans.mart import full_mart_counted, incremental_mart_counted, stored_mart
-from atelier.schemas import D_CRAFTSMAN, D_CUSTOMER, D_PRODUCT, F_ORDER, MART, WATERMARK_LOG
+from atelier.schemas import MART, WATERMARK_LOG
+from atelier.sources.star import as_timestamp, read_star
 from atelier.sources.tables import (
     append_rows,
     commit_version,
@@ -48,31 +47,6 @@ def mart_buckets(spark: SparkSession) -> int:
 def mart_partition(buckets: int):
     return (f"customer_bucket_{buckets}", F.pmod(F.xxhash64("customer_id"), F.lit(buckets)))
 WATERMARK_TABLE = "load_dates_customer_report_datamart"
-STAR_TABLES = {
-    "d_craftsman": D_CRAFTSMAN,
-    "d_product": D_PRODUCT,
-    "d_customer": D_CUSTOMER,
-    "f_order": F_ORDER,
-}
-
-
-def read_star(spark: SparkSession, dwh_root: str) -> dict[str, DataFrame]:
-    """The four star tables at their newest committed versions.
-
-    The four commit-log lookups are small independent jobs, run concurrently.
-    """
-    with ThreadPoolExecutor(max_workers=len(STAR_TABLES)) as pool:
-        futures = {
-            name: pool.submit(read_table, spark, f"{dwh_root}/{name}", schema)
-            for name, schema in STAR_TABLES.items()
-        }
-        return {name: f.result() for name, f in futures.items()}
-
-
-def _as_timestamp(value) -> dt.datetime:
-    if isinstance(value, dt.datetime):
-        return value
-    return dt.datetime.combine(value, dt.time())
 
 
 def newest_load(star: dict[str, DataFrame], watermark, fact_newest=None) -> object:
@@ -90,11 +64,16 @@ def newest_load(star: dict[str, DataFrame], watermark, fact_newest=None) -> obje
         [df.agg(F.max(F.col("load_dttm").cast("timestamp")).alias("m")) for df in tables],
     )
     values = [fact_newest, *(r["m"] for r in maxima.collect())]
-    wm_ts = _as_timestamp(watermark)
+    wm_ts = as_timestamp(watermark)
     newest = max((v for v in values if v is not None), default=None)
     return wm_ts if newest is None or newest <= wm_ts else newest
 
 
+def completion_marker(spark: SparkSession, result: dict) -> DataFrame:
+    """P10: the refresh's closing row, as a one-row frame."""
+    return spark.createDataFrame([(result["status"], result["mode"], result["mart_version"])], "status string, mode string, mart_version long")
+
+
 def refresh_mart(spark: SparkSession, dwh_root: str, mode: str = "incremental") -> dict:
     """Refresh the mart; ``mode`` is 'incremental' or 'full'."""
     mart_root = f"{dwh_root}/{MART_TABLE}"
@@ -116,7 +95,7 @@ def refresh_mart(spark: SparkSession, dwh_root: str, mode: str = "incremental")
             F.max("max_load_dttm").alias("m"),
             F.collect_set(bucket_expr).alias("buckets"),  # at most one value per bucket
         ).first()
-        fact_newest = _as_timestamp(watermark) if stats["m"] is None else stats["m"]
+        fact_newest = as_timestamp(watermark) if stats["m"] is None else stats["m"]
         bucketed = all(partition_value(p, bucket_col) is not None for p in mart_commit["paths"])
         if bucketed:
             replaced = list(stats["buckets"])

@@ -37,7 +37,7 @@ from atelier.operators.ranking import (
 from atelier.operators.star import order_rows
 from atelier.plans import load
 from atelier.plans import mart as mart_plan
-from atelier.schemas import MART, MART_BUSINESS_COLS, MART_NOT_NULL
+from atelier.schemas import MART, MART_BUSINESS_COLS, MART_NOT_NULL, PRICE
 from atelier.sources import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -182,6 +182,23 @@ def q_fact_key_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load.fact_key_lookup(_stage(spark, sf_dir), fx.star_schema(spark, sf_dir))
 
 
+def _fractional(df: DataFrame) -> DataFrame:
+    """The fixture's prices with quarters added by product id, as decimals."""
+    return df.withColumn("product_price", (F.col("product_price") + F.col("product_id") % 4 * F.lit(0.25)).cast(PRICE))
+
+
+@register("merge_product_fractional")
+def q_merge_product_fractional(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = _fractional(_prior(fx.star_schema(spark, sf_dir)["d_product"]))
+    return report_types(load.merge_dimension(target, _fractional(_stage(spark, sf_dir)), "d_product", AS_OF))
+
+
+@register("fact_key_lookup_fractional")
+def q_fact_key_lookup_fractional(spark: SparkSession, sf_dir: str) -> DataFrame:
+    star = fx.star_schema(spark, sf_dir)
+    return load.fact_key_lookup(_fractional(_stage(spark, sf_dir)), dict(star, d_product=_fractional(star["d_product"])))
+
+
 @register("merge_order")
 def q_merge_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders created before 1997 were loaded earlier, still in status 'created'."""

@@ -67,13 +67,16 @@ D_CRAFTSMAN = T.StructType(
         _f("load_dttm", T.TimestampType()),
     ]
 )
+# Prices are part of a natural key, so they are stored as they come, to the cent.
+PRICE = T.DecimalType(18, 2)
+
 D_PRODUCT = T.StructType(
     [
         _f("product_id", T.LongType(), False),
         _f("product_name", T.StringType()),
         _f("product_description", T.StringType()),
         _f("product_type", T.StringType()),
-        _f("product_price", T.LongType()),
+        _f("product_price", PRICE),
         _f("load_dttm", T.TimestampType()),
     ]
 )

@@ -43,12 +43,23 @@ def _commits_path(root: str) -> str:
     return f"{root.rstrip('/')}/{COMMITS}"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether the file system has ``path``; any failure to find out is raised."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
+
+
+def commit_of_version(spark: SparkSession, root: str, version: int) -> dict:
+    """The commit row of one version."""
+    log = spark.read.schema(COMMIT_SCHEMA).parquet(_commits_path(root))
+    return log.filter(F.col("version") == version).first().asDict()
+
+
 def current_commit(spark: SparkSession, root: str) -> dict | None:
     """The newest commit row of the table, or None when it has none."""
-    try:
-        log = spark.read.schema(COMMIT_SCHEMA).parquet(_commits_path(root))
-    except Exception:  # no log yet
+    if not path_exists(spark, _commits_path(root)):
         return None
+    log = spark.read.schema(COMMIT_SCHEMA).parquet(_commits_path(root))
     row = log.orderBy(F.col("version").desc()).limit(1).collect()
     return row[0].asDict() if row else None
 
@@ -103,10 +114,11 @@ def _written_partition_values(spark: SparkSession, folder: str, name: str) -> li
     was written is not computed a second time. Bounded by the number of
     partition values.
     """
-    try:
-        written = spark.read.option("basePath", folder).parquet(folder)
-    except Exception:  # nothing was written (an empty frame)
-        return []
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not any(s.getPath().getName().startswith(f"{name}=") for s in fs.listStatus(hadoop_path)):
+        return []  # an empty frame leaves no partition folder
+    written = spark.read.option("basePath", folder).parquet(folder)
     return [r[0] for r in written.select(F.col(name).cast("string")).distinct().collect()]
 
 

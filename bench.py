@@ -33,10 +33,11 @@ from pyspark.sql import functions as F
 
 from atelier.operators.upsert import MergeConflict
 from atelier.plans.load import commit_orders, run_load
-from atelier.plans.refresh import read_star, refresh_mart
+from atelier.plans.refresh import refresh_mart
 from atelier.queries import all_queries
 from atelier.session import get_session
 from atelier.sources import fixtures as fx
+from atelier.sources.star import commit_star, read_star
 from atelier.sources.tables import current_commit
 
 
@@ -73,6 +74,7 @@ def change_batch(spark, dwh: str, percent: int, stamp: dt.datetime) -> None:
     )
     root = f"{dwh}/f_order"
     commit_orders(changed, root, current_commit(spark, root)["max_id"])
+    commit_star(spark, dwh, stamp)
 
 
 def main() -> None:

@@ -18,6 +18,7 @@ from atelier.plans.load import commit_orders, run_load
 from atelier.plans.refresh import MART_TABLE, WATERMARK_TABLE, read_star, refresh_mart
 from atelier.schemas import F_ORDER, MART, MART_BUSINESS_COLS, WATERMARK_LOG
 from atelier.sources import fixtures as fx
+from atelier.sources.star import commit_star
 from atelier.sources.tables import commit_version, current_commit, read_table
 from conftest import SF_SMALL
 
@@ -57,6 +58,7 @@ def test_load_refresh_incremental_equals_full(spark, workdir):
     )
     staged = materialize(changed, "changed-orders")
     commit_orders(staged, f"{dwh}/f_order", current_commit(spark, f"{dwh}/f_order")["max_id"])
+    commit_star(spark, dwh, dt.datetime(2024, 3, 1))
 
     incr = refresh_mart(spark, dwh, mode="incremental")
     incremental = read_table(spark, f"{dwh}/{MART_TABLE}", MART)
@@ -76,7 +78,7 @@ def test_load_refresh_incremental_equals_full(spark, workdir):
     # sf0.001 repeats some order keys with different statuses: loading the
     # same sources again matches those targets twice, which MERGE refuses.
     with pytest.raises(MergeConflict):
-        run_load(spark, fx.source_tables(spark, SF_SMALL), dwh, T1)
+        run_load(spark, fx.source_tables(spark, SF_SMALL), dwh, dt.datetime(2024, 4, 1))
     assert current_commit(spark, f"{dwh}/f_order")["version"] == 2  # nothing committed
 
 
@@ -163,6 +165,7 @@ def test_incremental_refresh_rewrites_only_touched_buckets(spark, workdir):
     hit = F.col("customer_id") == one
     changed = fo.withColumn("load_dttm", F.when(hit, F.lit(dt.datetime(2024, 5, 1))).otherwise(F.col("load_dttm")))
     commit_orders(materialize(changed, "one-customer"), f"{dwh}/f_order", current_commit(spark, f"{dwh}/f_order")["max_id"])
+    commit_star(spark, dwh, dt.datetime(2024, 5, 1))
     refresh_mart(spark, dwh, mode="incremental")
     after = current_commit(spark, f"{dwh}/{MART_TABLE}")
 

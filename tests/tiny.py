@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from decimal import Decimal
 
 from atelier.schemas import D_CRAFTSMAN, D_CUSTOMER, D_PRODUCT, F_ORDER
 
@@ -25,7 +26,7 @@ def star(spark, orders, products=None, craftsmen=None, customers=None):
     fo = [o if len(o) == 8 else (*o, OLD) for o in orders]
     return {
         "f_order": spark.createDataFrame(fo, F_ORDER),
-        "d_product": spark.createDataFrame(products, D_PRODUCT),
+        "d_product": spark.createDataFrame([(*p[:4], Decimal(p[4]), *p[5:]) for p in products], D_PRODUCT),
         "d_craftsman": spark.createDataFrame(craftsmen, D_CRAFTSMAN),
         "d_customer": spark.createDataFrame(customers, D_CUSTOMER),
     }
