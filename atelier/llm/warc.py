@@ -35,6 +35,8 @@ from atelier.llm.staging import shared_folder, staged, with_types
 FRAME_BYTES = 1 << 18
 BUNDLE_BYTES = 1 << 26
 LEVEL = 3
+#: Tasks that read bundles back.
+MAX_READERS = 100_000
 #: Fixed values of the seekable Zstandard format: skippable frame, footer.
 SKIPPABLE_MAGIC = 0x184D2A5E
 SEEKABLE_MAGIC = 0x8F92EAB1
@@ -224,6 +226,8 @@ def _read_bundles(batches):
 def read_archives(index: DataFrame) -> DataFrame:
     """One row per record of the bundles that the index names."""
     bundles = index.select("bundle").distinct()
+    # A task for each bundle: the names alone are so short that Spark would give them all to one.
+    bundles = bundles.repartition(max(1, min(bundles.count(), MAX_READERS)))
     return bundles.mapInArrow(_read_bundles, _DESCRIBED)
 
 
