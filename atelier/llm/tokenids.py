@@ -46,6 +46,8 @@ UNIT = re.compile(r"(?<=\S)(?=[ \n])")
 KEEP_CHARS, KEEP_UNITS = 48, 200_000
 #: A file ends after the document that brings it to so many ids.
 FILE_TOKENS = 1 << 22
+#: Tasks that read files back.
+MAX_READERS = 100_000
 MAGIC = b"ATK1"
 HEADER = struct.Struct("<4sQQQ")
 _FILE_ROW = (pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.int64())
@@ -247,6 +249,8 @@ def read_files(files: DataFrame, folder: str) -> DataFrame:
     parts = parts.select("part", (F.sum("in_part").over(Window.orderBy("part")) - F.col("in_part")).alias("before"))
     within = F.sum("n_ids").over(Window.partitionBy("part").orderBy("seq")) - F.col("n_ids")
     placed = files.join(F.broadcast(parts), "part").select("file", (F.col("before") + within).alias("start"))
+    # A task for each file: the names alone are so short that Spark would give them all to one.
+    placed = placed.repartition(max(1, min(files.count(), MAX_READERS)))
     return placed.mapInArrow(_read_back(folder), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
