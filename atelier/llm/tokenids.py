@@ -11,7 +11,7 @@ The texts are encoded once into a staged table, which is counted and then
 range-partitioned by document id; each range writes its files in ascending
 order, and a running sum over files gives every document's start.
 
-Words recur, so each task keeps the ids of the short word units it met. A unit
+Words recur, so each Python worker keeps the ids of the short word units it met. A unit
 begins at a space or newline that follows a character other than white space;
 there the byte-level pattern always splits, so encoding units one by one gives
 the ids of the whole text.
@@ -43,7 +43,7 @@ from atelier.llm.textbytes import SLICE_BYTES
 END_ID = 2
 UNIT = re.compile(r"(?<=\S)(?=[ \n])")
 #: Units longer than this, and more units than this, aren't kept.
-KEEP_CHARS, KEEP_UNITS = 48, 200_000
+KEEP_CHARS, KEEP_UNITS = 48, 500_000
 #: A file ends after the document that brings it to so many ids.
 FILE_TOKENS = 1 << 22
 #: Tasks that read files back.
@@ -80,40 +80,54 @@ def unpack_numbers(control: np.ndarray, octets: np.ndarray, n: int) -> np.ndarra
     return out
 
 
+def id_type(definition: str, end_id: int) -> str:
+    """Ids travel as 16-bit integers where the vocabulary allows, else as 32-bit ones."""
+    from tokenizers import Tokenizer
+
+    return "<u2" if max(Tokenizer.from_str(definition).get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4"
+
+
 class UnitEncoder:
-    """A tokenizer that remembers the ids of short units."""
+    """A tokenizer that remembers the ids of short units, as bytes."""
 
-    def __init__(self, definition: str):
+    def __init__(self, definition: str, kind: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_str(definition)
-        self.known: dict[str, list[int]] = {}
+        self.tokenizer, self.kind = Tokenizer.from_str(definition), kind
+        self.known: dict[str, bytes] = {}
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
+    def encode(self, texts: list[str], end: bytes) -> list[bytes]:
         split = [UNIT.split(t) if t else [] for t in texts]
-        fresh = list({u for units in split for u in units} - self.known.keys())
         known = self.known
-        for unit, found in zip(fresh, self.tokenizer.encode_batch(fresh, add_special_tokens=False), strict=True):
-            known[unit] = found.ids
-        out = []
-        for units in split:
-            ids: list[int] = []
-            for u in units:
-                ids += known[u]
-            out.append(np.array(ids, np.uint32))
-        if len(known) > KEEP_UNITS:
-            known.clear()
-        else:
-            for u in fresh:
-                if len(u) > KEEP_CHARS:
-                    del known[u]
+        fresh = list({u for units in split for u in units if u not in known})
+        found = self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)
+        known.update((u, np.array(f.ids, self.kind).tobytes()) for u, f in zip(fresh, found, strict=True))
+        out = [b"".join(map(known.__getitem__, units)) + end for units in split]
+        # Frequent units come early, so what is kept stays; the rest is forgotten.
+        room = KEEP_UNITS - (len(known) - len(fresh))
+        for unit in fresh:
+            if room > 0 and len(unit) <= KEEP_CHARS:
+                room -= 1
+            else:
+                del known[unit]
         return out
 
 
-def _encoded(definition, end_id: int):
+#: The encoders of this Python worker: later tasks find the units of earlier ones.
+_ENCODERS: dict[tuple[str, str], UnitEncoder] = {}
+
+
+def encoder_of(definition: str, kind: str) -> UnitEncoder:
+    if (definition, kind) not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[definition, kind] = UnitEncoder(definition, kind)
+    return _ENCODERS[definition, kind]
+
+
+def _encoded(definition, kind: str, end_id: int):
     def run(batches):
-        encoder = UnitEncoder(definition.value)
+        encoder, last = encoder_of(definition.value, kind), np.array([end_id], kind).tobytes()
         for batch in batches:
             texts = batch.column("text")
             sizes = np.cumsum([0, *(len(t.as_buffer()) if t.is_valid else 0 for t in texts)])
@@ -121,36 +135,40 @@ def _encoded(definition, end_id: int):
             while first < len(texts):
                 end = max(first + 1, int(np.searchsorted(sizes, sizes[first] + SLICE_BYTES, "right")) - 1)
                 part = [t or "" for t in texts.slice(first, end - first).to_pylist()]
-                ids = [np.append(x, np.uint32(end_id)).astype("<u4").tobytes() for x in encoder.encode(part)]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(first, len(part)), pa.array(ids, pa.binary())], ["doc_id", "ids"]
+                    [batch.column("doc_id").slice(first, len(part)), pa.array(encoder.encode(part, last), pa.binary())], ["doc_id", "ids"]
                 )
                 first = end
 
     return run
 
 
-def encode(docs: DataFrame, tokenizer_file: str, end_id: int = END_ID) -> DataFrame:
-    """doc_id and ``ids``: the document's ids with the end id, as little-endian 32-bit integers."""
-    definition = docs.sparkSession.sparkContext.broadcast(Path(tokenizer_file).read_text(encoding="utf-8"))
+def encode(docs: DataFrame, tokenizer_file: str, end_id: int = END_ID) -> tuple[DataFrame, str]:
+    """doc_id and ``ids``, the document's ids with the end id as little-endian integers, and their type."""
+    definition = Path(tokenizer_file).read_text(encoding="utf-8")
+    kind = id_type(definition, end_id)
     rows = with_types(docs, doc_id="long", text="string")
-    return rows.mapInArrow(_encoded(definition, end_id), "doc_id long, ids binary")
+    shared = docs.sparkSession.sparkContext.broadcast(definition)
+    return rows.mapInArrow(_encoded(shared, kind, end_id), "doc_id long, ids binary"), kind
 
 
-def _counted(batches):
-    total = np.zeros(0, np.int64)
-    for batch in batches:
-        ids = np.frombuffer(b"".join(batch.column("ids").to_pylist()), "<u4")
-        found = np.bincount(ids, minlength=len(total))
-        found[:len(total)] += total
-        total = found
-    some = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["id", "n"])
+def _counted(kind: str):
+    def run(batches):
+        total = np.zeros(0, np.int64)
+        for batch in batches:
+            ids = np.frombuffer(b"".join(batch.column("ids").to_pylist()), kind)
+            found = np.bincount(ids, minlength=len(total))
+            found[:len(total)] += total
+            total = found
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["id", "n"])
+
+    return run
 
 
-def rank_ids(encoded: DataFrame) -> np.ndarray:
+def rank_ids(encoded: DataFrame, kind: str) -> np.ndarray:
     """Ids by falling frequency, then by number: as many entries as the vocabulary has ids in use."""
-    counts = encoded.select("ids").mapInArrow(_counted, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    counts = encoded.select("ids").mapInArrow(_counted(kind), "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
     found = counts.toPandas().sort_values(["n", "id"], ascending=[False, True])
     return found["id"].to_numpy(np.uint32)
 
@@ -167,7 +185,7 @@ def write_file(uri: str, docs: list[int | None], sizes: list[int], numbers: np.n
         out.write(octets)
 
 
-def _written(folder: str, ranked):
+def _written(folder: str, ranked, kind: str):
     def run(batches):
         ranks = np.zeros(int(ranked.value.max()) + 1 if len(ranked.value) else 1, np.uint32)
         ranks[ranked.value] = np.arange(len(ranked.value), dtype=np.uint32)
@@ -183,7 +201,7 @@ def _written(folder: str, ranked):
 
         for batch in batches:
             for doc, ids in zip(batch.column("doc_id").to_pylist(), batch.column("ids"), strict=True):
-                held.append(np.frombuffer(ids.as_buffer(), "<u4"))
+                held.append(np.frombuffer(ids.as_buffer(), kind))
                 docs.append(doc)
                 sizes.append(len(held[-1]))
                 total += sizes[-1]
@@ -196,16 +214,16 @@ def _written(folder: str, ranked):
     return run
 
 
-def write_files(encoded: DataFrame, folder: str) -> DataFrame:
+def write_files(encoded: DataFrame, kind: str, folder: str) -> DataFrame:
     """Writes the files and the rank table below ``folder``; one row per file: part, seq, file, n_docs, n_ids."""
     spark = encoded.sparkSession
-    ranked = rank_ids(encoded)
+    ranked = rank_ids(encoded, kind)
     with open_new(f"{folder}/ranks.json") as out:
         out.write(json.dumps(ranked.tolist()).encode())
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = encoded.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "ids")
-    kind = "part int, seq int, file string, n_docs long, n_ids long"
-    return staged(ordered.mapInArrow(_written(folder, spark.sparkContext.broadcast(ranked)), kind), "files")
+    row = "part int, seq int, file string, n_docs long, n_ids long"
+    return staged(ordered.mapInArrow(_written(folder, spark.sparkContext.broadcast(ranked), kind), row), "files")
 
 
 def read_file(uri: str, ranked: np.ndarray):
@@ -257,5 +275,5 @@ def read_files(files: DataFrame, folder: str) -> DataFrame:
 def token_files(docs: DataFrame, tokenizer_file: str, end_id: int = END_ID) -> DataFrame:
     """Encodes, writes below the shared folder and reads back."""
     folder = shared_folder(docs.sparkSession, "token-ids")
-    encoded = staged(encode(docs, tokenizer_file, end_id), "encoded")
-    return read_files(write_files(encoded, folder), folder)
+    encoded, kind = encode(docs, tokenizer_file, end_id)
+    return read_files(write_files(staged(encoded, "encoded"), kind, folder), folder)
