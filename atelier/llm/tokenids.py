@@ -43,7 +43,7 @@ from atelier.llm.textbytes import SLICE_BYTES
 END_ID = 2
 UNIT = re.compile(r"(?<=\S)(?=[ \n])")
 #: Units longer than this, and more units than this, aren't kept.
-KEEP_CHARS, KEEP_UNITS = 48, 500_000
+KEEP_CHARS, KEEP_UNITS = 48, 1_000_000
 #: A file ends after the document that brings it to so many ids.
 FILE_TOKENS = 1 << 22
 #: Tasks that read files back.
