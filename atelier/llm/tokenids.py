@@ -14,7 +14,8 @@ order, and a running sum over files gives every document's start.
 Words recur, so each Python worker keeps the ids of the short word units it met. A unit
 begins at a space or newline that follows a character other than white space;
 there the byte-level pattern always splits, so encoding units one by one gives
-the ids of the whole text.
+the ids of the whole text. Units that begin and end like that can stand side by
+side in one string; the byte lengths of its ids tell them apart again.
 
 Defined results: null and empty texts have the end id only. Documents without
 an id come first. Rows with the same id follow each other, ordered by their
@@ -28,6 +29,7 @@ import os
 import re
 import struct
 import zlib
+from itertools import islice
 from pathlib import Path
 
 import numpy as np
@@ -41,9 +43,12 @@ from atelier.llm.staging import shared_folder, staged, with_types
 from atelier.llm.textbytes import SLICE_BYTES
 
 END_ID = 2
-UNIT = re.compile(r"(?<=\S)(?=[ \n])")
+#: A unit goes on over white space that begins with another character than a space or newline.
+UNIT = re.compile(r"\s*+\S++(?:[^\S \n]\s*+\S*+)*+|\s++")
 #: Units longer than this, and more units than this, aren't kept.
 KEEP_CHARS, KEEP_UNITS = 48, 1_000_000
+#: Units that are encoded side by side.
+PACKED_UNITS = 256
 #: A file ends after the document that brings it to so many ids.
 FILE_TOKENS = 1 << 22
 #: Tasks that read files back.
@@ -96,21 +101,44 @@ class UnitEncoder:
 
         self.tokenizer, self.kind = Tokenizer.from_str(definition), kind
         self.known: dict[str, bytes] = {}
+        names = self.tokenizer.get_vocab()
+        #: Bytes of each id, as the byte-level alphabet has one character for each.
+        self.id_bytes = np.zeros(max(names.values(), default=0) + 1, np.int64)
+        self.id_bytes[list(names.values())] = [len(name) for name in names]
+
+    def one_by_one(self, units: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(units, add_special_tokens=False)
+        return [np.array(f.ids, self.kind).tobytes() for f in found]
+
+    def side_by_side(self, units: list[str]) -> list[bytes]:
+        """The ids of units that begin with a space or newline and don't end with white space."""
+        ids = np.array(self.tokenizer.encode_batch_fast(["".join(units)], add_special_tokens=False)[0].ids, np.int64)
+        reached = np.cumsum(self.id_bytes[ids])
+        ends = np.cumsum([len(u.encode()) for u in units])
+        last = np.searchsorted(reached, ends)
+        if last[-1] != len(ids) - 1 or (reached[last] != ends).any():
+            return self.one_by_one(units)  # a tokenizer whose ids have other lengths
+        flat, cuts = ids.astype(self.kind).tobytes(), [0, *((last + 1) * np.dtype(self.kind).itemsize).tolist()]
+        return [flat[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
 
     def encode(self, texts: list[str], end: bytes) -> list[bytes]:
-        split = [UNIT.split(t) if t else [] for t in texts]
+        split = [UNIT.findall(t) for t in texts]
         known = self.known
-        fresh = list({u for units in split for u in units if u not in known})
-        found = self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)
-        known.update((u, np.array(f.ids, self.kind).tobytes()) for u, f in zip(fresh, found, strict=True))
+        room = max(KEEP_UNITS - len(known), 0)
+        fresh = set().union(*split).difference(known)
+        edges = [u for u in fresh if u[0] not in " \n" or u[-1].isspace()]
+        inner = list(fresh.difference(edges))
+        known.update(zip(edges, self.one_by_one(edges), strict=True))
+        for k in range(0, len(inner), PACKED_UNITS):
+            part = inner[k:k + PACKED_UNITS]
+            known.update(zip(part, self.side_by_side(part), strict=True))
         out = [b"".join(map(known.__getitem__, units)) + end for units in split]
         # Frequent units come early, so what is kept stays; the rest is forgotten.
-        room = KEEP_UNITS - (len(known) - len(fresh))
-        for unit in fresh:
-            if room > 0 and len(unit) <= KEEP_CHARS:
-                room -= 1
-            else:
-                del known[unit]
+        for unit in [u for u in fresh if len(u) > KEEP_CHARS]:
+            fresh.discard(unit)
+            del known[unit]
+        for unit in islice(fresh, room, None):
+            del known[unit]
         return out
 
 
