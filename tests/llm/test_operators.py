@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import plain
@@ -12,6 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from atelier.llm import decontaminate, exactdedup, langid, linededup, mixing, ngramjoin, secretscan, tokenids, toxicity, warc
+from atelier.llm.components import components
 from atelier.llm.queries import queries, tokenizer_file
 from atelier.llm.staging import remainder, with_types
 
@@ -189,6 +191,33 @@ def test_near_groups_in_cut_blocks(edge_docs):
     assert got == plain.near_groups(texts(docs))
 
 
+@pytest.mark.parametrize("n_links", [0, 1, 40, 90, 400])
+def test_components(spark, n_links):
+    """Chains, stars and dense graphs; node names in no order along them."""
+    rng = np.random.default_rng(n_links)
+    name = rng.permutation(120).tolist()
+    pairs = [(name[k], name[k + 1]) for k in range(60) if k % 20 and n_links] + [(name[70], name[k]) for k in range(71, 90) if n_links]
+    pairs += [(name[a], name[b]) for a, b in rng.integers(90, 120, (n_links, 2)).tolist()]
+    root = list(range(120))
+    for _ in range(120):
+        for a, b in pairs:
+            root[a] = root[b] = min(root[a], root[b])
+    got = components(spark.createDataFrame(pairs, "u long, v long")).collect()
+    assert Counter((r.node, r.root) for r in got) == Counter((k, root[k]) for k in range(120) if root[k] != k)
+
+
+def test_units_encode_like_whole_texts():
+    from tokenizers import Tokenizer
+
+    definition = Path(tokenizer_file()).read_text(encoding="utf-8")
+    whole, encoder, rng = Tokenizer.from_str(definition), tokenids.UnitEncoder(definition, "<u2"), np.random.default_rng(9)
+    parts = [*"ab's1.!, \n\t\r\x1c\x85", "  ", "é", "☃", "日本", "'ll", "<|endoftext|>"]
+    some = ["".join(rng.choice(parts, rng.integers(0, 25))) for _ in range(3000)]
+    want = [np.array([*whole.encode(t, add_special_tokens=False).ids, 2], "<u2").tobytes() for t in some]
+    got = [ids for k in range(0, len(some), 100) for ids in encoder.encode(some[k:k + 100], want[0][-2:])]
+    assert got == want
+
+
 def test_tree_finds_every_link():
     rng = np.random.default_rng(6)
     base = rng.integers(0, 1 << 60, 60, dtype=np.uint64)
