@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from atelier.llm.bitmap import BitMap, bits_for, collect_bits
 from atelier.llm.staging import staged, with_types
 from atelier.llm.textbytes import IS_ALNUM, LOWER, ByteHash, mix64, spans_of, text_slices
+from atelier.llm.workers import lean
 
 #: The masks ignore every third, fourth or fifth word.
 MASKS = ("11011011011", "11101110111", "11011110111")
@@ -198,15 +199,15 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, mark (a hash of the text), item_id, matched, word_start, word_end: one row per document and item."""
     spark = docs.sparkSession
     items = with_types(benchmark, item_id="long", text="string")
-    seeds = staged(items.mapInArrow(_item_seeds, "hash long, item_id long, n_words long, item_words binary"), "seeds")
+    seeds = staged(items.mapInArrow(lean(_item_seeds), "hash long, item_id long, n_words long, item_words binary"), "seeds")
     stats = seeds.agg(F.count("*"), F.collect_set(F.when(F.col("n_words") < SPAN, F.col("n_words")))).first()
     table = spark.sparkContext.broadcast(collect_bits(seeds, "hash", bits_for(stats[0])))
     rows = with_types(docs, doc_id="long", text="string").select("doc_id", F.xxhash64("text").alias("mark"), "text")
-    hits = rows.mapInArrow(_text_hits(table, sorted(stats[1])), "hash long, doc_id long, mark long, at long, doc_words binary")
+    hits = rows.mapInArrow(lean(_text_hits(table, sorted(stats[1]))), "hash long, doc_id long, mark long, at long, doc_words binary")
     hits = hits.withColumn("salt", F.pmod(F.xxhash64("doc_id", "mark"), F.lit(SALTS)))
     salted = seeds.withColumn("salt", F.explode(F.array(*[F.lit(k).cast("long") for k in range(SALTS)])))
     kind = "doc_id long, mark long, item_id long, matched long, word_start long, word_end long"
-    found = hits.join(salted, ["hash", "salt"]).mapInArrow(_verified, kind)
+    found = hits.join(salted, ["hash", "salt"]).mapInArrow(lean(_verified), kind)
     best = F.max(F.struct("matched", (-F.col("word_start")).alias("first"), F.col("word_end").alias("last"))).alias("best")
     return found.groupBy("doc_id", "mark", "item_id").agg(best).select(
         "doc_id", "mark", "item_id", F.col("best.matched").alias("matched"),

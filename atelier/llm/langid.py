@@ -29,6 +29,7 @@ from pyspark.sql import types as T
 
 from atelier.llm.staging import schema
 from atelier.llm.textbytes import text_slices
+from atelier.llm.workers import lean
 
 UNDETERMINED = "und"
 WINDOW = 128
@@ -234,7 +235,7 @@ def identify(docs: DataFrame, model: ByteNetwork | None, row: Column, text: str
     if model is None:
         return rows.select("row", F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score"))
     out = T.StructType([rows.schema["row"], *schema(lang_pred="string", score="double")])
-    return rows.mapInArrow(_predictor(pickle.dumps(model)), out)
+    return rows.mapInArrow(lean(_predictor(pickle.dumps(model))), out)
 
 
 def identified_rows(docs: DataFrame, model: ByteNetwork | None, least: float) -> DataFrame:

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from atelier.llm.staging import staged, with_types
 from atelier.llm.textbytes import text_slices, words_of
+from atelier.llm.workers import lean
 
 WEIGHTS = (5, 2, 1)
 MAX_REPEATS = 3
@@ -51,7 +52,7 @@ def measured(docs: DataFrame) -> DataFrame:
     """doc_id, source, size in words, and ``mark``, a hash of the text."""
     rows = with_types(docs, doc_id="long", source="string", text="string")
     rows = rows.select("doc_id", "source", F.xxhash64("text").alias("mark"), "text")
-    return rows.mapInArrow(_sizes, "doc_id long, source string, mark long, size long")
+    return rows.mapInArrow(lean(_sizes), "doc_id long, source string, mark long, size long")
 
 
 def targets(sizes: dict[str | None, int], weights=WEIGHTS, cap: int = MAX_REPEATS) -> dict[str | None, Fraction]:

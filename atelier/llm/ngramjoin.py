@@ -45,6 +45,7 @@ from atelier.llm.bitmap import BitMap, bits_for, collect_bits
 from atelier.llm.components import components
 from atelier.llm.staging import staged, with_types
 from atelier.llm.textbytes import LOWER, ByteHash, mix64, pack_lists, text_slices, words_of
+from atelier.llm.workers import lean, lean_group
 
 WORDS = 5
 PERCENT = 75
@@ -238,9 +239,9 @@ def survivors(rows: DataFrame, classes: DataFrame, width: int, percent: int) ->
     spark = rows.sparkSession
     total = classes.agg(F.sum("n_shingles")).first()[0] or 0
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // BUCKET_SHINGLES))
-    packets = rows.mapInArrow(_packets(width, buckets), PACKET)
-    counts = packets.groupBy("bucket").applyInArrow(lambda t: count_shared(t, buckets), "cell int, keys binary, counts binary")
-    shared = counts.groupBy("cell").applyInArrow(sum_shared, "short long, shared long")
+    packets = rows.mapInArrow(lean(_packets(width, buckets)), PACKET)
+    counts = packets.groupBy("bucket").applyInArrow(lean_group(lambda t: count_shared(t, buckets)), "cell int, keys binary, counts binary")
+    shared = counts.groupBy("cell").applyInArrow(lean_group(sum_shared), "short long, shared long")
     return classes.join(shared, "short").where(F.col("shared") * 100 >= F.col("n_shingles") * percent).drop("shared")
 
 
@@ -275,7 +276,7 @@ def survivor_sets(rows: DataFrame, chosen: DataFrame, width: int) -> DataFrame:
     draws = chosen.select(F.xxhash64("doc_id").alias("draw"))
     table = spark.sparkContext.broadcast(collect_bits(draws, "draw", bits_for(draws.count())))
     sets = rows.select("doc_id", "text", F.xxhash64("doc_id").alias("draw")).mapInArrow(
-        _chosen_sets(width, table), "rep_id long, set_key binary, shingles binary"
+        lean(_chosen_sets(width, table)), "rep_id long, set_key binary, shingles binary"
     )
     same = (F.col("key") == F.col("set_key")) & F.col("doc_id").eqNullSafe(F.col("rep_id"))
     return chosen.join(sets, same).drop("rep_id", "set_key").dropDuplicates(["key"])
@@ -303,7 +304,7 @@ def _order_sums(group: pa.Table) -> pa.Table:
 
 def shingle_order(sets: DataFrame) -> np.ndarray:
     """A table of fixed size: how often the survivors have a shingle with these leading bits."""
-    counts = sets.select("shingles").mapInArrow(_order_counts, "part int, counts binary")
+    counts = sets.select("shingles").mapInArrow(lean(_order_counts), "part int, counts binary")
     sums = counts.groupBy("part").applyInArrow(_order_sums, "part int, counts binary")
     table = np.zeros((ORDER_ROWS, (1 << ORDER_BITS) // ORDER_ROWS), np.int64)
     for part, blob in sums.collect():
@@ -338,7 +339,7 @@ def _first(percent: int, table):
 def block_labels(sets: DataFrame, percent: int) -> DataFrame:
     """short and label: survivors of one label share first shingles, directly or through others."""
     table = sets.sparkSession.sparkContext.broadcast(shingle_order(sets))
-    mentions = staged(sets.select("short", "shingles").mapInArrow(_first(percent, table), "shingle long, short long"), "first-shingles")
+    mentions = staged(sets.select("short", "shingles").mapInArrow(lean(_first(percent, table)), "shingle long, short long"), "first-shingles")
     pivots = mentions.groupBy("shingle").agg(F.min("short").alias("v"), F.max("short").alias("other")).where("v < other")
     pivots = staged(pivots.drop("other"), "pivots")
     links = mentions.join(pivots, "shingle").where("short != v").select(F.col("short").alias("u"), "v")
@@ -518,7 +519,7 @@ def _block(percent: int, all_links: bool):
 def document_classes(docs: DataFrame, width: int = WORDS) -> DataFrame:
     """doc_id, n_shingles and key, the class of equal sets (null for an empty set), for each row."""
     rows = with_types(docs, doc_id="long", text="string")
-    return staged(rows.mapInArrow(_classed(width), "doc_id long, n_shingles long, key binary"), "classes")
+    return staged(rows.mapInArrow(lean(_classed(width)), "doc_id long, n_shingles long, key binary"), "classes")
 
 
 def class_table(classed: DataFrame) -> DataFrame:
@@ -533,7 +534,7 @@ def links(docs: DataFrame, classes: DataFrame, width: int = WORDS, percent: int
     chosen = staged(survivors(rows, classes, width, percent), "survivors")
     sets = staged(survivor_sets(rows, chosen, width), "sets")
     blocks = blocked(sets, percent, most).groupBy("label", "a", "i", "b", "j")
-    return blocks.applyInArrow(_block(percent, all_links), "u binary, v binary")
+    return blocks.applyInArrow(lean_group(_block(percent, all_links)), "u binary, v binary")
 
 
 def near_groups(docs: DataFrame, width: int = WORDS, percent: int = PERCENT, most: int = BLOCK_SETS) -> DataFrame:

@@ -62,7 +62,7 @@ class ByteHash:
     def _grown(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self._powers) < n:
             powers, inverses = self._run(self.base, n), self._run(self.inverse, n)
-            if n > 4 * SLICE_BYTES:  # kept for usual slices only
+            if n > SLICE_BYTES + 1:  # kept for usual slices only
                 return powers, inverses
             self._powers, self._inverses = powers, inverses
         return self._powers[:n], self._inverses[:n]

@@ -41,6 +41,7 @@ from pyspark.sql import functions as F
 from atelier.llm.files import new_name, open_file, open_new
 from atelier.llm.staging import shared_folder, staged, with_types
 from atelier.llm.textbytes import SLICE_BYTES
+from atelier.llm.workers import kept, lean
 
 END_ID = 2
 #: A unit goes on over white space that begins with another character than a space or newline.
@@ -142,15 +143,9 @@ class UnitEncoder:
         return out
 
 
-#: The encoders of this Python worker: later tasks find the units of earlier ones.
-_ENCODERS: dict[tuple[str, str], UnitEncoder] = {}
-
-
 def encoder_of(definition: str, kind: str) -> UnitEncoder:
-    if (definition, kind) not in _ENCODERS:
-        _ENCODERS.clear()
-        _ENCODERS[definition, kind] = UnitEncoder(definition, kind)
-    return _ENCODERS[definition, kind]
+    """This Python worker's encoder: later tasks find the units of earlier ones."""
+    return kept(("encoder", definition, kind), lambda: UnitEncoder(definition, kind))
 
 
 def _encoded(definition, kind: str, end_id: int):
@@ -177,7 +172,7 @@ def encode(docs: DataFrame, tokenizer_file: str, end_id: int = END_ID) -> tuple[
     kind = id_type(definition, end_id)
     rows = with_types(docs, doc_id="long", text="string")
     shared = docs.sparkSession.sparkContext.broadcast(definition)
-    return rows.mapInArrow(_encoded(shared, kind, end_id), "doc_id long, ids binary"), kind
+    return rows.mapInArrow(lean(_encoded(shared, kind, end_id), keeps=True), "doc_id long, ids binary"), kind
 
 
 def _counted(kind: str):
@@ -196,7 +191,7 @@ def _counted(kind: str):
 
 def rank_ids(encoded: DataFrame, kind: str) -> np.ndarray:
     """Ids by falling frequency, then by number: as many entries as the vocabulary has ids in use."""
-    counts = encoded.select("ids").mapInArrow(_counted(kind), "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    counts = encoded.select("ids").mapInArrow(lean(_counted(kind)), "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
     found = counts.toPandas().sort_values(["n", "id"], ascending=[False, True])
     return found["id"].to_numpy(np.uint32)
 
@@ -251,7 +246,7 @@ def write_files(encoded: DataFrame, kind: str, folder: str) -> DataFrame:
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = encoded.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "ids")
     row = "part int, seq int, file string, n_docs long, n_ids long"
-    return staged(ordered.mapInArrow(_written(folder, spark.sparkContext.broadcast(ranked), kind), row), "files")
+    return staged(ordered.mapInArrow(lean(_written(folder, spark.sparkContext.broadcast(ranked), kind)), row), "files")
 
 
 def read_file(uri: str, ranked: np.ndarray):
@@ -297,7 +292,7 @@ def read_files(files: DataFrame, folder: str) -> DataFrame:
     placed = files.join(F.broadcast(parts), "part").select("file", (F.col("before") + within).alias("start"))
     # A task for each file: the names alone are so short that Spark would give them all to one.
     placed = placed.repartition(max(1, min(files.count(), MAX_READERS)))
-    return placed.mapInArrow(_read_back(folder), "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return placed.mapInArrow(lean(_read_back(folder)), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def token_files(docs: DataFrame, tokenizer_file: str, end_id: int = END_ID) -> DataFrame:
