@@ -6,8 +6,10 @@ taken as often as the target holds the source whole; the rest of the target
 is a budget to fit with a subset of its documents:
 
 1. documents are counted by exact length (one row per source and length);
-2. each length gives its share of documents, rounded down; single documents of
-   the lengths that lost most by rounding follow while a large budget is left;
+2. each length that fits the budget gives its share of documents, rounded down;
+   single documents of the lengths that lost most by rounding follow; this is
+   repeated over the documents still free and still fitting while a large budget
+   is left;
 3. bounded-knapsack dynamic programming over the counts that remain finds the
    largest sum within the last ``DP_BUDGET`` words;
 4. of each length, the documents with the smallest seeded hashes are taken.
@@ -16,6 +18,10 @@ Step 4 ranks documents in hash buckets: whole buckets are taken by their
 counts, and only the bucket in which a length's number falls is ranked, so a
 length that holds a third of all documents is never sorted in one task.
 
+A target is missed by less than the shortest document left out, or by what no
+sum of those left within the last words can fill; by more only where all
+documents that fit are taken.
+
 Defined results: a null or empty text has size 0 and is never taken. Rows with
 the same id are documents of their own. An empty table gives no rows.
 """
@@ -109,16 +115,26 @@ def fit(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
         return np.zeros(len(lengths), np.int64)
     if budget >= total:
         return counts.copy()
-    exact = [Fraction(int(c)) * budget / total for c in counts]
-    take = np.array([int(x) for x in exact], np.int64)
-    lost = np.array([float(x - int(x)) for x in exact])
-    left = budget - int((lengths * take).sum())
-    for k in np.lexsort((lengths, -lost)).tolist():
-        if left <= DP_BUDGET:
+    take, left = np.zeros(len(lengths), np.int64), budget
+    # A round takes a document at least, or all that fit; lengths that no longer fit leave, so rounds are few.
+    while left > DP_BUDGET:
+        free = np.where((lengths > 0) & (lengths <= left), counts - take, 0)
+        total = int((lengths * free).sum())
+        if total <= left:
+            take += free
+            left -= total
             break
-        if take[k] < counts[k] and 0 < lengths[k] <= left:
-            take[k] += 1
-            left -= int(lengths[k])
+        exact = [Fraction(int(c)) * left / total for c in free]
+        share = np.array([int(x) for x in exact], np.int64)
+        lost = np.array([float(x - int(x)) for x in exact])
+        take += share
+        left -= int((lengths * share).sum())
+        for k in np.lexsort((lengths, -lost)).tolist():
+            if left <= DP_BUDGET:
+                break
+            if take[k] < counts[k] and 0 < lengths[k] <= left:
+                take[k] += 1
+                left -= int(lengths[k])
     order = np.lexsort((-lengths,))  # long documents first: few steps to a sum
     small = order[lengths[order] <= min(left, DP_BUDGET)]
     take[small] += largest_sum(lengths[small], (counts - take)[small], min(left, DP_BUDGET))

@@ -126,6 +126,32 @@ def test_knapsack_fits_exactly():
         assert ((fit := mixing.fit(lengths, counts, budget)) <= counts).all() and budget - (fit * lengths).sum() < 60
 
 
+@pytest.mark.parametrize(
+    ("lengths", "counts", "budget", "taken"),
+    [
+        ([100, 1_000_000], [1_000, 1], 550_000, 100_000),  # all that fit
+        ([100, 1_000_000], [9_000, 1], 550_000, 550_000),
+        ([70, 90_000, 400_000], [40_000, 3, 2], 1_000_030, 1_000_000),
+        ([20_000, 30_000], [5, 5], 215_000, 200_000),
+    ],
+)
+def test_fit_with_documents_longer_than_the_rest(lengths, counts, budget, taken):
+    lengths, counts = np.array(lengths), np.array(counts)
+    take = mixing.fit(lengths, counts, budget)
+    assert (take <= counts).all() and (take * lengths).sum() == taken
+
+
+def test_fit_leaves_nothing_that_fits():
+    rng = np.random.default_rng(12)
+    for _ in range(60):
+        lengths = np.unique(rng.integers(1, 10 ** rng.integers(2, 7, 6)))
+        counts = rng.integers(1, 10 ** rng.integers(1, 5, len(lengths)))
+        budget = int(rng.integers(1, (lengths * counts).sum() + 1))
+        take = mixing.fit(lengths, counts, budget)
+        left = budget - int((take * lengths).sum())
+        assert (take <= counts).all() and left >= 0 and not ((take < counts) & (lengths <= left)).any()
+
+
 def test_token_files(edge_docs):
     from tokenizers import Tokenizer
 
