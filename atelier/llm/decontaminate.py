@@ -9,8 +9,11 @@ home. Those left are joined by hash, together with the words around them, and
 each hit is extended along its diagonal: a matching word adds 1, a
 substituted one costs ``COST``, and the best extension on either side counts.
 A document is contaminated by an item if an extended hit has at least
-``MIN_MATCH`` equal words, or all words of a shorter item, and they are at
-least ``MIN_SHARE`` of its length.
+``MIN_MATCH`` equal words and they are at least ``MIN_SHARE`` of its length.
+An item of fewer than ``SHORT_ITEM`` words is held against the words beside it
+as a whole: at least ``SHORT_SHARE`` of its words must be equal, wherever the
+others are. Such items have seeds of two pairs of words more, no, two or four
+words apart; however the substituted words lie, one of them is left whole.
 
 A passage that a third of all documents contain makes hits by the same few
 hashes; the join is salted, so they spread over tasks.
@@ -18,7 +21,7 @@ hashes; the join is salted, so they spread over tasks.
 Words are runs of letters and digits, A-Z lower-cased, so punctuation and
 markup between words don't matter. Defined results: null and empty texts are
 clean; an item with fewer than ``MIN_ITEM`` words is too common to be evidence
-and is ignored; an item of fewer words than a mask is one unbroken seed.
+and is ignored.
 """
 
 from __future__ import annotations
@@ -36,11 +39,15 @@ from atelier.llm.workers import lean
 #: The masks ignore every third, fourth or fifth word.
 MASKS = ("11011011011", "11101110111", "11011110111")
 SPAN = 11
+#: Two of four neighbouring pairs of words, for short items.
+SHORT_MASKS = ("1111", "110011", "11000011")
 CONTEXT = 24
 WIDTH = CONTEXT + SPAN + CONTEXT
 MIN_MATCH = 13
 MIN_SHARE = 0.7
 MIN_ITEM = 8
+SHORT_ITEM = 20
+SHORT_SHARE = 0.75
 COST = 2
 SALTS = 8
 _WORD = ByteHash(301, LOWER)
@@ -75,9 +82,9 @@ def contexts(words: np.ndarray, first: np.ndarray, text: np.ndarray, at: np.ndar
     return np.where(inside, short[np.clip(where, 0, max(len(short) - 1, 0))], np.uint32(beyond)).astype("<u4")
 
 
-def all_masks(short_lengths) -> list[tuple[int, str]]:
-    """The spaced masks and an unbroken one for each length of short items: (number, mask)."""
-    return [*enumerate(MASKS), *((len(MASKS) + n, "1" * n) for n in short_lengths)]
+def all_masks(short: bool) -> list[tuple[int, str]]:
+    """The spaced masks, with those of short items if there are any: (number, mask)."""
+    return list(enumerate(MASKS + SHORT_MASKS if short else MASKS))
 
 
 def _hits(words, first, masks, holds):
@@ -100,13 +107,12 @@ def item_seeds(batch: pa.RecordBatch):
         words, first = word_hashes(data, offsets)
         sizes = np.diff(first)
         ids = batch.column("item_id").slice(start, len(sizes))
-        lengths = np.unique(sizes[(sizes >= MIN_ITEM) & (sizes < SPAN)])
 
         def fits(hashes, text, number, sizes=sizes):
             n = sizes[text]
-            return (n >= SPAN) if number < len(MASKS) else (n == number - len(MASKS))
+            return (n >= SPAN) if number < len(MASKS) else (n >= MIN_ITEM) & (n < SHORT_ITEM)
 
-        for hashes, text, at in _hits(words, first, all_masks(lengths.tolist()), fits):
+        for hashes, text, at in _hits(words, first, all_masks(True), fits):
             around = contexts(words, first, text, at, NO_ITEM_WORD)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -124,11 +130,11 @@ def _item_seeds(batches):
         yield from item_seeds(batch)
 
 
-def text_hits(batch: pa.RecordBatch, bits: BitMap, lengths: list[int]):
+def text_hits(batch: pa.RecordBatch, bits: BitMap, short: bool):
     """Positions of the texts whose seed may be in the benchmark."""
     for start, _, data, offsets in text_slices(batch.column("text")):
         words, first = word_hashes(data, offsets)
-        for hashes, text, at in _hits(words, first, all_masks(lengths), lambda h, t, k: bits.holds(h)):
+        for hashes, text, at in _hits(words, first, all_masks(short), lambda h, t, k: bits.holds(h)):
             around = contexts(words, first, text, at, NO_WORD)
             rows = pa.array(text + start)
             yield pa.RecordBatch.from_arrays(
@@ -143,11 +149,11 @@ def text_hits(batch: pa.RecordBatch, bits: BitMap, lengths: list[int]):
             )
 
 
-def _text_hits(table, lengths: list[int]):
+def _text_hits(table, short: bool):
     def run(batches):
         bits = BitMap(table.value)
         for batch in batches:
-            yield from text_hits(batch, bits, lengths)
+            yield from text_hits(batch, bits, short)
 
     return run
 
@@ -171,9 +177,15 @@ def verify(batch: pa.RecordBatch) -> pa.RecordBatch:
     """The hits whose extension is long and alike enough."""
     n = batch.num_rows
     doc, item = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u4").reshape(n, WIDTH) for c in ("doc_words", "item_words"))
-    matches, before, after = extended(doc == item)
-    need = np.minimum(MIN_MATCH, batch.column("n_words").to_numpy())
-    good = np.flatnonzero((matches >= need) & (matches >= MIN_SHARE * (before + after)))
+    equal, sizes = doc == item, batch.column("n_words").to_numpy()
+    matches, before, after = extended(equal)
+    good = (matches >= MIN_MATCH) & (matches >= MIN_SHARE * (before + after))
+    # The words around a seed hold all of a short item.
+    short = (sizes < SHORT_ITEM) & (equal.sum(axis=1) >= SHORT_SHARE * sizes)
+    matches = np.where(short, equal.sum(axis=1), matches)
+    before = np.where(short, CONTEXT - equal.argmax(axis=1), before)
+    after = np.where(short, WIDTH - CONTEXT - equal[:, ::-1].argmax(axis=1), after)
+    good = np.flatnonzero(good | short)
     at = batch.column("at").to_numpy()[good]
     rows = pa.array(good)
     return pa.RecordBatch.from_arrays(
@@ -200,10 +212,10 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     items = with_types(benchmark, item_id="long", text="string")
     seeds = staged(items.mapInArrow(lean(_item_seeds), "hash long, item_id long, n_words long, item_words binary"), "seeds")
-    stats = seeds.agg(F.count("*"), F.collect_set(F.when(F.col("n_words") < SPAN, F.col("n_words")))).first()
+    stats = seeds.agg(F.count("*"), F.count_if(F.col("n_words") < SHORT_ITEM)).first()
     table = spark.sparkContext.broadcast(collect_bits(seeds, "hash", bits_for(stats[0])))
     rows = with_types(docs, doc_id="long", text="string").select("doc_id", F.xxhash64("text").alias("mark"), "text")
-    hits = rows.mapInArrow(lean(_text_hits(table, sorted(stats[1]))), "hash long, doc_id long, mark long, at long, doc_words binary")
+    hits = rows.mapInArrow(lean(_text_hits(table, stats[1] > 0)), "hash long, doc_id long, mark long, at long, doc_words binary")
     hits = hits.withColumn("salt", F.pmod(F.xxhash64("doc_id", "mark"), F.lit(SALTS)))
     salted = seeds.withColumn("salt", F.explode(F.array(*[F.lit(k).cast("long") for k in range(SALTS)])))
     kind = "doc_id long, mark long, item_id long, matched long, word_start long, word_end long"

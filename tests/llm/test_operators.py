@@ -287,6 +287,31 @@ def test_decontamination(spark, edge_docs):
     assert Counter(r.doc_id for r in kept.collect()) == Counter(d for d, _ in texts(docs) if d not in found)
 
 
+def test_short_items_with_substituted_words(spark):
+    """Copies of items of 8 to 19 words with 0 to 2 substitutions everywhere, and 3 to 5 at random, against brute force."""
+    rng = np.random.default_rng(21)
+    items = {n: [f"i{n}w{k}" for k in range(n)] for n in range(8, 20)}
+    docs, want = [], set()
+    for n, words in items.items():
+        sets = [(), *((a,) for a in range(n)), *((a, b) for a in range(n) for b in range(a))]
+        sets += [tuple(rng.choice(n, k, replace=False).tolist()) for k in (3, 4, 5) for _ in range(15)]
+        for gone in sets:
+            copy = [f"x{len(docs)}" if k in gone else w for k, w in enumerate(words)]
+            if 4 * (n - len(gone)) >= 3 * n:
+                want.add((len(docs), n, n - len(gone)))
+            docs.append((len(docs), " ".join(["b"] * int(rng.integers(0, 4)) + copy + ["a"] * int(rng.integers(0, 4)))))
+    bench = spark.createDataFrame([(n, " ".join(w)) for n, w in items.items()], "item_id long, text string")
+    got = decontaminate.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()
+    found = {(r.doc_id, r.item_id, r.matched) for r in got}
+    # Of items of 18 and 19 words, 13 equal words close together are enough too.
+    assert want <= found and all(n > 17 and matched >= 13 for _, n, matched in found - want)
+    for r in got:
+        if (r.doc_id, r.item_id, r.matched) not in want:
+            continue
+        equal = [w.startswith("i") for w in docs[r.doc_id][1].split()]
+        assert sum(equal[r.word_start:r.word_end]) == sum(equal) and equal[r.word_start] and equal[r.word_end - 1]
+
+
 def test_decontamination_by_exact_search(spark):
     docs, bench = (spark.read.parquet(f"{SF_SMALL}/{t}.parquet") for t in ("documents", "benchmark"))
     items = [" " + " ".join(plain.words_only(r.text)) + " " for r in bench.collect()]
