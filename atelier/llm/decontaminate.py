@@ -7,9 +7,10 @@ are hashed, and so is every position of every training text; a bit map of
 bounded size over the benchmark's hashes keeps positions that can't match at
 home. Those left are joined by hash, together with the words around them, and
 each hit is extended along its diagonal: a matching word adds 1, a
-substituted one costs ``COST``, and the best extension on either side counts.
-A document is contaminated by an item if an extended hit has at least
-``MIN_MATCH`` equal words and they are at least ``MIN_SHARE`` of its length.
+substituted one has a cost, and the best extension on either side counts.
+A document is contaminated by an item if an extended hit has enough equal words
+and they are a large enough share of its length, by one of ``RULES``: the second
+asks for more words and bears more substitutions, such as every third word.
 An item of fewer than ``SHORT_ITEM`` words is held against the words beside it
 as a whole: at least ``SHORT_SHARE`` of its words must be equal, wherever the
 others are. Such items have seeds of two pairs of words more, no, two or four
@@ -43,12 +44,11 @@ SPAN = 11
 SHORT_MASKS = ("1111", "110011", "11000011")
 CONTEXT = 24
 WIDTH = CONTEXT + SPAN + CONTEXT
-MIN_MATCH = 13
-MIN_SHARE = 0.7
+#: A substituted word's cost, the least equal words and their least share.
+RULES = ((2, 13, 0.7), (1, 14, 0.6))
 MIN_ITEM = 8
 SHORT_ITEM = 20
 SHORT_SHARE = 0.75
-COST = 2
 SALTS = 8
 _WORD = ByteHash(301, LOWER)
 _FACTORS = np.random.default_rng(302).integers(1, 1 << 62, (64, SPAN), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -158,11 +158,11 @@ def _text_hits(table, short: bool):
     return run
 
 
-def extended(equal: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def extended(equal: np.ndarray, cost: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Equal words, words before the seed and words from it on, of each hit's best extension."""
 
     def side(part: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        score = np.cumsum(np.where(part, 1, -COST), axis=1)
+        score = np.cumsum(np.where(part, 1, -cost), axis=1)
         score = np.concatenate([np.zeros((len(part), 1), score.dtype), score], axis=1)
         length = score.argmax(axis=1)
         matches = np.concatenate([np.zeros((len(part), 1), int), np.cumsum(part, axis=1)], axis=1)
@@ -178,8 +178,12 @@ def verify(batch: pa.RecordBatch) -> pa.RecordBatch:
     n = batch.num_rows
     doc, item = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u4").reshape(n, WIDTH) for c in ("doc_words", "item_words"))
     equal, sizes = doc == item, batch.column("n_words").to_numpy()
-    matches, before, after = extended(equal)
-    good = (matches >= MIN_MATCH) & (matches >= MIN_SHARE * (before + after))
+    good, matches, before, after = np.zeros(n, bool), *np.zeros((3, n), np.int64)
+    for cost, least, share in RULES:
+        found, b, a = extended(equal, cost)
+        better = (found >= least) & (found >= share * (b + a)) & (found > matches)
+        good |= better
+        matches, before, after = (np.where(better, x, y) for x, y in ((found, matches), (b, before), (a, after)))
     # The words around a seed hold all of a short item.
     short = (sizes < SHORT_ITEM) & (equal.sum(axis=1) >= SHORT_SHARE * sizes)
     matches = np.where(short, equal.sum(axis=1), matches)

@@ -312,6 +312,16 @@ def test_short_items_with_substituted_words(spark):
         assert sum(equal[r.word_start:r.word_end]) == sum(equal) and equal[r.word_start] and equal[r.word_end - 1]
 
 
+def test_every_third_word_substituted(spark):
+    """What the first mask is there for passes verification, whichever third it is; every second word doesn't."""
+    items = {n: [f"i{n}w{k}" for k in range(n)] for n in (24, 40, 63)}
+    bench = spark.createDataFrame([(n, " ".join(w)) for n, w in items.items()], "item_id long, text string")
+    rows = [(100 * n + 10 * step + at, " ".join("x" if k % step == at else w for k, w in enumerate(words)))
+            for n, words in items.items() for step in (2, 3) for at in range(step)]
+    got = decontaminate.contaminated(spark.createDataFrame(rows, "doc_id long, text string"), bench).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == {(100 * n + 30 + at, n) for n in items for at in range(3)}
+
+
 def test_decontamination_by_exact_search(spark):
     docs, bench = (spark.read.parquet(f"{SF_SMALL}/{t}.parquet") for t in ("documents", "benchmark"))
     items = [" " + " ".join(plain.words_only(r.text)) + " " for r in bench.collect()]
