@@ -3,7 +3,8 @@
 Three base patterns are always reported. The lexer adds to them: it reads
 source and configuration text as statements that give a name a value
 (``name = "x"``, ``name := 'x'``, ``"name": "x"``, ``name: x``,
-``export NAME=x``, ``<name>x</name>``), keeps what each name stands for, and
+``name: type = "x"``, ``table["name"] = "x"``, ``export NAME=x``,
+``<name>x</name>``), keeps what each name stands for, and
 propagates constants: a name on the right-hand side, or a sum of names and
 literals, stands for the literals it leads to. A literal that reaches a name
 is scored by how sensitive the name is and by the literal's shape, and is
@@ -53,9 +54,26 @@ MIN_SCORE = 1.5
 MIN_LITERAL, MIN_PIECE = 8, 4
 
 _QUOTED = r"""(?:"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|`[^`\n]*`)"""
-_NAME = r"[A-Za-z_$][A-Za-z0-9_$.-]{0,63}"
-#: A name, an assignment sign, and the rest of the line up to a separator.
-STATEMENT = re.compile(rf"""(?<![A-Za-z0-9_$.-])["']?({_NAME})["']?[ \t]*(?::=|=>|[:=])(?!=)[ \t]*""")
+_NAME = r"[A-Za-z_$][A-Za-z0-9_$.-]*+"
+
+
+def _nested(opening: str, closing: str, depth: int = 6) -> str:
+    """Brackets on one line, nested up to ``depth``; without a choice, so read in one pass."""
+    other = rf"[^{opening}{closing}\n=]"
+    inner = rf"{opening}{other}*+{closing}"
+    for _ in range(depth):
+        inner = rf"{opening}(?:{other}|{inner})*+{closing}"
+    return inner
+
+
+_TYPE_NAME = rf"[A-Za-z_$][A-Za-z0-9_$.]*+(?:::[A-Za-z0-9_]++)*+(?:{_nested(r'\[', r'\]')}|{_nested('<', '>')})*+[?!]?"
+_TYPE = rf"(?:&(?:'[a-z_]++[ \t]++)?(?:mut[ \t]++)?)?{_TYPE_NAME}(?:[ \t]*+\|[ \t]*+{_TYPE_NAME})*+"
+#: A name, the bracket it may be a key in, an assignment sign, and the rest of the line up to a separator. After a
+#: colon a type and its sign are looked at only (group 2), as they may be a statement of their own.
+STATEMENT = re.compile(
+    rf"""(?<![A-Za-z0-9_$.-])["']?({_NAME})["']?(?:[ \t]*\]|[?!](?=[ \t]*:))?[ \t]*"""
+    rf"""(?:(?::=|=>|=)(?!=)[ \t]*|:(?!=)[ \t]*(?=({_TYPE}[ \t]*+=(?![=>])[ \t]*+)?))"""
+)
 ELEMENT = re.compile(rf"<({_NAME})(?:[ \t][^<>\n]*)?>([^<>\n]{{{MIN_LITERAL},}})</\1>")
 TERM = re.compile(rf"""[ \t]*(?:({_QUOTED})|([A-Za-z0-9_$.+/=~!@%^&*-]+))""")
 PLUS = re.compile(r"[ \t]*(?:\+|\.\.|\|\|)(?=[ \t\"'`A-Za-z_$])")
@@ -85,7 +103,7 @@ def assignments(text: str) -> list[tuple[str, list[tuple[int, int]], list[str]]]
     """For each statement, in order: the name, the spans of its literals, the names it refers to."""
     out = []
     for found in STATEMENT.finditer(text):
-        at, literals, names = found.end(), [], []
+        at, literals, names = found.end(2) if found[2] else found.end(), [], []
         while term := TERM.match(text, at):
             if term[1] is not None:
                 literals.append((term.start(1) + 1, term.end(1) - 1))

@@ -198,6 +198,18 @@ def test_secret_scan(edge_docs):
         ("export SESSION_SALT=9fK2mmQ81xZz", []),
         ('password = "changeme"', []),
         ("the token is a word: nothing more", []),
+        ('password: str = "aB3$xyz9Q!kk"', [(17, 29)]),
+        ("private password?: string | undefined = 'aB3$xyz9Q!kk';", [(41, 53)]),
+        ('val password: Map<String, List<String?>>? = "aB3$xyz9Q!kk"', [(45, 57)]),
+        ('static PASSWORD: &\'static str = "aB3$xyz9Q!kk";', [(33, 45)]),
+        ('part: Final[str] = "Zx81kQ9a77Lm"\napi_secret: str = part', [(20, 32)]),
+        ("args: password=Zx81kQ9a77Lm", [(15, 27)]),
+        ('config["password"] = "aB3$xyz9Q!kk"', [(22, 34)]),
+        ("os.environ['API_SECRET'] = 'aB3$xyz9Q!kk'", [(28, 40)]),
+        ('config["db"][ "password" ] = "aB3$xyz9Q!kk"', [(30, 42)]),
+        ('config["password"] == "aB3$xyz9Q!kk"', []),
+        ("a." * 60 + 'password = "aB3$xyz9Q!kk"', [(132, 144)]),
+        ("<" + "a." * 60 + "password>aB3$xyz9Q!kk</" + "a." * 60 + "password>", [(130, 142)]),
     ],
 )
 def test_lexer(text, literals):
