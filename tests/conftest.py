@@ -6,12 +6,8 @@ import tempfile
 
 import pytest
 
-ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-sys.path.insert(0, ROOT)
-sys.path.insert(0, os.path.join(ROOT, "tests"))
-
-SF_SMALL = "/root/testdata/sf0.001"
-SF_ORACLE = "/root/testdata/sf0.01"
+TESTS = os.path.dirname(os.path.abspath(__file__))
+sys.path[:0] = [TESTS, os.path.dirname(TESTS)]
 
 
 @pytest.fixture(scope="session")

@@ -20,7 +20,7 @@ from atelier.schemas import F_ORDER, MART, MART_BUSINESS_COLS, WATERMARK_LOG
 from atelier.sources import fixtures as fx
 from atelier.sources.star import commit_star
 from atelier.sources.tables import commit_version, current_commit, read_table
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 T0 = dt.datetime(2024, 1, 1)
 T1 = dt.datetime(2024, 2, 1)

@@ -7,7 +7,7 @@ import pytest
 
 import __spark_entry__ as E
 from compare import compare, duck
-from conftest import SF_ORACLE
+from paths import SF_ORACLE
 
 SUBSET = [
     "customer_month_measures",

@@ -18,7 +18,7 @@ from atelier.sources import fixtures as fx
 from atelier.sources import tables
 from atelier.sources.readers import SOURCE_COLUMNS, check_source, read_source
 from atelier.sources.star import newest_manifest, read_star
-from conftest import ROOT, SF_SMALL
+from paths import ROOT, SF_SMALL
 
 T0, T1, T2 = (dt.datetime(2024, m, 1) for m in (1, 2, 3))
 
