@@ -79,9 +79,86 @@ SELECT reach.doc_id, coalesce(any_value(n), 0) AS n_shingles, min(other) AS comp
 FROM reach LEFT JOIN sizes ON sizes.doc_id = reach.doc_id GROUP BY reach.doc_id
 """
 
+
+
+def _crc32(text: str) -> str:
+    """Unsigned CRC-32 of a text's UTF-8 bytes. The table's entry of a byte is the sum of the entries of its bits."""
+    entries = []
+    for bit in range(8):
+        value = 1 << bit
+        for _ in range(8):
+            value = (value >> 1) ^ (0xEDB88320 if value & 1 else 0)
+        entries.append(value)
+    low = "(xor(c, b) & 255)"
+    table = "0::BIGINT"
+    for bit, entry in enumerate(entries):
+        table = f"xor({table}, (({low} >> {bit}) & 1) * {entry}::BIGINT)"
+    digits = "'0123456789ABCDEF'"
+    data = (
+        f"list_transform(range(strlen({text})), lambda k: ((instr({digits}, substr(hex(encode({text})), 2 * k + 1, 1)) - 1) * 16"
+        f" + instr({digits}, substr(hex(encode({text})), 2 * k + 2, 1)) - 1)::BIGINT)"
+    )
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {data}), lambda c, b: xor(c >> 8, {table})), 4294967295::BIGINT)"
+
+
+def _merkle(fanout: int = 16, levels: int = 7, top_levels: int = 4) -> str:
+    """All groups climb ``levels`` levels, which holds for 16 ** 7 rows a source; a group of one node stays as it is."""
+
+    def field(value: str) -> str:
+        return f"coalesce(strlen({value}) || ':' || {value}, '-')"
+
+    def leaf(text: str) -> str:
+        return f"sha256({' || '.join(field(v) for v in ('doc_id::VARCHAR', 'source', 'lang', 'n_chars::VARCHAR', text))})"
+
+    def tree(prefix: str, group: str, depth: int) -> list[str]:
+        steps = []
+        for k in range(depth):
+            steps.append(
+                f"{prefix}runs{k} AS (SELECT {group}, idx // {fanout} AS idx, any_value(n) AS n, list(digest ORDER BY idx) AS ds"
+                f" FROM {prefix}{k} GROUP BY {group}, idx // {fanout})"
+            )
+            steps.append(
+                f"{prefix}{k + 1} AS (SELECT {group}, idx, (n + {fanout - 1}) // {fanout} AS n,"
+                f" CASE WHEN n = 1 THEN ds[1] ELSE sha256(array_to_string(ds, '')) END AS digest FROM {prefix}runs{k})"
+            )
+        return steps
+
+    def side(level: str, place: str, before: bool) -> str:
+        cut = f"ds[1:{place}]" if before else f"ds[{place} + 2:]"
+        return f"CASE WHEN {level}.n > 1 THEN array_to_string({level}.{cut}, '') ELSE '' END"
+
+    lower = f"translate(text, '{_UPPER}', '{_LOWER}')"
+    steps = [
+        f"leaves AS (SELECT doc_id, source, {leaf('text')} AS digest,"
+        f" CASE WHEN {_crc32('doc_id::VARCHAR')} % 5 = 0 THEN {leaf(lower)} ELSE {leaf('text')} END AS altered FROM documents)",
+        "d0 AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS idx, count(*) OVER (PARTITION BY source) AS n FROM leaves)",
+        *tree("d", "source", levels),
+        f"t0 AS (SELECT 0 AS g, source, digest, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS idx, count(*) OVER () AS n FROM d{levels})",
+        *tree("t", "g", top_levels),
+    ]
+    walked = "SELECT d0.doc_id, d0.digest AS leaf, top.digest AS subroot, top.idx AS top_idx, '' AS proof, d0.altered AS node, d0.source, d0.idx FROM d0 JOIN t0 top ON top.source IS NOT DISTINCT FROM d0.source"
+    steps.append(f"w0 AS ({walked})")
+    places = [(f"druns{k}", f"w.idx // {fanout ** k}", "r.source IS NOT DISTINCT FROM w.source") for k in range(levels)]
+    places += [(f"truns{k}", f"w.top_idx // {fanout ** k}", "true") for k in range(top_levels)]
+    for k, (runs, at, same) in enumerate(places):
+        place = f"(({at}) % {fanout})"
+        before, after = side("r", place, True), side("r", place, False)
+        steps.append(
+            f"w{k + 1} AS (SELECT w.* REPLACE (w.proof || {before} || {after} AS proof,"
+            f" CASE WHEN r.n > 1 THEN sha256({before} || w.node || {after}) ELSE w.node END AS node)"
+            f" FROM w{k} w JOIN {runs} r ON {same} AND r.idx = ({at}) // {fanout})"
+        )
+    last = f"w{len(places)}"
+    return (
+        "WITH " + ",\n".join(steps) + "\nSELECT doc_id, leaf, subroot, r.digest AS root, sha256(proof) AS proof_sha256,"
+        f" node AS folded_root, node = r.digest AS verified FROM {last}, t{top_levels} r"
+    )
+
+
 SQL = {
     "op3_line_dedup": LINE_DEDUP,
     "op4_warc": WARC,
     "op7_exact_dedup": EXACT_DEDUP,
     "op10_ngram_join": NGRAM_JOIN,
+    "op12_merkle_manifest": _merkle(),
 }

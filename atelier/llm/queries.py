@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from atelier.llm import decontaminate, exactdedup, langid, linededup, mixing, ngramjoin, secretscan, tokenids, toxicity, warc
+from atelier.llm import decontaminate, exactdedup, langid, linededup, merkle, mixing, ngramjoin, secretscan, tokenids, toxicity, warc
 from atelier.llm.staging import remainder, table, with_types
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -72,6 +72,14 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngramjoin.near_groups(table(spark, sf_dir, "documents"))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.when(remainder("doc_id", 5) == 0, merkle.leaf_digest(text=merkle.lower_ascii(F.col("text"))))
+    rows = merkle.manifest(table(spark, sf_dir, "documents"), carried={"tampered": tampered})
+    start = F.coalesce("tampered", "leaf")
+    found = rows.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"), merkle.folded(start, F.col("path")).alias("folded_root"))
+    return found.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is determined."""
     return langid.identified_rows(docs, _language_model(docs), LEAST_LANGUAGE_SCORE)
@@ -102,6 +110,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         f.__name__: f
         for f in (
             op1_language_id, op2_decontaminate, op3_line_dedup, op4_warc, op5_mixing, op6_token_ids,
-            op7_exact_dedup, op8_secret_scan, op9_toxicity, op10_ngram_join,
+            op7_exact_dedup, op8_secret_scan, op9_toxicity, op10_ngram_join, op12_merkle_manifest,
         )
     }
