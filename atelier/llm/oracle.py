@@ -155,10 +155,45 @@ def _merkle(fanout: int = 16, levels: int = 7, top_levels: int = 4) -> str:
     )
 
 
+SPELLING = f"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')), '{_UPPER}', '{_LOWER}') AS run FROM documents
+), counted AS (
+  SELECT coalesce(doc_id::VARCHAR, '') || ':' || run AS named, run, count(*) AS times FROM runs GROUP BY ALL
+), hashed AS (
+  SELECT run, times, {_crc32("named")} AS h FROM counted
+), spelled AS (
+  SELECT times, CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word
+  FROM hashed
+), words AS (
+  SELECT word, sum(times)::BIGINT AS n FROM spelled WHERE length(word) >= 5 GROUP BY word HAVING sum(times) >= 3
+), gaps AS (
+  SELECT word, n, k, substr(word, 1, k - 1) AS head, substr(word, k + 1) AS tail
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS k FROM words)
+), near AS (
+  SELECT x.word, y.word AS other, y.n FROM gaps x JOIN gaps y USING (k, head, tail) WHERE x.word <> y.word
+  UNION SELECT x.word, y.word, y.n FROM gaps x JOIN words y ON y.word = x.head || x.tail
+  UNION SELECT y.word, x.word, x.n FROM gaps x JOIN words y ON y.word = x.head || x.tail
+), best AS (
+  SELECT word, count(*) AS n_near, max(n) AS form_n, first(other ORDER BY n DESC, other) AS form FROM near GROUP BY word
+), formed AS (
+  SELECT word, words.n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 2 * words.n THEN form END AS form,
+         CASE WHEN form_n >= 2 * words.n THEN form_n END AS form_n
+  FROM words LEFT JOIN best USING (word)
+), chain(word, reached) AS (
+  SELECT word, word FROM formed
+  UNION ALL
+  SELECT chain.word, formed.form FROM chain JOIN formed ON formed.word = chain.reached WHERE formed.form IS NOT NULL
+)
+SELECT formed.word, formed.form, chain.reached AS root, formed.n, formed.n_near, formed.form_n
+FROM formed JOIN chain ON chain.word = formed.word JOIN formed ends ON ends.word = chain.reached WHERE ends.form IS NULL
+"""
+
 SQL = {
     "op3_line_dedup": LINE_DEDUP,
     "op4_warc": WARC,
     "op7_exact_dedup": EXACT_DEDUP,
     "op10_ngram_join": NGRAM_JOIN,
     "op12_merkle_manifest": _merkle(),
+    "op13_spelling_variants": SPELLING,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from atelier.llm import decontaminate, exactdedup, langid, linededup, merkle, mixing, ngramjoin, secretscan, tokenids, toxicity, warc
+from atelier.llm import decontaminate, exactdedup, langid, linededup, merkle, mixing, ngramjoin, secretscan, spelling, tokenids, toxicity, warc
 from atelier.llm.staging import remainder, table, with_types
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -80,6 +80,10 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_groups(spelling.word_counts(table(spark, sf_dir, "documents"), every=97))
+
+
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is determined."""
     return langid.identified_rows(docs, _language_model(docs), LEAST_LANGUAGE_SCORE)
@@ -110,6 +114,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         f.__name__: f
         for f in (
             op1_language_id, op2_decontaminate, op3_line_dedup, op4_warc, op5_mixing, op6_token_ids,
-            op7_exact_dedup, op8_secret_scan, op9_toxicity, op10_ngram_join, op12_merkle_manifest,
+            op7_exact_dedup, op8_secret_scan, op9_toxicity, op10_ngram_join, op12_merkle_manifest, op13_spelling_variants,
         )
     }
