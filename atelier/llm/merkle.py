@@ -181,6 +181,7 @@ def manifest(docs: DataFrame, group: str = "source", order: str = "doc_id", carr
     carried = carried or {}
     rows = with_types(docs, doc_id="long", source="string", lang="string", n_chars="long", text="string")
     rows = rows.select(F.col(group).alias("tree"), F.col(order).alias("id"), leaf_digest().alias("digest"), *(e.alias(c) for c, e in carried.items()))
+    rows = staged(rows, "merkle-rows")  # the range bounds are sampled from it, not from the texts
     payload = ["id", *carried]
     leaves = staged(positions(rows, ["tree"], ["id", "digest"]), "merkle-leaves")
     levels, tops = climb(leaves, ["tree"], payload, fanout)
