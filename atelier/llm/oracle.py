@@ -80,6 +80,26 @@ FROM reach LEFT JOIN sizes ON sizes.doc_id = reach.doc_id GROUP BY reach.doc_id
 """
 
 
+SUBSTRING_DEDUP = r"""
+WITH texts AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), starts AS (
+  SELECT doc_id, k, array_to_string(words[k:k + 12], ' ') AS body
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 11)) AS k FROM texts)
+), firsts AS (
+  SELECT body, min(doc_id) AS first_id FROM starts GROUP BY body
+), covered AS (
+  SELECT DISTINCT doc_id, unnest(range(k, k + 13)) AS place FROM starts JOIN firsts USING (body) WHERE first_id < doc_id
+), placed AS (
+  SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS place FROM texts
+), left_over AS (
+  SELECT doc_id, count(*) AS n_kept, string_agg(word, ' ' ORDER BY place) AS kept
+  FROM placed ANTI JOIN covered USING (doc_id, place) GROUP BY doc_id
+)
+SELECT doc_id, len(words) AS n_words, len(words) - coalesce(n_kept, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM texts LEFT JOIN left_over USING (doc_id)
+"""
+
 
 def _crc32(text: str) -> str:
     """Unsigned CRC-32 of a text's UTF-8 bytes. The table's entry of a byte is the sum of the entries of its bits."""
@@ -194,6 +214,7 @@ SQL = {
     "op4_warc": WARC,
     "op7_exact_dedup": EXACT_DEDUP,
     "op10_ngram_join": NGRAM_JOIN,
+    "op11_substring_dedup": SUBSTRING_DEDUP,
     "op12_merkle_manifest": _merkle(),
     "op13_spelling_variants": SPELLING,
 }

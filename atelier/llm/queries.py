@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from atelier.llm import decontaminate, exactdedup, langid, linededup, merkle, mixing, ngramjoin, secretscan, spelling, tokenids, toxicity, warc
+from atelier.llm import decontaminate, exactdedup, langid, linededup, merkle, mixing, ngramjoin, recompress, secretscan, spelling, tokenids, toxicity, warc
 from atelier.llm.staging import remainder, table, with_types
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -72,6 +72,11 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngramjoin.near_groups(table(spark, sf_dir, "documents"))
 
 
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = recompress.deduplicate_substrings(table(spark, sf_dir, "documents"), digests=True)
+    return found.withColumnRenamed("kept", "kept_sha256")
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     tampered = F.when(remainder("doc_id", 5) == 0, merkle.leaf_digest(text=merkle.lower_ascii(F.col("text"))))
     rows = merkle.manifest(table(spark, sf_dir, "documents"), carried={"tampered": tampered})
@@ -114,6 +119,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         f.__name__: f
         for f in (
             op1_language_id, op2_decontaminate, op3_line_dedup, op4_warc, op5_mixing, op6_token_ids,
-            op7_exact_dedup, op8_secret_scan, op9_toxicity, op10_ngram_join, op12_merkle_manifest, op13_spelling_variants,
+            op7_exact_dedup, op8_secret_scan, op9_toxicity, op10_ngram_join, op11_substring_dedup, op12_merkle_manifest,
+            op13_spelling_variants,
         )
     }
