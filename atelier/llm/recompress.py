@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 
 from atelier.llm.files import new_name, open_file, open_new
 from atelier.llm.staging import shared_folder, staged, with_types
-from atelier.llm.textbytes import IS_SPACE, ByteHash, mix64, pack_lists, text_buffers, windows, words_of
+from atelier.llm.textbytes import IS_SPACE, ByteHash, mix64, pack_lists, text_buffers, words_of
 from atelier.llm.workers import lean, lean_group
 
 U64 = np.uint64
@@ -59,18 +59,15 @@ _WORDS, _CHECKS = ByteHash(211), ByteHash(212)
 RUN_SALT, PAIR_SALT, SIDE_SALT, NAME_SALT = (U64(k) for k in (0x51, 0x52, 0x53, 0x54))
 
 
-def word_names(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Starts, ends, first word of each text, and two hashes of every word; bytes are hashed a piece at a time."""
-    starts, ends, first = words_of(data, offsets)
-    names, checks = np.empty(len(starts), U64), np.empty(len(starts), U64)
+def word_names(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashed: ByteHash) -> np.ndarray:
+    """A hash of every word; bytes are hashed a piece at a time."""
+    names = np.empty(len(starts), U64)
     a = 0
     while a < len(starts):
         b = max(a + 1, int(np.searchsorted(ends, starts[a] + PIECE, "right")))
-        some = data[starts[a]:ends[b - 1]]
-        for out, hashed in ((names, _WORDS), (checks, _CHECKS)):
-            out[a:b] = hashed.spans(some, starts[a:b] - starts[a], ends[a:b] - starts[a])
+        names[a:b] = hashed.spans(data[starts[a]:ends[b - 1]], starts[a:b] - starts[a], ends[a:b] - starts[a])
         a = b
-    return starts, ends, first, names, checks
+    return names
 
 
 def next_level(names: np.ndarray, texts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -118,7 +115,8 @@ class Slice:
 
     def __init__(self, documents: np.ndarray, data: np.ndarray, offsets: np.ndarray, width: int, levels: int):
         self.documents, self.data, self.offsets, self.width = documents, data, offsets, width
-        self.starts, self.ends, self.first, self.names, self.checks = word_names(data, offsets)
+        self.starts, self.ends, self.first = words_of(data, offsets)
+        self.names = word_names(data, self.starts, self.ends, _WORDS)
         self.text = np.repeat(np.arange(len(offsets) - 1), np.diff(self.first))
         n = len(self.names)
         at = np.arange(max(n - width + 1, 0))
@@ -140,9 +138,12 @@ class Slice:
 
     def window_names(self, some: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """96 bits for each of these windows: 64 and 32."""
-        if not len(self.names):
-            return np.zeros(0, U64), np.zeros(0, np.uint32)
-        return windows(self.names, self.width)[some], (windows(self.checks, self.width, 1)[some] >> U64(32)).astype(np.uint32)
+        checks = word_names(self.data, self.starts, self.ends, _CHECKS)
+        name, check = np.full(len(some), NAME_SALT), np.full(len(some), NAME_SALT)
+        for k in range(self.width):
+            name = mix64(name + self.names[some + k])
+            check = mix64(check + checks[some + k])
+        return name, (check >> U64(32)).astype(np.uint32)
 
 
 def holders(names: np.ndarray, checks: np.ndarray, documents: np.ndarray, last: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -150,9 +151,12 @@ def holders(names: np.ndarray, checks: np.ndarray, documents: np.ndarray, last:
 
     A row is a document, or with ``last`` several of them from ``documents`` to ``last``.
     """
-    order = np.lexsort((checks, names))
+    order = np.argsort(names)
     new = np.ones(len(order), bool)
-    new[1:] = (names[order][1:] != names[order][:-1]) | (checks[order][1:] != checks[order][:-1])
+    new[1:] = names[order][1:] != names[order][:-1]
+    if (~new[1:] & (checks[order][1:] != checks[order][:-1])).any():  # one name of several checks
+        order = np.lexsort((checks, names))
+        new[1:] = (names[order][1:] != names[order][:-1]) | (checks[order][1:] != checks[order][:-1])
     begin = np.flatnonzero(new)
     of = np.empty(len(order), np.int64)
     of[order] = np.cumsum(new) - 1
@@ -167,9 +171,9 @@ def no_checks(names: np.ndarray) -> np.ndarray:
     return np.zeros(len(names), np.uint32)
 
 
-def planes(values: np.ndarray) -> bytes:
-    """Integers as byte planes, which compress where high bytes repeat."""
-    return values.view(np.uint8).reshape(len(values), values.dtype.itemsize).T.tobytes()
+def planes(values: np.ndarray) -> np.ndarray:
+    """Integers as byte planes, a row for each, which compress where high bytes repeat."""
+    return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.dtype.itemsize).T)
 
 
 def from_planes(data: bytes, kind) -> np.ndarray:
@@ -181,9 +185,13 @@ def packed(names: np.ndarray, checks: np.ndarray, least: np.ndarray, most: np.nd
     """bucket, rows, names (differences of the sorted), checks, smallest documents and the way to the largest, for each bucket that has some."""
     bucket = names // U64((1 << 64) // buckets + 1)
     edges = np.searchsorted(bucket, np.arange(buckets + 1, dtype=U64))
-    for k in np.flatnonzero(np.diff(edges)).tolist():
-        some = slice(int(edges[k]), int(edges[k + 1]))
-        yield k, some.stop - some.start, planes(np.diff(names[some], prepend=U64(0))), planes(checks[some]), planes(least[some]), planes((most - least)[some])
+    used = np.flatnonzero(np.diff(edges))
+    steps = np.diff(names, prepend=U64(0))
+    steps[edges[used]] = names[edges[used]]  # a bucket's first name is whole
+    columns = [planes(c) for c in (steps, checks, least, most - least)]
+    for k in used.tolist():
+        a, b = int(edges[k]), int(edges[k + 1])
+        yield k, b - a, *(c[:, a:b].tobytes() for c in columns)
 
 
 ASKED = "slice string, bucket int, rows long, names binary, checks binary, least binary, more binary"
