@@ -183,7 +183,7 @@ def from_planes(data: bytes, kind) -> np.ndarray:
 
 def packed(names: np.ndarray, checks: np.ndarray, least: np.ndarray, most: np.ndarray, buckets: int) -> Iterator[tuple[int, int, bytes, bytes, bytes, bytes]]:
     """bucket, rows, names (differences of the sorted), checks, smallest documents and the way to the largest, for each bucket that has some."""
-    bucket = names // U64((1 << 64) // buckets + 1)
+    bucket = (names >> U64(32)) * U64(buckets) >> U64(32)
     edges = np.searchsorted(bucket, np.arange(buckets + 1, dtype=U64))
     used = np.flatnonzero(np.diff(edges))
     steps = np.diff(names, prepend=U64(0))
