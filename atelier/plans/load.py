@@ -19,6 +19,8 @@ those months, keeping every other month's folder of the previous version.
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,16 +43,9 @@ from atelier.schemas import (
 )
 from atelier.functions.conform import exact
 from atelier.functions.dates import month_key
-from atelier.session import materialize, scratch_dir
-from atelier.sources.star import check_stamp, commit_star
-from atelier.sources.tables import (
-    commit_version,
-    current_commit,
-    partition_paths,
-    read_paths,
-    read_table,
-    write_stage,
-)
+from atelier.session import materialize, scratch_dir, scratch_scope
+from atelier.sources.star import check_stamp, commit_star, manifests, star_commits, table_versions
+from atelier.sources.tables import NEWEST, commit_of_version, commit_version, partition_paths, read_paths, write_stage
 
 ORDER_MONTH = "order_created_month"
 
@@ -60,10 +55,10 @@ def order_partition():
     return (ORDER_MONTH, month_key("order_created_date"))
 
 
-def commit_orders(df: DataFrame, root: str, max_id: int, months: list[str] | None = None) -> int:
-    """Commit an f_order version; with ``months`` only those months are replaced."""
+def commit_orders(df: DataFrame, root: str, max_id: int, months: list[str] | None = None, base=NEWEST, after: int | None = None) -> int:
+    """Commit an f_order version; with ``months`` only those months are replaced. ``base``, ``after``: see ``commit_version``."""
     return commit_version(
-        df, root, F_ORDER, max_id=max_id, partition=order_partition(), replace_partitions=months
+        df, root, F_ORDER, max_id=max_id, partition=order_partition(), replace_partitions=months, base=base, after=after
     )
 
 CRAFTSMAN_ATTRS = ["craftsman_name", "craftsman_address", "craftsman_birthday", "craftsman_email"]
@@ -131,57 +126,74 @@ def merge_orders(
     )
 
 
-def _read_or_empty(spark: SparkSession, root: str, schema) -> tuple[DataFrame, int]:
-    """The table's current version and its largest id (0 for a new table)."""
-    commit = current_commit(spark, root)
-    if commit is None:
-        return spark.createDataFrame([], schema), 0
-    return spark.read.schema(schema).parquet(*commit["paths"]), commit["max_id"] or 0
+@dataclass(frozen=True)
+class Modes:
+    """How a load merges: ``on_conflict`` is 'error' or 'latest', see ``upsert.merge_upsert``; the reference's way is the default."""
+
+    on_conflict: str = "error"
+    only_if_changed: bool = False
 
 
-def load_dimension(spark: SparkSession, stage: DataFrame, dwh_root: str, name: str, as_of) -> int:
-    """M1-M3 for one dimension: merge and commit a new version."""
-    schema = DIMENSIONS[name][0]
+def load_dimension(
+    spark: SparkSession, stage: DataFrame, dwh_root: str, name: str, as_of, base: dict | None, after: int, modes: Modes = Modes()
+) -> int:
+    """M1-M3 for one dimension: merge with the version of ``base`` and commit the version after ``after``."""
+    schema, id_col, attrs, key, set_cols = DIMENSIONS[name]
     root = f"{dwh_root}/{name}"
-    target, base_id = _read_or_empty(spark, root, schema)
-    merged, max_id = merge_dimension_counted(target, stage, name, as_of, base_id)
-    return commit_version(merged, root, schema, max_id=max_id)
+    target = read_paths(spark, (base or {}).get("paths", []), schema)
+    merged, max_id = merge_upsert_counted(
+        target, dimension_rows(stage, attrs), key, set_cols, as_of, id_col, base_id=(base or {}).get("max_id") or 0,
+        on_conflict=modes.on_conflict, only_if_changed=modes.only_if_changed,
+    )
+    return commit_version(merged, root, schema, max_id=max_id, base=base, after=after)
 
 
-def run_load(spark: SparkSession, sources: dict[str, DataFrame], dwh_root: str, as_of) -> dict[str, int]:
+def run_load(spark: SparkSession, sources: dict[str, DataFrame], dwh_root: str, as_of, modes: Modes = Modes()) -> dict[str, int]:
     """Run the whole load; returns the committed version per table.
 
     The three dimension merges are independent, so they are submitted as
     concurrent Spark jobs from three driver threads; the order merge waits
     for all of them (it resolves keys against the new dimension versions).
-    The star manifest is committed last: until then readers see the previous
-    load whole, and a failed load can be repeated with the same ``as_of``.
+
+    Every table is read at the version that the newest manifest names, and the new
+    manifest is committed last. Until then readers see the previous load whole. A
+    failed load can be repeated with the same ``as_of``: the versions it
+    has committed are behind no manifest, so the repetition neither reads nor extends
+    them. Of two loads at once one commits, the other raises ``CommitConflict``.
     """
+    number = (manifests(spark, dwh_root) or [0])[-1] + 1
     check_stamp(spark, dwh_root, as_of)
-    consolidated = exact(consolidate_sources(sources), "product_price", PRICE)
-    stage = write_stage(consolidated, scratch_dir(spark, "tmp-sources"))
-    with ThreadPoolExecutor(max_workers=len(DIMENSIONS)) as pool:
-        futures = {
-            name: pool.submit(load_dimension, spark, stage, dwh_root, name, as_of)
-            for name in DIMENSIONS
+    base = star_commits(spark, dwh_root, number - 1) if number > 1 else None
+    after = table_versions(spark, dwh_root)
+    with scratch_scope(spark):
+        consolidated = exact(consolidate_sources(sources), "product_price", PRICE)
+        stage = write_stage(consolidated, scratch_dir(spark, "tmp-sources"))
+        with ThreadPoolExecutor(max_workers=len(DIMENSIONS)) as pool:
+            futures = {
+                name: pool.submit(copy_context().run, load_dimension, spark, stage, dwh_root, name, as_of, (base or {}).get(name), after[name], modes)
+                for name in DIMENSIONS
+            }
+            named = {name: f.result() for name, f in futures.items()}
+        dims = {
+            name: read_paths(spark, commit_of_version(spark, f"{dwh_root}/{name}", v)["paths"], DIMENSIONS[name][0])
+            for name, v in named.items()
         }
-        versions = {name: f.result() for name, f in futures.items()}
-    dims = {
-        name: read_table(spark, f"{dwh_root}/{name}", DIMENSIONS[name][0]) for name in DIMENSIONS
-    }
-    versions["f_order"] = load_orders(spark, stage, dims, f"{dwh_root}/f_order", as_of)
-    commit_star(spark, dwh_root, as_of)
-    return versions
+        named["f_order"] = load_orders(
+            spark, stage, dims, f"{dwh_root}/f_order", as_of, (base or {}).get("f_order"), after["f_order"], modes
+        )
+        commit_star(spark, dwh_root, as_of, named, number)
+    return named
 
 
-def load_orders(spark: SparkSession, stage: DataFrame, dims: dict[str, DataFrame], root: str, as_of) -> int:
+def load_orders(
+    spark: SparkSession, stage: DataFrame, dims: dict[str, DataFrame], root: str, as_of, base: dict | None, after: int, modes: Modes = Modes()
+) -> int:
     """M4 on the month-partitioned fact: read, merge and rewrite touched months only."""
     lookup = materialize(fact_key_lookup(stage, dims), "order-lookup")
     months = [r[0] for r in lookup.select(month_key("order_created_date")).distinct().collect()]
-    prev = current_commit(spark, root)
-    target = read_paths(spark, partition_paths(prev, ORDER_MONTH, months), F_ORDER)
-    base_id = (prev or {}).get("max_id") or 0
+    target = read_paths(spark, partition_paths(base, ORDER_MONTH, months), F_ORDER)
     merged, max_id = merge_upsert_counted(
-        target, lookup, ORDER_KEY, ORDER_SET, as_of, "order_id", base_id=base_id
-    )
-    return commit_orders(merged, root, max_id, months)
+        target, lookup, ORDER_KEY, ORDER_SET, as_of, "order_id", base_id=(base or {}).get("max_id") or 0,
+        on_conflict=modes.on_conflict, only_if_changed=modes.only_if_changed,
+    )
+    return commit_orders(merged, root, max_id, months, base, after)

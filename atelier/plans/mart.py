@@ -58,12 +58,16 @@ def intended_mart(star: dict[str, DataFrame], customers: DataFrame | None = None
     if customers is not None:
         fo = fo.join(customers.select("customer_id"), "customer_id", "left_semi")
     rows = order_rows(fo, star["d_craftsman"], star["d_product"])
-    grain = materialize(order_grain(rows), "grain")
+    return mart_of_grain(materialize(order_grain(rows), "grain"), star["d_customer"])
+
+
+def mart_of_grain(grain: DataFrame, d_customer: DataFrame) -> DataFrame:
+    """Mart business columns from the level-1 grain, which is read three times."""
     measures = finish_measures(month_measures(grain, CUSTOMER_MONTH))
     top_craft = top_craftsman_one(craftsman_counts(grain))
     top_cat = top_category_by_count(category_counts(grain, CUSTOMER_MONTH), CUSTOMER_MONTH)
     out = (
-        measures.join(customer_attributes(star["d_customer"]), "customer_id")
+        measures.join(customer_attributes(d_customer), "customer_id")
         .join(top_craft, "customer_id")
         .join(top_cat, CUSTOMER_MONTH, "left")
     )
@@ -119,23 +123,26 @@ def incremental_mart_counted(
     if affected is None:
         affected = materialize(affected_customers(star, watermark), "affected")
     affected = affected.select("customer_id")
-    recomputed = intended_mart(star, affected)
+    return replace_customers(prev_mart, intended_mart(star, affected), affected, base_id)
+
+
+def replace_customers(
+    prev_mart: DataFrame, recomputed: DataFrame, affected: DataFrame, base_id: int | None = None
+) -> tuple[DataFrame, int]:
+    """``prev_mart`` with the rows of the affected customers replaced by ``recomputed``, and the largest id."""
     kept = prev_mart.join(affected, "customer_id", "left_anti")
     old_ids = prev_mart.join(affected, "customer_id", "left_semi").select("id", *CUSTOMER_MONTH)
     matched = materialize(recomputed.join(old_ids, CUSTOMER_MONTH, "left"), "recomputed")
     if base_id is None:
         base_id = prev_mart.agg(F.max("id").alias("m")).first()["m"]
     base = base_id or 0
-    fresh, max_id = assign_ids_counted(
-        matched.filter(F.col("id").isNull()).drop("id"), MART_ID_ORDER, "id", base=base
-    )
     cols = ["id", *MART_BUSINESS_COLS]
-    out = (
-        kept.select(*cols)
-        .unionByName(matched.filter(F.col("id").isNotNull()).select(*cols))
-        .unionByName(fresh.select(*cols))
-    )
-    return out, max_id
+    out = kept.select(*cols).unionByName(matched.filter(F.col("id").isNotNull()).select(*cols))
+    new = matched.filter(F.col("id").isNull()).drop("id")
+    if new.isEmpty():
+        return out, base
+    fresh, max_id = assign_ids_counted(new, MART_ID_ORDER, "id", base=base)
+    return out.unionByName(fresh.select(*cols)), max_id
 
 
 def literal_results(delta: DataFrame) -> tuple[DataFrame, DataFrame]:

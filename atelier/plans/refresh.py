@@ -1,36 +1,56 @@
-"""Mart refresh job with a high-watermark log.
+"""Mart refresh job with a high-watermark log and a maintained state.
+
+A full refresh rolls the fact up to the order grain, keeps that as the state table
+(laid out by customer bucket) and makes the mart from it. An incremental refresh
+doesn't read the fact but for what changed: the state's commit names the star
+manifest that it reflects, and the difference of the fact's folder lists between
+that manifest and the newest one is the change feed (``operators.maintained``).
+Its net change is appended to the state as one small folder, and only the rows of
+affected customers are made anew, from their part of the state. After
+``MOST_CHANGES`` folders of changes the state is written anew.
 
 Protocol (SURVEY §3.2): read every input at its committed version, compute,
-commit the new mart version, then append the watermark row last. The mart is
+commit the new mart version, then the state, then append the watermark row. The mart is
 laid out by customer bucket: an incremental refresh reads and rewrites only
 the buckets of affected customers and keeps every other bucket's folder. The
-watermark row is the commit point: a crash before it re-runs the same delta
-next time, and the refresh is idempotent (it replaces whole customers).
+feed is relative to what the state reflects, so a crash before the state's
+commit makes the next refresh find the same change again, and it
+replaces whole customers: repeating is harmless. Of two refreshes at once
+one commits, the other raises ``CommitConflict``.
 """
 
 from __future__ import annotations
 
-from functools import reduce
+import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from atelier.operators.delta import DEFAULT_WATERMARK, affected_with_load, read_watermark
-from atelier.session import checkpoint_root, materialize
-from atelier.plans.mart import full_mart_counted, incremental_mart_counted, stored_mart
-from atelier.schemas import MART, WATERMARK_LOG
-from atelier.sources.star import as_timestamp, read_star
+from atelier.operators.delta import DEFAULT_WATERMARK, read_watermark
+from atelier.operators.maintained import CUSTOMER_VALUES, PRODUCT_VALUES, STATE, other_values, standing, star_change, state_of
+from atelier.plans.mart import mart_of_grain, replace_customers, stored_mart, with_mart_ids_counted
+from atelier.schemas import F_ORDER, MART, WATERMARK_LOG
+from atelier.session import checkpoint_root, materialize, scratch_scope
+from atelier.sources.star import as_timestamp, newest_manifest, read_commits, read_star, star_commits  # noqa: F401
 from atelier.sources.tables import (
+    Prepared,
     append_rows,
+    changed_folders,
     commit_version,
     current_commit,
+    folders_since,
+    newest_stamp,
     partition_paths,
     partition_value,
+    prepare_version,
+    publish_version,
     read_paths,
     read_table,
 )
 
 MART_TABLE = "customer_report_datamart"
+WATERMARK_TABLE = "load_dates_customer_report_datamart"
+STATE_TABLE = "customer_report_state"
 # The mart is laid out by customer bucket so that an incremental refresh
 # rewrites only the buckets of affected customers. Set the count with the
 # session setting below so a bucket is a few hundred MB at the target size.
@@ -38,6 +58,8 @@ MART_TABLE = "customer_report_datamart"
 # is never mixed with the new layout (the next refresh rewrites it whole).
 MART_BUCKETS_CONF = "spark.atelier.mart.buckets"
 DEFAULT_MART_BUCKETS = 16
+#: Folders of changes beside the state's buckets, beyond which the state is written anew.
+MOST_CHANGES = 8
 
 
 def mart_buckets(spark: SparkSession) -> int:
@@ -46,27 +68,16 @@ def mart_buckets(spark: SparkSession) -> int:
 
 def mart_partition(buckets: int):
     return (f"customer_bucket_{buckets}", F.pmod(F.xxhash64("customer_id"), F.lit(buckets)))
-WATERMARK_TABLE = "load_dates_customer_report_datamart"
 
 
-def newest_load(star: dict[str, DataFrame], watermark, fact_newest=None) -> object:
-    """C13 (intended): the newest load time across the fact and dimensions.
+def next_watermark(commits: dict[str, dict], watermark) -> dt.datetime:
+    """C13 (intended): the newest load stamp in the fact and the dimensions, from their commits.
 
-    Everything loaded after the watermark has been taken into account by the
-    refresh that uses this value, so it becomes the next watermark. Returns
-    the old watermark when nothing newer exists (an empty delta, D10). When
-    the caller already knows the fact's newest load time (from the delta
-    pass), the fact is not scanned again.
+    Everything loaded until then has been taken into account by the refresh that
+    uses this value. The old watermark where nothing newer exists (an empty delta, D10).
     """
-    tables = [df for name, df in star.items() if not (name == "f_order" and fact_newest is not None)]
-    maxima = reduce(
-        DataFrame.unionByName,
-        [df.agg(F.max(F.col("load_dttm").cast("timestamp")).alias("m")) for df in tables],
-    )
-    values = [fact_newest, *(r["m"] for r in maxima.collect())]
-    wm_ts = as_timestamp(watermark)
-    newest = max((v for v in values if v is not None), default=None)
-    return wm_ts if newest is None or newest <= wm_ts else newest
+    newest = [s for c in commits.values() if (s := newest_stamp(c["folders"])) is not None]
+    return max([as_timestamp(watermark), *newest])
 
 
 def completion_marker(spark: SparkSession, result: dict) -> DataFrame:
@@ -74,54 +85,100 @@ def completion_marker(spark: SparkSession, result: dict) -> DataFrame:
     return spark.createDataFrame([(result["status"], result["mode"], result["mart_version"])], "status string, mode string, mart_version long")
 
 
+def feed_folders(old: dict[str, dict], new: dict[str, dict], watermark) -> tuple[list[str], list[str]]:
+    """The fact's folders with changed orders, and those with the same orders as they were."""
+    added, removed = changed_folders(old["f_order"], new["f_order"])
+    return [f["path"] for f in folders_since(added, watermark)], [f["path"] for f in removed]
+
+
 def refresh_mart(spark: SparkSession, dwh_root: str, mode: str = "incremental") -> dict:
-    """Refresh the mart; ``mode`` is 'incremental' or 'full'."""
-    mart_root = f"{dwh_root}/{MART_TABLE}"
-    log_root = f"{dwh_root}/{WATERMARK_TABLE}"
+    """Refresh the mart; ``mode`` is 'incremental' or 'full'. Without a mart and its state a refresh is full."""
     checkpoint_root(spark)
-    star = read_star(spark, dwh_root)
-    log_commit = current_commit(spark, log_root)
+    manifest = newest_manifest(spark, dwh_root)
+    if manifest is None:
+        raise FileNotFoundError(f"no complete load under {dwh_root}")
+    mart_root, log_root, state_root = (f"{dwh_root}/{t}" for t in (MART_TABLE, WATERMARK_TABLE, STATE_TABLE))
+    commits = star_commits(spark, dwh_root, manifest["number"])
+    mart_commit, log_commit, state_commit = (current_commit(spark, r) for r in (mart_root, log_root, state_root))
     log = read_table(spark, log_root, WATERMARK_LOG) if log_commit else None
     watermark = read_watermark(log, DEFAULT_WATERMARK)
-    mart_commit = current_commit(spark, mart_root)
-    fact_newest = None
-    replaced = None
-    bucket_col, bucket_expr = layout = mart_partition(mart_buckets(spark))
-    if mode == "full" or mart_commit is None:
-        new_mart, max_id = full_mart_counted(star)
-    else:
-        affected = materialize(affected_with_load(star, watermark), "affected")
-        stats = affected.agg(
-            F.max("max_load_dttm").alias("m"),
-            F.collect_set(bucket_expr).alias("buckets"),  # at most one value per bucket
-        ).first()
-        fact_newest = as_timestamp(watermark) if stats["m"] is None else stats["m"]
-        bucketed = all(partition_value(p, bucket_col) is not None for p in mart_commit["paths"])
-        if bucketed:
-            replaced = list(stats["buckets"])
-            prev = read_paths(spark, partition_paths(mart_commit, bucket_col, replaced), MART)
-        else:  # a version written without buckets is rewritten whole once
-            prev = read_table(spark, mart_root, MART)
-        new_mart, max_id = incremental_mart_counted(
-            prev, star, watermark, affected, mart_commit["max_id"]
-        )
-    version = commit_version(
-        stored_mart(new_mart),
-        mart_root,
-        MART,
-        max_id=max_id,
-        partition=layout,
-        replace_partitions=replaced,
-    )
-    next_wm = newest_load(star, watermark, fact_newest)
-    log_id = (log_commit or {}).get("max_id") or 0
-    row = spark.createDataFrame([(log_id + 1, next_wm)], WATERMARK_LOG)
-    append_rows(spark, log_root, row, WATERMARK_LOG, max_id=log_id + 1)
+    layout = mart_partition(mart_buckets(spark))
+    kept_up = state_commit is not None and mart_commit is not None and state_commit["note"]["layout"] == layout[0]
+    full = mode == "full" or not kept_up
+    with scratch_scope(spark):
+        if full:
+            version, state = _full(spark, commits, mart_root, mart_commit, state_root, state_commit, layout)
+        else:
+            reflected = dt.datetime.fromtimestamp(state_commit["note"]["watermark"] / 1_000_000)
+            old = star_commits(spark, dwh_root, state_commit["note"]["manifest"])
+            version, state = _incremental(spark, old, commits, reflected, mart_root, mart_commit, state_root, state_commit, layout)
+        next_wm = next_watermark(commits, watermark)
+        note = {"manifest": manifest["number"], "watermark": round(next_wm.timestamp() * 1_000_000), "layout": layout[0]}
+        publish_version(spark, Prepared(state_root, state.version, state.folders, None, note, state.written))
+        log_id = (log_commit or {}).get("max_id") or 0
+        row = spark.createDataFrame([(log_id + 1, next_wm)], WATERMARK_LOG).coalesce(1)
+        append_rows(spark, log_root, row, WATERMARK_LOG, max_id=log_id + 1)
     # P10: the reference ends with SELECT 'increment datamart'.
     return {
         "status": "increment datamart",
-        "mode": "full" if mode == "full" or mart_commit is None else "incremental",
+        "mode": "full" if full else "incremental",
         "mart_version": version,
         "watermark": next_wm,
         "previous_watermark": watermark,
     }
+
+
+def _newest(commit: dict | None) -> int:
+    return 0 if commit is None else commit["version"]
+
+
+def _full(spark, commits, mart_root, mart_commit, state_root, state_commit, layout) -> tuple[int, Prepared]:
+    star = read_commits(spark, commits)
+    state = prepare_version(state_of(star), state_root, STATE, partition=layout, base=None, after=_newest(state_commit))
+    grain = read_paths(spark, [f["path"] for f in state.folders], STATE)
+    rows, max_id = with_mart_ids_counted(mart_of_grain(grain, star["d_customer"]))
+    version = commit_version(
+        stored_mart(rows), mart_root, MART, max_id=max_id, partition=layout, base=mart_commit, after=_newest(mart_commit)
+    )
+    return version, state
+
+
+def _changed_products(old: dict[str, DataFrame], new: dict[str, DataFrame], before: dict, after: dict, watermark) -> DataFrame | None:
+    if before["d_product"]["version"] == after["d_product"]["version"]:
+        return None
+    products = materialize(other_values(old["d_product"], new["d_product"], "product_id", PRODUCT_VALUES, watermark), "products")
+    return None if products.isEmpty() else products
+
+
+def _affected(change: DataFrame, old: dict[str, DataFrame], new: dict[str, DataFrame], before: dict, after: dict, watermark) -> DataFrame:
+    """Customers whose orders changed, or whose own columns did."""
+    affected = change.select("customer_id")
+    if before["d_customer"]["version"] != after["d_customer"]["version"]:
+        affected = affected.unionByName(other_values(old["d_customer"], new["d_customer"], "customer_id", CUSTOMER_VALUES, watermark))
+    return materialize(affected.distinct(), "affected")
+
+
+def _incremental(spark, before, after, watermark, mart_root, mart_commit, state_root, state_commit, layout) -> tuple[int, Prepared]:
+    bucket_col, bucket = layout
+    old, new = read_commits(spark, before), read_commits(spark, after)
+    added, removed = (read_paths(spark, paths, F_ORDER) for paths in feed_folders(before, after, watermark))
+    products = _changed_products(old, new, before, after, watermark)
+    change = star_change(old, new, added, removed, watermark, products)
+    state = prepare_version(change.coalesce(1), state_root, STATE, mode="append", base=state_commit, after=state_commit["version"])
+    affected = _affected(read_paths(spark, [f["path"] for f in state.written], STATE), old, new, before, after, watermark)
+    buckets = [str(r[0]) for r in affected.select(bucket).distinct().collect()]  # at most one value per bucket
+    changes = [f["path"] for f in state.folders if partition_value(f["path"], bucket_col) is None]
+    base = [f["path"] for f in state.folders if partition_value(f["path"], bucket_col) in buckets]
+    # The mart may be ahead of the state after a crash; its affected customers are among these.
+    rows = read_paths(spark, base + changes, STATE).join(affected, "customer_id", "left_semi")
+    grain = materialize(standing(rows), "grain")
+    prev = read_paths(spark, partition_paths(mart_commit, bucket_col, buckets), MART)
+    mart, max_id = replace_customers(prev, mart_of_grain(grain, new["d_customer"]), affected, mart_commit["max_id"])
+    version = commit_version(
+        stored_mart(mart), mart_root, MART, max_id=max_id, partition=layout, replace_partitions=buckets,
+        base=mart_commit, after=mart_commit["version"],
+    )
+    if len(changes) > MOST_CHANGES:
+        whole = standing(read_paths(spark, [f["path"] for f in state.folders], STATE))
+        state = prepare_version(whole, state_root, STATE, partition=layout, base=None, after=state_commit["version"])
+    return version, state

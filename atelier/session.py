@@ -7,8 +7,10 @@ Library code never creates its own session: every operator takes DataFrames
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -76,10 +78,40 @@ def checkpoint_root(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir() or configured
 
 
+#: Folders of the scope that this thread of work is in.
+_SCOPE: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A new, unique folder under the shared checkpoint root for written stages."""
-    root = checkpoint_root(spark).rstrip("/")
-    return f"{root}/atelier-{label}-{uuid.uuid4().hex[:12]}"
+    """A new, unique folder under the shared checkpoint root for written stages.
+
+    It goes when the innermost ``scratch_scope`` ends, or with the application.
+    """
+    folder = f"{checkpoint_root(spark).rstrip('/')}/atelier-{label}-{uuid.uuid4().hex[:12]}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(path)  # a folder that isn't there can't be marked
+    fs.deleteOnExit(path)
+    if _SCOPE.get() is not None:
+        _SCOPE.get().append(folder)
+    return f"{folder}/rows"
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession):
+    """Remove the scratch folders made inside when it ends: for jobs that return no frame over them.
+
+    A thread started inside belongs to it if it runs in a copy of the context.
+    """
+    folders: list[str] = []
+    token = _SCOPE.set(folders)
+    try:
+        yield
+    finally:
+        _SCOPE.reset(token)
+        for folder in folders:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

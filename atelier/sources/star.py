@@ -1,8 +1,10 @@
 """One snapshot of the star schema (S3): the manifest of its four tables' versions.
 
-A load commits each table on its own and, last, one manifest row that names
-the four versions. Readers resolve the newest manifest row and read exactly
-those versions, so they never see a load half done. A load's stamp must be
+A load commits each table on its own and, last, one manifest that names
+the four versions, under a number that must be free. Readers resolve the newest
+manifest and read exactly those versions, so they never see a load half done. A
+load goes on from the newest manifest's versions as well: what a failed load has
+committed is behind no manifest, and its repetition doesn't see it. A load's stamp must be
 later than that of the newest manifest: the refresh looks for rows stamped
 after its watermark, and a load stamped at or before it would be missed.
 """
@@ -12,29 +14,32 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from atelier.schemas import D_CRAFTSMAN, D_CUSTOMER, D_PRODUCT, F_ORDER
-from atelier.sources.tables import commit_of_version, current_commit, path_exists, read_paths
+from atelier.sources.tables import CommitConflict, child_names, commit_of_version, current_commit, numbers, publish, read_json, read_paths, stamp_literal, versions
 
 STAR_TABLES = {"d_craftsman": D_CRAFTSMAN, "d_product": D_PRODUCT, "d_customer": D_CUSTOMER, "f_order": F_ORDER}
 MANIFEST = "_star"
-MANIFEST_SCHEMA = T.StructType(
-    [
-        T.StructField("number", T.LongType(), False),
-        T.StructField("as_of", T.TimestampType(), False),
-        T.StructField("versions", T.MapType(T.StringType(), T.LongType()), False),
-    ]
-)
+
+
+def manifest_file(dwh_root: str, number: int) -> str:
+    return f"{dwh_root.rstrip('/')}/{MANIFEST}/{number:012d}.json"
+
+
+def manifests(spark: SparkSession, dwh_root: str) -> list[int]:
+    """The numbers of the manifests, ascending."""
+    return numbers(child_names(spark, f"{dwh_root.rstrip('/')}/{MANIFEST}"))
+
+
+def manifest(spark: SparkSession, dwh_root: str, number: int) -> dict:
+    """number, as_of and versions of one manifest."""
+    found = read_json(spark, manifest_file(dwh_root, number))
+    return found | {"as_of": dt.datetime.fromtimestamp(found["as_of"] / 1_000_000)}
 
 
 def newest_manifest(spark: SparkSession, dwh_root: str) -> dict | None:
-    path = f"{dwh_root.rstrip('/')}/{MANIFEST}"
-    if not path_exists(spark, path):
-        return None
-    row = spark.read.schema(MANIFEST_SCHEMA).parquet(path).orderBy(F.col("number").desc()).first()
-    return None if row is None else row.asDict()
+    known = manifests(spark, dwh_root)
+    return manifest(spark, dwh_root, known[-1]) if known else None
 
 
 def as_timestamp(value: dt.date) -> dt.datetime:
@@ -48,22 +53,39 @@ def check_stamp(spark: SparkSession, dwh_root: str, as_of: dt.date) -> None:
         raise ValueError(f"load stamp {as_of} isn't after {newest['as_of']}, that of the last load")
 
 
-def commit_star(spark: SparkSession, dwh_root: str, as_of: dt.date) -> int:
-    """Make the newest version of each table visible to readers, together."""
-    newest = newest_manifest(spark, dwh_root)
-    number = 1 if newest is None else newest["number"] + 1
-    versions = {name: current_commit(spark, f"{dwh_root}/{name}")["version"] for name in STAR_TABLES}
-    row = spark.createDataFrame([(number, as_timestamp(as_of), versions)], MANIFEST_SCHEMA)
-    row.coalesce(1).write.mode("append").parquet(f"{dwh_root.rstrip('/')}/{MANIFEST}")
+def star_commits(spark: SparkSession, dwh_root: str, number: int | None = None) -> dict[str, dict] | None:
+    """The commits of the four tables in one manifest, by default the newest; None where there is none."""
+    found = newest_manifest(spark, dwh_root) if number is None else manifest(spark, dwh_root, number)
+    if found is None:
+        return None
+    return {name: commit_of_version(spark, f"{dwh_root}/{name}", found["versions"][name]) for name in STAR_TABLES}
+
+
+def table_versions(spark: SparkSession, dwh_root: str) -> dict[str, int]:
+    """The newest version of each table, behind a manifest or not; 0 for a table without any."""
+    return {name: (versions(spark, f"{dwh_root}/{name}") or [0])[-1] for name in STAR_TABLES}
+
+
+def commit_star(spark: SparkSession, dwh_root: str, as_of: dt.date, named: dict[str, int] | None = None, number: int | None = None) -> int:
+    """Make these versions, by default the newest of each table, visible to readers, together.
+
+    ``number`` is the manifest's, by default the next. If another load has taken it, ``CommitConflict`` is raised.
+    """
+    if number is None:
+        number = (manifests(spark, dwh_root) or [0])[-1] + 1
+    named = named or {name: current_commit(spark, f"{dwh_root}/{name}")["version"] for name in STAR_TABLES}
+    if not publish(spark, manifest_file(dwh_root, number), {"number": number, "as_of": stamp_literal(as_of), "versions": named}):
+        raise CommitConflict(f"manifest {number} of {dwh_root} was committed by another load")
     return number
 
 
+def read_commits(spark: SparkSession, commits: dict[str, dict]) -> dict[str, DataFrame]:
+    return {name: read_paths(spark, commits[name]["paths"], schema) for name, schema in STAR_TABLES.items()}
+
+
 def read_star(spark: SparkSession, dwh_root: str) -> dict[str, DataFrame]:
     """The four star tables at the versions of the newest manifest."""
-    newest = newest_manifest(spark, dwh_root)
-    if newest is None:
+    commits = star_commits(spark, dwh_root)
+    if commits is None:
         raise FileNotFoundError(f"no complete load under {dwh_root}")
-    return {
-        name: read_paths(spark, commit_of_version(spark, f"{dwh_root}/{name}", newest["versions"][name])["paths"], schema)
-        for name, schema in STAR_TABLES.items()
-    }
+    return read_commits(spark, commits)

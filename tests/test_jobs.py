@@ -159,17 +159,24 @@ def test_incremental_refresh_rewrites_only_touched_buckets(spark, workdir):
     before = current_commit(spark, f"{dwh}/{MART_TABLE}")
     full_rows = _business(read_table(spark, f"{dwh}/{MART_TABLE}", MART))
 
-    # One customer's orders change after the watermark.
+    # One customer's orders are loaded again after the watermark, first as they were, then with another status.
     fo = read_star(spark, dwh)["f_order"]
     one = fo.select(F.min("customer_id")).first()[0]
     hit = F.col("customer_id") == one
-    changed = fo.withColumn("load_dttm", F.when(hit, F.lit(dt.datetime(2024, 5, 1))).otherwise(F.col("load_dttm")))
-    commit_orders(materialize(changed, "one-customer"), f"{dwh}/f_order", current_commit(spark, f"{dwh}/f_order")["max_id"])
-    commit_star(spark, dwh, dt.datetime(2024, 5, 1))
-    refresh_mart(spark, dwh, mode="incremental")
-    after = current_commit(spark, f"{dwh}/{MART_TABLE}")
+    for stamp, status in ((dt.datetime(2024, 5, 1), F.col("order_status")), (dt.datetime(2024, 6, 1), F.lit("delivery"))):
+        changed = fo.withColumn("load_dttm", F.when(hit, F.lit(stamp)).otherwise(F.col("load_dttm")))
+        changed = changed.withColumn("order_status", F.when(hit, status).otherwise(F.col("order_status")))
+        commit_orders(materialize(changed, "one-customer"), f"{dwh}/f_order", current_commit(spark, f"{dwh}/f_order")["max_id"])
+        commit_star(spark, dwh, stamp)
+        refresh_mart(spark, dwh, mode="incremental")
+        after = current_commit(spark, f"{dwh}/{MART_TABLE}")
+        if stamp.month == 5:
+            assert after["paths"] == before["paths"]  # the same orders: nothing to write
+            assert _business(read_table(spark, f"{dwh}/{MART_TABLE}", MART)) == full_rows
 
     new_paths = set(after["paths"]) - set(before["paths"])
     assert len({partition_value(p, bucket_col) for p in new_paths}) == 1
     assert len(after["paths"]) == len(before["paths"])
-    assert _business(read_table(spark, f"{dwh}/{MART_TABLE}", MART)) == full_rows
+    incremental = _business(read_table(spark, f"{dwh}/{MART_TABLE}", MART))
+    refresh_mart(spark, dwh, mode="full")
+    assert _business(read_table(spark, f"{dwh}/{MART_TABLE}", MART)) == incremental != full_rows

@@ -83,7 +83,7 @@ def test_a_failing_partition_read_raises_and_changes_nothing(spark, workdir, mon
     def broken(*_):
         raise OSError("storage timed out")
 
-    monkeypatch.setattr(tables, "_written_partition_values", broken)
+    monkeypatch.setattr(tables, "_written_folders", broken)
     with pytest.raises(OSError):
         load.run_load(spark, sources(spark, rows_of("1.00", "3.00")), workdir, T1)
     monkeypatch.undo()
