@@ -3,6 +3,7 @@
     python -m atelier load --sources DIR [--format F] --dwh ROOT [--as-of ISO]
     python -m atelier refresh --dwh ROOT [--mode incremental|full]
     python -m atelier quality --dwh ROOT
+    python -m atelier retain --dwh ROOT [--keep N] [--min-age-hours H]
 
 ``--sources`` holds one parquet table per reference source, named like the
 reference (``source1.craft_market_wide``, ...). On a cluster, run it with
@@ -51,23 +52,34 @@ def main(argv: list[str] | None = None) -> int:
     p_refresh = sub.add_parser("refresh", help="star schema -> mart")
     p_refresh.add_argument("--dwh", required=True)
     p_refresh.add_argument("--mode", choices=["incremental", "full"], default="incremental")
+    p_refresh.add_argument("--checked", action="store_true", help="leave the mart as it was if rows violate its DDL")
+    p_load.add_argument("--on-conflict", choices=["error", "latest"], default="error", help="source rows with one key")
+    p_load.add_argument("--only-if-changed", action="store_true", help="leave matched rows without a change as they are")
+    p_retain = sub.add_parser("retain", help="remove what no kept version refers to")
+    p_retain.add_argument("--dwh", required=True)
+    p_retain.add_argument("--keep", type=int, default=2)
+    p_retain.add_argument("--min-age-hours", type=float, default=24)
     p_quality = sub.add_parser("quality", help="NOT NULL and grain report on the mart")
     p_quality.add_argument("--dwh", required=True)
     args = parser.parse_args(argv)
 
     spark = get_session()
     if args.command == "load":
-        from atelier.plans.load import run_load
+        from atelier.plans.load import Modes, run_load
 
         as_of = dt.datetime.fromisoformat(args.as_of) if args.as_of else dt.datetime.now(dt.timezone.utc)
         if as_of.tzinfo is None:
             as_of = as_of.replace(tzinfo=dt.timezone.utc)
         sources = {n: read_source(spark, n, args.sources, args.format) for n in SOURCE_NAMES}
-        print(json.dumps(run_load(spark, sources, args.dwh, as_of)))
+        print(json.dumps(run_load(spark, sources, args.dwh, as_of, Modes(args.on_conflict, args.only_if_changed))))
     elif args.command == "refresh":
         from atelier.plans.refresh import refresh_mart
 
-        print(json.dumps(refresh_mart(spark, args.dwh, mode=args.mode), default=str))
+        print(json.dumps(refresh_mart(spark, args.dwh, mode=args.mode, checked=args.checked), default=str))
+    elif args.command == "retain":
+        from atelier.sources.retention import retain
+
+        print(json.dumps({"removed": retain(spark, args.dwh, args.keep, dt.timedelta(hours=args.min_age_hours))}))
     else:
         from atelier.operators.quality import duplicate_keys, null_violations
         from atelier.plans.refresh import MART_TABLE

@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 
 from atelier.operators.measures import GRAIN_KEYS, order_grain
 from atelier.operators.star import order_rows
+from atelier.session import materialize
 
 COUNTS = [
     "n_rows", "n_orders", "price_sum", "n_craftsman", "n_type", "n_created", "n_in_progress", "n_delivery", "n_done", "n_not_done",
@@ -85,22 +86,21 @@ def order_feed(added: DataFrame, removed: DataFrame, watermark) -> tuple[DataFra
     """C5 as a change feed: the orders loaded after the watermark, and the same orders as they were.
 
     ``added`` and ``removed`` are the fact's rows in folders that only the newer and only the older version lists.
+    The new orders are written once, so that their measured size decides how the old ones are joined.
     """
-    plus = added.where(F.col("load_dttm") > F.lit(watermark))
+    plus = materialize(added.where(F.col("load_dttm") > F.lit(watermark)), "feed")
     return plus, removed.join(plus.select("order_id"), "order_id", "left_semi")
 
 
-def star_change(
-    old: dict[str, DataFrame], new: dict[str, DataFrame], added: DataFrame, removed: DataFrame, watermark, products: DataFrame | None = None
-) -> DataFrame:
-    """The change of the state from one star to the next; ``products``: ids of products with other values, None for none."""
-    plus, minus = order_feed(added, removed, watermark)
-    if products is not None:
-        fed = plus.select("order_id")
-        plus, minus = (
-            some.unionByName(star["f_order"].join(products, "product_id", "left_semi").join(fed, "order_id", "left_anti"), allowMissingColumns=True)
-            for some, star in ((plus, new), (minus, old))
-        )
+def with_orders_of(products: DataFrame, plus: DataFrame, minus: DataFrame, old: DataFrame, new: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The feed with all other orders of these products, from the old and from the new fact."""
+    fed = plus.select("order_id")
+    more = [fact.join(products, "product_id", "left_semi").join(fed, "order_id", "left_anti") for fact in (new, old)]
+    return plus.unionByName(more[0]), minus.unionByName(more[1])
+
+
+def feed_change(plus: DataFrame, minus: DataFrame, old: dict[str, DataFrame], new: dict[str, DataFrame]) -> DataFrame:
+    """The change of the state from a feed, with the dimensions as they were and as they are."""
     return net_change(state_of(new, plus), state_of(old, minus))
 
 

@@ -1,16 +1,19 @@
 """Constraint checks (Q1-Q4): the DDL's NOT NULL, keys and column ranges.
 
 Parquet tables enforce none of these, so they run as jobs that report
-violations instead of rejecting writes. Each is a single aggregation
+violations; ``row_checks`` are those that a commit can depend on
+(``tables.prepare_version``). Each is a single aggregation
 (partial on the map side); nothing is collected except the small report.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+NUMERIC = (T.IntegerType, T.LongType, T.DecimalType, T.ShortType, T.ByteType)
+
 
 def null_violations(df: DataFrame, not_null: list[str]) -> DataFrame:
     """Q1: one row per NOT NULL column with the number of NULLs in it."""
@@ -30,13 +33,20 @@ def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
+def row_checks(not_null: list[str], schema: T.StructType) -> dict[str, Column]:
+    """Q1 and Q3 as conditions on a row: NULL in a NOT NULL column, or a value that its declared type doesn't hold."""
+    nulls = {f"{c} is null": F.col(c).isNull() for c in not_null}
+    numeric = [f for f in schema.fields if isinstance(f.dataType, NUMERIC)]
+    ranges = {f"{f.name} isn't {f.dataType.simpleString()}": F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull() for f in numeric}
+    return nulls | ranges
+
+
 def range_violations(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Q3: per numeric target column, values that do not fit its declared type.
 
     A value fails when it is not NULL but ``try_cast`` to the target type is.
     """
-    numeric = (T.IntegerType, T.LongType, T.DecimalType, T.ShortType, T.ByteType)
-    cols = [f for f in schema.fields if isinstance(f.dataType, numeric) and f.name in df.columns]
+    cols = [f for f in schema.fields if isinstance(f.dataType, NUMERIC) and f.name in df.columns]
     counts = df.agg(
         *[
             F.count_if(F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull()).alias(

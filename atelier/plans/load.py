@@ -44,7 +44,7 @@ from atelier.schemas import (
 from atelier.functions.conform import exact
 from atelier.functions.dates import month_key
 from atelier.session import materialize, scratch_dir, scratch_scope
-from atelier.sources.star import check_stamp, commit_star, manifests, star_commits, table_versions
+from atelier.sources.star import check_stamp, commit_star, manifests, star_commits
 from atelier.sources.tables import NEWEST, commit_of_version, commit_version, partition_paths, read_paths, write_stage
 
 ORDER_MONTH = "order_created_month"
@@ -55,10 +55,10 @@ def order_partition():
     return (ORDER_MONTH, month_key("order_created_date"))
 
 
-def commit_orders(df: DataFrame, root: str, max_id: int, months: list[str] | None = None, base=NEWEST, after: int | None = None) -> int:
-    """Commit an f_order version; with ``months`` only those months are replaced. ``base``, ``after``: see ``commit_version``."""
+def commit_orders(df: DataFrame, root: str, max_id: int, months: list[str] | None = None, base=NEWEST) -> int:
+    """Commit an f_order version; with ``months`` only those months are replaced. ``base``: see ``commit_version``."""
     return commit_version(
-        df, root, F_ORDER, max_id=max_id, partition=order_partition(), replace_partitions=months, base=base, after=after
+        df, root, F_ORDER, max_id=max_id, partition=order_partition(), replace_partitions=months, base=base, exclusive=base is NEWEST
     )
 
 CRAFTSMAN_ATTRS = ["craftsman_name", "craftsman_address", "craftsman_birthday", "craftsman_email"]
@@ -135,9 +135,9 @@ class Modes:
 
 
 def load_dimension(
-    spark: SparkSession, stage: DataFrame, dwh_root: str, name: str, as_of, base: dict | None, after: int, modes: Modes = Modes()
+    spark: SparkSession, stage: DataFrame, dwh_root: str, name: str, as_of, base: dict | None, modes: Modes = Modes()
 ) -> int:
-    """M1-M3 for one dimension: merge with the version of ``base`` and commit the version after ``after``."""
+    """M1-M3 for one dimension: merge with the version of ``base`` and commit the next."""
     schema, id_col, attrs, key, set_cols = DIMENSIONS[name]
     root = f"{dwh_root}/{name}"
     target = read_paths(spark, (base or {}).get("paths", []), schema)
@@ -145,7 +145,7 @@ def load_dimension(
         target, dimension_rows(stage, attrs), key, set_cols, as_of, id_col, base_id=(base or {}).get("max_id") or 0,
         on_conflict=modes.on_conflict, only_if_changed=modes.only_if_changed,
     )
-    return commit_version(merged, root, schema, max_id=max_id, base=base, after=after)
+    return commit_version(merged, root, schema, max_id=max_id, base=base, exclusive=False)
 
 
 def run_load(spark: SparkSession, sources: dict[str, DataFrame], dwh_root: str, as_of, modes: Modes = Modes()) -> dict[str, int]:
@@ -164,13 +164,12 @@ def run_load(spark: SparkSession, sources: dict[str, DataFrame], dwh_root: str,
     number = (manifests(spark, dwh_root) or [0])[-1] + 1
     check_stamp(spark, dwh_root, as_of)
     base = star_commits(spark, dwh_root, number - 1) if number > 1 else None
-    after = table_versions(spark, dwh_root)
     with scratch_scope(spark):
         consolidated = exact(consolidate_sources(sources), "product_price", PRICE)
         stage = write_stage(consolidated, scratch_dir(spark, "tmp-sources"))
         with ThreadPoolExecutor(max_workers=len(DIMENSIONS)) as pool:
             futures = {
-                name: pool.submit(copy_context().run, load_dimension, spark, stage, dwh_root, name, as_of, (base or {}).get(name), after[name], modes)
+                name: pool.submit(copy_context().run, load_dimension, spark, stage, dwh_root, name, as_of, (base or {}).get(name), modes)
                 for name in DIMENSIONS
             }
             named = {name: f.result() for name, f in futures.items()}
@@ -179,14 +178,14 @@ def run_load(spark: SparkSession, sources: dict[str, DataFrame], dwh_root: str,
             for name, v in named.items()
         }
         named["f_order"] = load_orders(
-            spark, stage, dims, f"{dwh_root}/f_order", as_of, (base or {}).get("f_order"), after["f_order"], modes
+            spark, stage, dims, f"{dwh_root}/f_order", as_of, (base or {}).get("f_order"), modes
         )
         commit_star(spark, dwh_root, as_of, named, number)
     return named
 
 
 def load_orders(
-    spark: SparkSession, stage: DataFrame, dims: dict[str, DataFrame], root: str, as_of, base: dict | None, after: int, modes: Modes = Modes()
+    spark: SparkSession, stage: DataFrame, dims: dict[str, DataFrame], root: str, as_of, base: dict | None, modes: Modes = Modes()
 ) -> int:
     """M4 on the month-partitioned fact: read, merge and rewrite touched months only."""
     lookup = materialize(fact_key_lookup(stage, dims), "order-lookup")
@@ -196,4 +195,4 @@ def load_orders(
         target, lookup, ORDER_KEY, ORDER_SET, as_of, "order_id", base_id=(base or {}).get("max_id") or 0,
         on_conflict=modes.on_conflict, only_if_changed=modes.only_if_changed,
     )
-    return commit_orders(merged, root, max_id, months, base, after)
+    return commit_orders(merged, root, max_id, months, base)

@@ -130,18 +130,23 @@ def replace_customers(
     prev_mart: DataFrame, recomputed: DataFrame, affected: DataFrame, base_id: int | None = None
 ) -> tuple[DataFrame, int]:
     """``prev_mart`` with the rows of the affected customers replaced by ``recomputed``, and the largest id."""
-    kept = prev_mart.join(affected, "customer_id", "left_anti")
-    old_ids = prev_mart.join(affected, "customer_id", "left_semi").select("id", *CUSTOMER_MONTH)
-    matched = materialize(recomputed.join(old_ids, CUSTOMER_MONTH, "left"), "recomputed")
     if base_id is None:
         base_id = prev_mart.agg(F.max("id").alias("m")).first()["m"]
-    base = base_id or 0
+    kept = prev_mart.join(affected, "customer_id", "left_anti")
+    renewed, max_id = with_known_ids(recomputed, prev_mart.join(affected, "customer_id", "left_semi"), base_id or 0)
+    return kept.select("id", *MART_BUSINESS_COLS).unionByName(renewed), max_id
+
+
+def with_known_ids(recomputed: DataFrame, earlier: DataFrame, base_id: int) -> tuple[DataFrame, int]:
+    """``recomputed`` with the ids that ``earlier`` has for the same (customer, month); new months get ids after ``base_id``."""
+    old_ids = earlier.select("id", *CUSTOMER_MONTH)
+    matched = materialize(recomputed.join(old_ids, CUSTOMER_MONTH, "left"), "recomputed")
     cols = ["id", *MART_BUSINESS_COLS]
-    out = kept.select(*cols).unionByName(matched.filter(F.col("id").isNotNull()).select(*cols))
+    out = matched.filter(F.col("id").isNotNull()).select(*cols)
     new = matched.filter(F.col("id").isNull()).drop("id")
     if new.isEmpty():
-        return out, base
-    fresh, max_id = assign_ids_counted(new, MART_ID_ORDER, "id", base=base)
+        return out, base_id
+    fresh, max_id = assign_ids_counted(new, MART_ID_ORDER, "id", base=base_id)
     return out.unionByName(fresh.select(*cols)), max_id
 
 

@@ -7,12 +7,12 @@ manifest that it reflects, and the difference of the fact's folder lists between
 that manifest and the newest one is the change feed (``operators.maintained``).
 Its net change is appended to the state as one small folder, and only the rows of
 affected customers are made anew, from their part of the state. After
-``MOST_CHANGES`` folders of changes the state is written anew.
+``MOST_CHANGES`` folders of changes state and mart are written anew, without reading the fact.
 
 Protocol (SURVEY §3.2): read every input at its committed version, compute,
 commit the new mart version, then the state, then append the watermark row. The mart is
-laid out by customer bucket: an incremental refresh reads and rewrites only
-the buckets of affected customers and keeps every other bucket's folder. The
+laid out by customer bucket, and an incremental refresh writes the affected customers'
+rows and ids only: the new rows replace the earlier ones when the mart is read. The
 feed is relative to what the state reflects, so a crash before the state's
 commit makes the next refresh find the same change again, and it
 replaces whole customers: repeating is harmless. Of two refreshes at once
@@ -22,14 +22,16 @@ one commits, the other raises ``CommitConflict``.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from atelier.operators.delta import DEFAULT_WATERMARK, read_watermark
-from atelier.operators.maintained import CUSTOMER_VALUES, PRODUCT_VALUES, STATE, other_values, standing, star_change, state_of
-from atelier.plans.mart import mart_of_grain, replace_customers, stored_mart, with_mart_ids_counted
-from atelier.schemas import F_ORDER, MART, WATERMARK_LOG
+from atelier.operators.maintained import CUSTOMER_VALUES, PRODUCT_VALUES, STATE, feed_change, order_feed, other_values, standing, state_of, with_orders_of
+from atelier.operators.quality import row_checks
+from atelier.plans.mart import mart_of_grain, with_known_ids, with_mart_ids_counted
+from atelier.schemas import F_ORDER, MART, MART_NOT_NULL, WATERMARK_LOG
 from atelier.session import checkpoint_root, materialize, scratch_scope
 from atelier.sources.star import as_timestamp, newest_manifest, read_commits, read_star, star_commits  # noqa: F401
 from atelier.sources.tables import (
@@ -40,19 +42,20 @@ from atelier.sources.tables import (
     current_commit,
     folders_since,
     newest_stamp,
-    partition_paths,
     partition_value,
     prepare_version,
     publish_version,
     read_paths,
     read_table,
+    read_version,
 )
 
 MART_TABLE = "customer_report_datamart"
 WATERMARK_TABLE = "load_dates_customer_report_datamart"
 STATE_TABLE = "customer_report_state"
-# The mart is laid out by customer bucket so that an incremental refresh
-# rewrites only the buckets of affected customers. Set the count with the
+DIMENSIONS = ("d_craftsman", "d_product", "d_customer")
+# Mart and state are laid out by customer bucket so that an incremental refresh
+# reads only the buckets of affected customers. Set the count with the
 # session setting below so a bucket is a few hundred MB at the target size.
 # The count is part of the folder name: a version written with another count
 # is never mixed with the new layout (the next refresh rewrites it whole).
@@ -91,8 +94,13 @@ def feed_folders(old: dict[str, dict], new: dict[str, dict], watermark) -> tuple
     return [f["path"] for f in folders_since(added, watermark)], [f["path"] for f in removed]
 
 
-def refresh_mart(spark: SparkSession, dwh_root: str, mode: str = "incremental") -> dict:
-    """Refresh the mart; ``mode`` is 'incremental' or 'full'. Without a mart and its state a refresh is full."""
+def refresh_mart(spark: SparkSession, dwh_root: str, mode: str = "incremental", checked: bool = False) -> dict:
+    """Refresh the mart; ``mode`` is 'incremental' or 'full'. Without a mart and its state a refresh is full.
+
+    ``checked``: rows that the mart's DDL wouldn't accept (Q1, Q3) make the refresh fail with ``CheckFailed``,
+    and the mart stays as it was.
+    """
+    checks = row_checks(MART_NOT_NULL, MART) if checked else None
     checkpoint_root(spark)
     manifest = newest_manifest(spark, dwh_root)
     if manifest is None:
@@ -107,16 +115,16 @@ def refresh_mart(spark: SparkSession, dwh_root: str, mode: str = "incremental")
     full = mode == "full" or not kept_up
     with scratch_scope(spark):
         if full:
-            version, state = _full(spark, commits, mart_root, mart_commit, state_root, state_commit, layout)
+            version, state = _full(spark, commits, mart_root, mart_commit, state_root, state_commit, layout, checks)
         else:
             reflected = dt.datetime.fromtimestamp(state_commit["note"]["watermark"] / 1_000_000)
             old = star_commits(spark, dwh_root, state_commit["note"]["manifest"])
-            version, state = _incremental(spark, old, commits, reflected, mart_root, mart_commit, state_root, state_commit, layout)
+            version, state = _incremental(spark, old, commits, reflected, mart_root, mart_commit, state_root, state_commit, layout, checks)
         next_wm = next_watermark(commits, watermark)
         note = {"manifest": manifest["number"], "watermark": round(next_wm.timestamp() * 1_000_000), "layout": layout[0]}
         publish_version(spark, Prepared(state_root, state.version, state.folders, None, note, state.written))
         log_id = (log_commit or {}).get("max_id") or 0
-        row = spark.createDataFrame([(log_id + 1, next_wm)], WATERMARK_LOG).coalesce(1)
+        row = spark.range(1).select(F.lit(log_id + 1).alias("id"), F.lit(next_wm).alias("load_dttm")).coalesce(1)
         append_rows(spark, log_root, row, WATERMARK_LOG, max_id=log_id + 1)
     # P10: the reference ends with SELECT 'increment datamart'.
     return {
@@ -132,13 +140,13 @@ def _newest(commit: dict | None) -> int:
     return 0 if commit is None else commit["version"]
 
 
-def _full(spark, commits, mart_root, mart_commit, state_root, state_commit, layout) -> tuple[int, Prepared]:
+def _full(spark, commits, mart_root, mart_commit, state_root, state_commit, layout, checks) -> tuple[int, Prepared]:
     star = read_commits(spark, commits)
     state = prepare_version(state_of(star), state_root, STATE, partition=layout, base=None, after=_newest(state_commit))
     grain = read_paths(spark, [f["path"] for f in state.folders], STATE)
     rows, max_id = with_mart_ids_counted(mart_of_grain(grain, star["d_customer"]))
     version = commit_version(
-        stored_mart(rows), mart_root, MART, max_id=max_id, partition=layout, base=mart_commit, after=_newest(mart_commit)
+        rows, mart_root, MART, max_id=max_id, partition=layout, base=mart_commit, after=_newest(mart_commit), checks=checks
     )
     return version, state
 
@@ -155,30 +163,47 @@ def _affected(change: DataFrame, old: dict[str, DataFrame], new: dict[str, DataF
     affected = change.select("customer_id")
     if before["d_customer"]["version"] != after["d_customer"]["version"]:
         affected = affected.unionByName(other_values(old["d_customer"], new["d_customer"], "customer_id", CUSTOMER_VALUES, watermark))
-    return materialize(affected.distinct(), "affected")
+    return affected.distinct()
+
+
+def _in_buckets(folders: list[dict], column: str, buckets: list[str]) -> list[dict]:
+    """The folders of these buckets and those of changes."""
+    return [f for f in folders if partition_value(f["path"], column) in (None, *buckets)]
 
 
-def _incremental(spark, before, after, watermark, mart_root, mart_commit, state_root, state_commit, layout) -> tuple[int, Prepared]:
+def _incremental(spark, before, after, watermark, mart_root, mart_commit, state_root, state_commit, layout, checks) -> tuple[int, Prepared]:
     bucket_col, bucket = layout
-    old, new = read_commits(spark, before), read_commits(spark, after)
+    new = read_commits(spark, after, DIMENSIONS)
+    changed_tables = tuple(t for t in DIMENSIONS if before[t]["version"] != after[t]["version"])
+    old = new | read_commits(spark, before, changed_tables)
     added, removed = (read_paths(spark, paths, F_ORDER) for paths in feed_folders(before, after, watermark))
     products = _changed_products(old, new, before, after, watermark)
-    change = star_change(old, new, added, removed, watermark, products)
-    state = prepare_version(change.coalesce(1), state_root, STATE, mode="append", base=state_commit, after=state_commit["version"])
+    plus, minus = order_feed(added, removed, watermark)
+    if products is not None:
+        plus, minus = with_orders_of(products, plus, minus, *(read_commits(spark, c, ("f_order",))["f_order"] for c in (before, after)))
+    change = feed_change(plus, minus, old, new)
+    state = prepare_version(change, state_root, STATE, mode="append", base=state_commit, after=state_commit["version"])
+    # The mart may be ahead of the state after a crash; the customers affected then are among these.
     affected = _affected(read_paths(spark, [f["path"] for f in state.written], STATE), old, new, before, after, watermark)
+    keys = f"{mart_root}/data-{mart_commit['version'] + 1:08d}-{uuid.uuid4().hex[:8]}-keys"
+    affected.write.parquet(keys)
+    affected = spark.read.schema(affected.schema).parquet(keys)
     buckets = [str(r[0]) for r in affected.select(bucket).distinct().collect()]  # at most one value per bucket
-    changes = [f["path"] for f in state.folders if partition_value(f["path"], bucket_col) is None]
-    base = [f["path"] for f in state.folders if partition_value(f["path"], bucket_col) in buckets]
-    # The mart may be ahead of the state after a crash; its affected customers are among these.
-    rows = read_paths(spark, base + changes, STATE).join(affected, "customer_id", "left_semi")
-    grain = materialize(standing(rows), "grain")
-    prev = read_paths(spark, partition_paths(mart_commit, bucket_col, buckets), MART)
-    mart, max_id = replace_customers(prev, mart_of_grain(grain, new["d_customer"]), affected, mart_commit["max_id"])
-    version = commit_version(
-        stored_mart(mart), mart_root, MART, max_id=max_id, partition=layout, replace_partitions=buckets,
-        base=mart_commit, after=mart_commit["version"],
-    )
-    if len(changes) > MOST_CHANGES:
+    rows = read_paths(spark, [f["path"] for f in _in_buckets(state.folders, bucket_col, buckets)], STATE)
+    grain = materialize(standing(rows.join(affected, "customer_id", "left_semi")), "grain")
+    earlier = read_version(spark, _in_buckets(mart_commit["folders"], bucket_col, buckets), MART)
+    renewed, max_id = with_known_ids(
+        mart_of_grain(grain, new["d_customer"]), earlier.join(affected, "customer_id", "left_semi"), mart_commit["max_id"]
+    )
+    mart = prepare_version(
+        renewed, mart_root, MART, mode="append", max_id=max_id, base=mart_commit, after=mart_commit["version"], checks=checks
+    )
+    changed = [f | {"replaces": keys, "by": "customer_id"} for f in mart.written] if buckets else []
+    mart.folders[len(mart.folders) - len(mart.written):] = changed
+    if sum("replaces" in f for f in mart.folders) > MOST_CHANGES:
+        whole = read_version(spark, mart.folders, MART)
+        mart = prepare_version(whole, mart_root, MART, max_id=max_id, partition=layout, base=None, after=mart_commit["version"])
+    if sum(partition_value(f["path"], bucket_col) is None for f in state.folders) > MOST_CHANGES:
         whole = standing(read_paths(spark, [f["path"] for f in state.folders], STATE))
         state = prepare_version(whole, state_root, STATE, partition=layout, base=None, after=state_commit["version"])
-    return version, state
+    return publish_version(spark, mart), state

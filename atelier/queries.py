@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +20,7 @@ from atelier.functions.measures import fee_rounded
 from atelier.operators import consolidate as cons
 from atelier.operators import delta as delta_ops
 from atelier.operators import diagnostics as diag
-from atelier.operators import quality, upsert
+from atelier.operators import maintained, quality, upsert
 from atelier.operators.keys import assign_ids
 from atelier.operators.measures import (
     category_counts,
@@ -38,6 +39,8 @@ from atelier.operators.star import order_rows
 from atelier.plans import load
 from atelier.plans import mart as mart_plan
 from atelier.schemas import MART, MART_BUSINESS_COLS, MART_NOT_NULL, PRICE
+from atelier.session import materialize
+from atelier.sources import changes
 from atelier.sources import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -375,6 +378,97 @@ def q_mart_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report_types(after.select(*MART_BUSINESS_COLS))
 
 
+# --- C5, C12, A6, W1, W4 from a change feed and maintained state -----------------------
+def _states(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+    star = fx.star_schema(spark, sf_dir)
+    return changes.star_before(star), changes.star_after(star)
+
+
+def _feed(before: dict[str, DataFrame], after: dict[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """The feed where the load has written the whole fact anew."""
+    return maintained.order_feed(after["f_order"], before["f_order"], changes.CHANGED_AFTER)
+
+
+def _state_change(before: dict[str, DataFrame], after: dict[str, DataFrame]) -> DataFrame:
+    products = maintained.other_values(
+        before["d_product"], after["d_product"], "product_id", maintained.PRODUCT_VALUES, changes.CHANGED_AFTER
+    )
+    plus, minus = maintained.with_orders_of(materialize(products, "products"), *_feed(before, after), before["f_order"], after["f_order"])
+    return materialize(maintained.feed_change(plus, minus, before, after), "change")
+
+
+@register("order_change_feed")
+def q_order_change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changed orders as they are now (1) and as they were (-1)."""
+    columns = ["order_id", "customer_id", "craftsman_id", "product_id", "order_created_date", "order_completion_date", "order_status"]
+    plus, minus = _feed(*_states(spark, sf_dir))
+    return plus.select(F.lit(1).alias("sign"), *columns).unionByName(minus.select(F.lit(-1).alias("sign"), *columns))
+
+
+@register("state_change")
+def q_state_change(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The net change of the order grain, with groups taken back."""
+    return _state_change(*_states(spark, sf_dir))
+
+
+@register("mart_maintained")
+def q_mart_maintained(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mart before the load, refreshed from the state and its change; ids included."""
+    before, after = _states(spark, sf_dir)
+    state = materialize(maintained.state_of(before), "state")
+    mart = materialize(mart_plan.with_mart_ids(mart_plan.mart_of_grain(state, before["d_customer"])), "mart-before")
+    change = _state_change(before, after)
+    moved = maintained.other_values(
+        before["d_customer"], after["d_customer"], "customer_id", maintained.CUSTOMER_VALUES, changes.CHANGED_AFTER
+    )
+    affected = materialize(change.select("customer_id").unionByName(moved).distinct(), "affected")
+    touched = state.join(affected, "customer_id", "left_semi").unionByName(change)
+    grain = materialize(maintained.standing(touched), "grain")
+    return report_types(mart_plan.replace_customers(mart, mart_plan.mart_of_grain(grain, after["d_customer"]), affected)[0])
+
+
+def _maintained_top(spark: SparkSession, sf_dir: str, rank) -> DataFrame:
+    before, after = _states(spark, sf_dir)
+    counts = materialize(craftsman_counts(maintained.state_of(before)), "counts")
+    return maintained.maintained_top(rank(counts), counts, maintained.craftsman_change(_state_change(before, after)), rank)
+
+
+@register("top_craftsman_maintained_ties")
+def q_top_craftsman_maintained_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _maintained_top(spark, sf_dir, top_craftsman_ties)
+
+
+@register("top_craftsman_maintained_one")
+def q_top_craftsman_maintained_one(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _maintained_top(spark, sf_dir, top_craftsman_one)
+
+
+# --- M5 modes --------------------------------------------------------------------------
+@register("merge_customer_latest")
+def q_merge_customer_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every customer comes three times, twice with the latest stamp; of these the greatest address, then birthday, counts."""
+    rows = cons.dimension_rows(_stage(spark, sf_dir), load.CUSTOMER_ATTRS)
+    by_key = F.substring("customer_name", -1, 1).cast("int") % 5
+    later = rows.withColumn("customer_address", F.concat(F.lit("new-"), "customer_address"))
+    again = later.withColumn("customer_birthday", F.date_add("customer_birthday", by_key - 2))
+    source = reduce(DataFrame.unionByName, [df.withColumn("seen", F.lit(k)) for df, k in ((rows, 1), (later, 2), (again, 2))])
+    _, id_col, _, key, set_cols = load.DIMENSIONS["d_customer"]
+    target = _prior(fx.star_schema(spark, sf_dir)["d_customer"])
+    return upsert.merge_upsert(target, source, key, set_cols, AS_OF, id_col, on_conflict="latest", latest_by=["seen"])
+
+
+@register("merge_customer_if_changed")
+def q_merge_customer_if_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers loaded before with an older address, without a birthday or as they are; only what differs is stamped."""
+    target = _prior(fx.star_schema(spark, sf_dir)["d_customer"])
+    target = target.withColumn(
+        "customer_address", F.when(F.col("customer_id") % 5 == 0, F.lit("elsewhere")).otherwise(F.col("customer_address"))
+    ).withColumn("customer_birthday", F.when(F.col("customer_id") % 7 != 0, F.col("customer_birthday")))
+    _, id_col, attrs, key, set_cols = load.DIMENSIONS["d_customer"]
+    source = cons.dimension_rows(_stage(spark, sf_dir), attrs)
+    return upsert.merge_upsert(target, source, key, set_cols, AS_OF, id_col, only_if_changed=True)
+
+
 # --- A6 / A7 subsets -------------------------------------------------------------
 @register("status_counts")
 def q_status_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

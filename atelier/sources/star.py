@@ -16,7 +16,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 
 from atelier.schemas import D_CRAFTSMAN, D_CUSTOMER, D_PRODUCT, F_ORDER
-from atelier.sources.tables import CommitConflict, child_names, commit_of_version, current_commit, numbers, publish, read_json, read_paths, stamp_literal, versions
+from atelier.sources.tables import CommitConflict, child_names, commit_of_version, current_commit, numbers, publish, read_json, read_paths, stamp_literal
 
 STAR_TABLES = {"d_craftsman": D_CRAFTSMAN, "d_product": D_PRODUCT, "d_customer": D_CUSTOMER, "f_order": F_ORDER}
 MANIFEST = "_star"
@@ -61,11 +61,6 @@ def star_commits(spark: SparkSession, dwh_root: str, number: int | None = None)
     return {name: commit_of_version(spark, f"{dwh_root}/{name}", found["versions"][name]) for name in STAR_TABLES}
 
 
-def table_versions(spark: SparkSession, dwh_root: str) -> dict[str, int]:
-    """The newest version of each table, behind a manifest or not; 0 for a table without any."""
-    return {name: (versions(spark, f"{dwh_root}/{name}") or [0])[-1] for name in STAR_TABLES}
-
-
 def commit_star(spark: SparkSession, dwh_root: str, as_of: dt.date, named: dict[str, int] | None = None, number: int | None = None) -> int:
     """Make these versions, by default the newest of each table, visible to readers, together.
 
@@ -79,8 +74,8 @@ def commit_star(spark: SparkSession, dwh_root: str, as_of: dt.date, named: dict[
     return number
 
 
-def read_commits(spark: SparkSession, commits: dict[str, dict]) -> dict[str, DataFrame]:
-    return {name: read_paths(spark, commits[name]["paths"], schema) for name, schema in STAR_TABLES.items()}
+def read_commits(spark: SparkSession, commits: dict[str, dict], names: tuple[str, ...] = tuple(STAR_TABLES)) -> dict[str, DataFrame]:
+    return {name: read_paths(spark, commits[name]["paths"], STAR_TABLES[name]) for name in names}
 
 
 def read_star(spark: SparkSession, dwh_root: str) -> dict[str, DataFrame]:

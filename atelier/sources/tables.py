@@ -12,7 +12,8 @@ lists the previous folders plus the new one, so appending never rewrites old
 files. A partitioned table lists one folder per partition value
 (``<root>/data-<n>-<tag>/<col>=<value>``); a commit that replaces some
 partitions writes only those and keeps the previous version's folders for the
-others. What two versions don't share is what changed between them
+others. A change of some keys' rows is a folder of the new rows and one of the keys,
+merged when read (``read_version``). What two versions don't share is what changed between them
 (``changed_folders``).
 
 Writers write their folder first and publish the commit file last, under a name
@@ -31,9 +32,10 @@ import datetime as dt
 import json
 import uuid
 from dataclasses import dataclass
+from functools import reduce
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,6 +51,10 @@ class CommitConflict(RuntimeError):
     """Another writer has committed the version that this one was about to commit."""
 
 
+class CheckFailed(ValueError):
+    """Rows of a version violate the checks that its commit depends on."""
+
+
 def hadoop_path(spark: SparkSession, path: str):
     """The path for the JVM, and its file system."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -162,7 +168,28 @@ def read_table(spark: SparkSession, root: str, schema: T.StructType) -> DataFram
     commit = current_commit(spark, root)
     if commit is None:
         raise FileNotFoundError(f"no committed version under {root}")
-    return read_paths(spark, commit["paths"], schema)
+    return read_version(spark, commit["folders"], schema)
+
+
+def read_version(spark: SparkSession, folders: list[dict], schema: T.StructType) -> DataFrame:
+    """The rows of a version's folders: later changes replace earlier rows of the same keys (merge on read).
+
+    A folder of a change names the folder with its keys in ``replaces``: of these keys, only rows in it or in later
+    folders count. The keys are one row each per change, and joined where their size says.
+    """
+    changes = [f for f in folders if "replaces" in f]
+    rows = read_paths(spark, [f["path"] for f in folders if "replaces" not in f], schema)
+    if not changes:
+        return rows
+    key = changes[0]["by"]
+    rows = rows.withColumn("_change", F.lit(0))
+    replaced = []
+    for k, f in enumerate(changes, 1):
+        rows = rows.unionByName(read_paths(spark, [f["path"]], schema).withColumn("_change", F.lit(k)))
+        replaced.append(spark.read.schema(T.StructType([schema[key]])).parquet(f["replaces"]).withColumn("_last", F.lit(k)))
+    last = reduce(DataFrame.unionByName, replaced).groupBy(key).agg(F.max("_last").alias("_last"))
+    held = rows.join(last, key, "left").where(F.col("_last").isNull() | (F.col("_change") >= F.col("_last")))
+    return held.select(*schema.fieldNames())
 
 
 def read_paths(spark: SparkSession, paths: list[str], schema: T.StructType) -> DataFrame:
@@ -246,6 +273,7 @@ def prepare_version(
     base=NEWEST,
     after: int | None = None,
     note: dict | None = None,
+    checks: dict[str, Column] | None = None,
 ) -> Prepared:
     """Write ``df`` as the next version's folders; ``publish_version`` commits it. Parameters: see ``commit_version``."""
     spark = df.sparkSession
@@ -254,6 +282,9 @@ def prepare_version(
     if base is NEWEST:
         base = commit_of_version(spark, root, after) if after else None
     folder = f"{root.rstrip('/')}/data-{after + 1:08d}-{uuid.uuid4().hex[:8]}"
+    observed = Observation("checks") if checks else None
+    if observed is not None:
+        df = df.observe(observed, *[F.count_if(bad).alias(c) for c, bad in checks.items()])
     out = conform(df, schema)
     name = None
     if partition is not None:
@@ -265,6 +296,11 @@ def prepare_version(
         out.write.mode("errorifexists").partitionBy(name).parquet(folder)
     else:
         out.write.mode("errorifexists").parquet(folder)
+    failed = {c: n for c, n in observed.get.items() if n} if observed is not None else {}
+    if failed:
+        place, fs = hadoop_path(spark, folder)
+        fs.delete(place, True)
+        raise CheckFailed(f"{root}: rows that violate a check: {failed}; the version isn't committed")
     new, largest = _written_folders(spark, folder, schema, name, id_col)
     kept = []
     if base is not None and mode == "append":
@@ -294,7 +330,7 @@ def publish_version(spark: SparkSession, prepared: Prepared) -> int:
     return prepared.version
 
 
-def commit_version(df: DataFrame, root: str, schema: T.StructType, mode: str = "overwrite", **how) -> int:
+def commit_version(df: DataFrame, root: str, schema: T.StructType, mode: str = "overwrite", exclusive: bool = True, **how) -> int:
     """Write ``df`` (conformed to ``schema``) and commit it as the next version.
 
     ``base`` is the commit that the new version goes on from, and ``after`` the
@@ -304,7 +340,9 @@ def commit_version(df: DataFrame, root: str, schema: T.StructType, mode: str = "
     are the newest commit as of now.
 
     ``mode='append'`` keeps the base's folders in the new version, and goes on from
-    a version that another writer has committed meanwhile.
+    a version that another writer has committed meanwhile. Without ``exclusive`` the version
+    takes the next free number: for writers whose ``base`` a manifest names, and whose own
+    manifest decides which version counts.
     With ``id_col`` the largest id is read back from the written folder (one
     column, pruned scan) and kept in the commit for the next id range; otherwise
     ``max_id`` is, by default that of the base.
@@ -314,6 +352,11 @@ def commit_version(df: DataFrame, root: str, schema: T.StructType, mode: str = "
     With ``replace_partitions`` only those partition values are replaced:
     ``df`` holds their complete new content, and the base's folders for every
     other value are kept as they are. ``note`` is kept in the commit.
+
+    ``checks`` are conditions that no row may meet, by name (Q1, Q3). They are
+    counted in the pass that writes; if a row meets one, the folder goes, and ``CheckFailed`` leaves
+    the table at its old version. A repeated task may count a row twice, which makes
+    a zero no less a zero.
     """
     spark = df.sparkSession
     prepared = prepare_version(df, root, schema, mode, **how)
@@ -321,9 +364,12 @@ def commit_version(df: DataFrame, root: str, schema: T.StructType, mode: str = "
         try:
             return publish_version(spark, prepared)
         except CommitConflict:
-            if mode != "append":
+            if mode != "append" and exclusive:
                 raise
         newest = current_commit(spark, root)
+        if mode != "append":
+            prepared.version = newest["version"] + 1
+            continue
         known = [v for v in (prepared.max_id, newest["max_id"]) if v is not None]
         prepared = Prepared(root, newest["version"] + 1, newest["folders"] + prepared.written, max(known, default=None), prepared.note, prepared.written)
 

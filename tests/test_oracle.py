@@ -1,5 +1,4 @@
-"""Registered queries vs their DuckDB oracle on sf0.01 (a representative subset;
-``check_oracle.py`` runs all of them)."""
+"""All registered queries of the core vs their DuckDB oracle on sf0.01."""
 
 from __future__ import annotations
 
@@ -7,34 +6,21 @@ import pytest
 
 import __spark_entry__ as E
 from compare import compare, duck
+from atelier.oracle import SQL
 from paths import SF_ORACLE
 
-SUBSET = [
-    "customer_month_measures",
-    "mart_full",
-    "delta_literal",
-    "mart_update_literal",
-    "merge_order",
-    "stage_union_distinct",
-    "diag_global_rank",
-    "update_from_literal",
-    "watermark_advance",
-]
-
-
 @pytest.fixture(scope="module")
 def con():
     return duck(SF_ORACLE)
 
 
 def test_every_query_has_an_oracle():
-    from atelier.oracle import SQL
     from atelier.queries import all_queries
 
     assert set(all_queries()) == set(SQL) and set(SQL) <= set(E.oracle_sql())
 
 
-@pytest.mark.parametrize("name", SUBSET)
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_query_matches_oracle(spark, con, name):
     res = compare(E.queries()[name](spark, SF_ORACLE), con, E.oracle_sql()[name])
     assert res["columns_match"], (res["spark_cols"], res["duck_cols"])
