@@ -38,7 +38,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from atelier.llm.bitmap import BitMap, bits_for, collect_bits
@@ -49,6 +49,8 @@ from atelier.llm.workers import lean, lean_group
 
 WORDS = 5
 PERCENT = 75
+#: Stands for a missing id.
+NO_ID = (1 << 63) - 1
 #: Shingles gathered before a task sends them, shingles of a bucket, sets of a block.
 SEND_SHINGLES = 1 << 20
 BUCKET_SHINGLES = 1 << 21
@@ -101,8 +103,9 @@ def _classed(width: int):
                         batch.column("doc_id").slice(start, end - start),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array([set_key(s) if len(s) else None for s in sets], pa.binary()),
+                        batch.column("row").slice(start, end - start),
                     ],
-                    ["doc_id", "n_shingles", "key"],
+                    ["doc_id", "n_shingles", "key", "row"],
                 )
 
     return run
@@ -516,10 +519,11 @@ def _block(percent: int, all_links: bool):
 # ---- results -----------------------------------------------------------------------------------
 
 
-def document_classes(docs: DataFrame, width: int = WORDS) -> DataFrame:
-    """doc_id, n_shingles and key, the class of equal sets (null for an empty set), for each row."""
-    rows = with_types(docs, doc_id="long", text="string")
-    return staged(rows.mapInArrow(lean(_classed(width)), "doc_id long, n_shingles long, key binary"), "classes")
+def document_classes(docs: DataFrame, width: int = WORDS, row: Column | None = None) -> DataFrame:
+    """doc_id, n_shingles, key, the class of equal sets (null for an empty set), and ``row``, what the caller knows the row by, for each row."""
+    named = with_types(docs.withColumn("_row", F.lit(0) if row is None else row), doc_id="long", text="string", _row="long")
+    classed = named.withColumnRenamed("_row", "row").mapInArrow(lean(_classed(width)), "doc_id long, n_shingles long, key binary, row long")
+    return staged(classed, "classes")
 
 
 def class_table(classed: DataFrame) -> DataFrame:
@@ -537,25 +541,50 @@ def links(docs: DataFrame, classes: DataFrame, width: int = WORDS, percent: int
     return blocks.applyInArrow(lean_group(_block(percent, all_links)), "u binary, v binary")
 
 
+def linked_classes(docs: DataFrame, classes: DataFrame, width: int, percent: int, most: int) -> DataFrame:
+    """key, doc_id, copies and root, the class that stands for its component, of each class."""
+    found = staged(components(links(docs, classes, width, percent, most=most)), "components")
+    joined = classes.join(found, classes["key"] == found["node"], "left")
+    return joined.select("key", "doc_id", "copies", F.coalesce("root", "key").alias("root"))
+
+
 def near_groups(docs: DataFrame, width: int = WORDS, percent: int = PERCENT, most: int = BLOCK_SETS) -> DataFrame:
     """doc_id, n_shingles and component_id, the smallest doc_id reachable by links, for each row."""
     classed = document_classes(docs, width)
     classes = staged(class_table(classed), "class-table")
-    found = staged(components(links(docs, classes, width, percent, most=most)), "components")
-    linked = classes.join(found, classes["key"] == found["node"], "left").select("key", "doc_id", F.coalesce("root", "key").alias("root"))
+    linked = linked_classes(docs, classes, width, percent, most)
     smallest = linked.groupBy("root").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("together"))
     # Classes of one document that link with nothing keep their own id and needn't be joined.
-    named = linked.join(smallest.where("together > 1"), "root", "left").join(classes.select("key", "copies"), "key")
-    named = named.where("together is not null or copies > 1")
+    named = linked.join(smallest.where("together > 1"), "root", "left").where("together is not null or copies > 1")
     named = staged(named.select("key", F.coalesce("component_id", "doc_id").alias("component_id")), "named")
     return classed.join(named, "key", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
-def one_of_each(docs: DataFrame, width: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """The rows of ``docs`` whose id is that of their component, so one document of each group.
+def _whole_row(docs: DataFrame) -> Column:
+    """A hash of all columns; a null differs from any value."""
+    columns = [F.col(f"`{c}`") for c, kind in docs.dtypes if not kind.startswith("map")]
+    return F.xxhash64(*columns, *(c.isNull() for c in columns))
+
 
-    Rows without an id can't be told apart by it and stay.
+def one_of_each(docs: DataFrame, width: int = WORDS, percent: int = PERCENT, most: int = BLOCK_SETS) -> DataFrame:
+    """The rows of ``docs``, of each component one: the row with the smallest id, and of its rows that with the smallest hash.
+
+    Rows are told apart by id and whole content: of two texts with one id, only the near copy goes. Rows
+    without an id come after all others of their component. Rows without words are copies of nothing.
+    Rows that are alike in every column count once.
     """
-    groups = near_groups(docs, width, percent)
-    dropped = staged(groups.where("doc_id != component_id").select(F.col("doc_id").alias("gone")).distinct(), "near-copies")
-    return docs.join(dropped, F.col("doc_id").cast("long") == F.col("gone"), "left_anti")
+    row, doc_id = _whole_row(docs), F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
+    classed = document_classes(docs, width, row).withColumn("doc_id", F.coalesce("doc_id", F.lit(NO_ID)))
+    classes = staged(class_table(classed), "class-table")
+    linked = linked_classes(docs, classes, width, percent, most)
+    together = linked.groupBy("root").agg(F.sum("copies").alias("rows")).where("rows > 1")
+    groups = staged(linked.join(together, "root").select("key", "root"), "near-groups")
+    members = staged(classed.join(groups, "key").select("root", "doc_id", "row"), "near-members")
+    first = members.groupBy("root").agg(F.min(F.struct("doc_id", "row")).alias("first"))
+    others = members.join(first, "root").where(F.struct("doc_id", "row") != F.col("first"))
+    gone = staged(others.select(F.col("doc_id").alias("_gone_id"), F.col("row").alias("_gone_row")).distinct(), "near-copies")
+    kept = docs.withColumns({"_near_id": doc_id, "_near_row": row})
+    kept = kept.join(gone, (F.col("_near_id") == F.col("_gone_id")) & (F.col("_near_row") == F.col("_gone_row")), "left_anti")
+    if not classed.groupBy("doc_id", "row").count().where("count > 1").isEmpty():
+        kept = kept.dropDuplicates(["_near_id", "_near_row"])
+    return kept.drop("_near_id", "_near_row")

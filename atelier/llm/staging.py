@@ -21,7 +21,8 @@ def shared_root(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="atelier-llm-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        spark.sparkContext.setCheckpointDir(root)
+        root = spark.sparkContext.getCheckpointDir()
     return root.rstrip("/")
 
 

@@ -74,12 +74,38 @@ class ByteHash:
         return np.multiply.accumulate(steps)
 
     def spans(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        powers, inverses = self._grown(len(data) + 1)
-        sums = np.zeros(len(data) + 1, U64)
-        np.cumsum(self.table[data] * powers[:-1], out=sums[1:])
-        raw = (sums[ends] - sums[starts]) * inverses[starts]
+        """The hashes of the spans. Longer data are read a piece at a time, so what is held is a piece and the spans."""
+        if len(data) <= SLICE_BYTES:
+            powers, inverses = self._grown(len(data) + 1)
+            sums = np.zeros(len(data) + 1, U64)
+            np.cumsum(self.table[data] * powers[:-1], out=sums[1:])
+            raw = (sums[ends] - sums[starts]) * inverses[starts]
+        else:
+            raw = (self._sums_at(data, ends) - self._sums_at(data, starts)) * self._inverses_at(starts)
         return mix64(raw + (ends - starts).astype(U64) * U64(0x9E3779B97F4A7C15))
 
+    def _sums_at(self, data: np.ndarray, places: np.ndarray) -> np.ndarray:
+        """The running sum before each place."""
+        order = np.argsort(places, kind="stable")
+        sorted_places, out = places[order], np.empty(len(places), U64)
+        powers, _ = self._grown(SLICE_BYTES + 1)
+        carried, factor, first = U64(0), U64(1), 0
+        for start in range(0, len(data) + 1, SLICE_BYTES):
+            piece = data[start:start + SLICE_BYTES]
+            sums = np.empty(len(piece) + 1, U64)
+            sums[0] = carried
+            np.cumsum(self.table[piece] * (powers[:len(piece)] * factor), out=sums[1:])
+            sums[1:] += carried
+            last = int(np.searchsorted(sorted_places, start + SLICE_BYTES))
+            out[order[first:last]] = sums[sorted_places[first:last] - start]
+            carried, factor, first = sums[-1], factor * powers[SLICE_BYTES], last
+        return out
+
+    def _inverses_at(self, places: np.ndarray) -> np.ndarray:
+        _, inverses = self._grown(SLICE_BYTES + 1)
+        steps = self._run(inverses[SLICE_BYTES], int(places.max(initial=0)) // SLICE_BYTES + 1)
+        return inverses[places % SLICE_BYTES] * steps[places // SLICE_BYTES]
+
 
 def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of all texts and the offsets between them; a null is an empty text."""
