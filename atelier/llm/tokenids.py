@@ -12,10 +12,11 @@ range-partitioned by document id; each range writes its files in ascending
 order, and a running sum over files gives every document's start.
 
 Words recur, so each Python worker keeps the ids of the short word units it met. A unit
-begins at a space or newline that follows a character other than white space;
-there the byte-level pattern always splits, so encoding units one by one gives
-the ids of the whole text. Units that begin and end like that can stand side by
-side in one string; the byte lengths of its ids tell them apart again.
+begins where the byte-level pattern always splits: at a space or newline that follows a
+character other than white space, and after a space and Latin letters that no letter or
+number follows. The pattern looks ahead only past white space, and a unit doesn't end with any but at
+the text's end, so encoding units one by one gives the ids of the whole text. Units
+that begin with a space or newline can stand side by side in one string; the byte lengths of its ids tell them apart again.
 
 Defined results: null and empty texts have the end id only. Documents without
 an id come first. Rows with the same id follow each other, ordered by their
@@ -44,8 +45,10 @@ from atelier.llm.textbytes import SLICE_BYTES
 from atelier.llm.workers import kept, lean
 
 END_ID = 2
-#: A unit goes on over white space that begins with another character than a space or newline.
-UNIT = re.compile(r"\s*+\S++(?:[^\S \n]\s*+\S*+)*+|\s++")
+LATIN = "A-Za-zÀ-ÖØ-öø-ɏ"
+#: A word of Latin letters, marks between it and the next word, or all up to a space or newline; this
+#: goes on over white space that begins with another character. An apostrophe may take letters along.
+UNIT = re.compile(rf"(?<=\S) [{LATIN}]++(?![^\W\d_])|[^\w\s']++(?=[ \n]\S)|\s*+\S++(?:[^\S \n]\s*+\S*+)*+|\s++")
 #: Units longer than this, and more units than this, aren't kept.
 KEEP_CHARS, KEEP_UNITS = 48, 1_000_000
 #: Units that are encoded side by side.
