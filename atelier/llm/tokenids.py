@@ -30,7 +30,7 @@ import os
 import re
 import struct
 import zlib
-from itertools import islice
+from itertools import accumulate, chain, islice
 from pathlib import Path
 
 import numpy as np
@@ -62,7 +62,7 @@ HEADER = struct.Struct("<4sQQQ")
 _FILE_ROW = (pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.int64())
 
 #: Of each control byte: the lengths of its four numbers.
-LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3).astype(np.int64) + 1
+LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3).astype(np.uint8) + np.uint8(1)
 
 
 def pack_numbers(numbers: np.ndarray) -> tuple[bytes, bytes]:
@@ -79,13 +79,12 @@ def pack_numbers(numbers: np.ndarray) -> tuple[bytes, bytes]:
 def unpack_numbers(control: np.ndarray, octets: np.ndarray, n: int) -> np.ndarray:
     """The numbers again: lengths by table, then one gather for each byte of a number."""
     size = LENGTHS[control].ravel()[:n]
-    at = np.cumsum(size) - size
-    out = np.zeros(n, np.uint32)
-    for k in range(4):
-        some = size > k
-        if not some.any():
-            break
+    at = np.cumsum(size, dtype=np.int64) - size
+    out = octets[at].astype(np.uint32)
+    some = np.flatnonzero(size > 1)
+    for k in range(1, 4):
         out[some] |= octets[at[some] + k].astype(np.uint32) << np.uint32(8 * k)
+        some = some[size[some] > k + 1]
     return out
 
 
@@ -116,34 +115,41 @@ class UnitEncoder:
 
     def side_by_side(self, units: list[str]) -> list[bytes]:
         """The ids of units that begin with a space or newline and don't end with white space."""
-        ids = np.array(self.tokenizer.encode_batch_fast(["".join(units)], add_special_tokens=False)[0].ids, np.int64)
+        joined = "".join(units)
+        ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, np.int64)
         reached = np.cumsum(self.id_bytes[ids])
-        ends = np.cumsum([len(u.encode()) for u in units])
+        ends = np.cumsum(list(map(len, units if joined.isascii() else map(str.encode, units))))
         last = np.searchsorted(reached, ends)
         if last[-1] != len(ids) - 1 or (reached[last] != ends).any():
             return self.one_by_one(units)  # a tokenizer whose ids have other lengths
-        flat, cuts = ids.astype(self.kind).tobytes(), [0, *((last + 1) * np.dtype(self.kind).itemsize).tolist()]
-        return [flat[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+        flat, cuts = ids.astype(self.kind).tobytes(), ((last + 1) * np.dtype(self.kind).itemsize).tolist()
+        return [flat[a:b] for a, b in zip([0, *cuts], cuts, strict=False)]
+
+    def learn(self, units: list[str]) -> dict[str, bytes]:
+        """The ids of new units."""
+        found: dict[str, bytes] = {}
+        edges = [u for u in units if u[0] not in " \n" or u[-1].isspace()]
+        inner = list(set(units).difference(edges)) if edges else units
+        found.update(zip(edges, self.one_by_one(edges), strict=True))
+        for k in range(0, len(inner), PACKED_UNITS):
+            part = inner[k:k + PACKED_UNITS]
+            found.update(zip(part, self.side_by_side(part), strict=True))
+        return found
 
     def encode(self, texts: list[str], end: bytes) -> list[bytes]:
         split = [UNIT.findall(t) for t in texts]
-        known = self.known
-        room = max(KEEP_UNITS - len(known), 0)
-        fresh = set().union(*split).difference(known)
-        edges = [u for u in fresh if u[0] not in " \n" or u[-1].isspace()]
-        inner = list(fresh.difference(edges))
-        known.update(zip(edges, self.one_by_one(edges), strict=True))
-        for k in range(0, len(inner), PACKED_UNITS):
-            part = inner[k:k + PACKED_UNITS]
-            known.update(zip(part, self.side_by_side(part), strict=True))
-        out = [b"".join(map(known.__getitem__, units)) + end for units in split]
+        units = list(chain.from_iterable(split))
+        ids = list(map(self.known.get, units))
+        places = [k for k, found in enumerate(ids) if found is None]
+        missing = [units[k] for k in places]
+        fresh = self.learn(list(set(missing)))
+        for k, found in zip(places, map(fresh.__getitem__, missing), strict=True):
+            ids[k] = found
         # Frequent units come early, so what is kept stays; the rest is forgotten.
-        for unit in [u for u in fresh if len(u) > KEEP_CHARS]:
-            fresh.discard(unit)
-            del known[unit]
-        for unit in islice(fresh, room, None):
-            del known[unit]
-        return out
+        room = max(KEEP_UNITS - len(self.known), 0)
+        self.known.update(islice(((u, x) for u, x in fresh.items() if len(u) <= KEEP_CHARS), room))
+        ends = list(accumulate(map(len, split)))
+        return [b"".join(ids[a:b]) + end for a, b in zip([0, *ends], ends, strict=False)]
 
 
 def encoder_of(definition: str, kind: str) -> UnitEncoder:
