@@ -569,22 +569,22 @@ def _whole_row(docs: DataFrame) -> Column:
 def one_of_each(docs: DataFrame, width: int = WORDS, percent: int = PERCENT, most: int = BLOCK_SETS) -> DataFrame:
     """The rows of ``docs``, of each component one: the row with the smallest id, and of its rows that with the smallest hash.
 
-    Rows are told apart by id and whole content: of two texts with one id, only the near copy goes. Rows
+    Rows are told apart by a hash of all their columns: of two texts with one id, only the near copy goes. Rows
     without an id come after all others of their component. Rows without words are copies of nothing.
     Rows that are alike in every column count once.
     """
-    row, doc_id = _whole_row(docs), F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
+    row = _whole_row(docs)
     classed = document_classes(docs, width, row).withColumn("doc_id", F.coalesce("doc_id", F.lit(NO_ID)))
     classes = staged(class_table(classed), "class-table")
     linked = linked_classes(docs, classes, width, percent, most)
     together = linked.groupBy("root").agg(F.sum("copies").alias("rows")).where("rows > 1")
     groups = staged(linked.join(together, "root").select("key", "root"), "near-groups")
     members = staged(classed.join(groups, "key").select("root", "doc_id", "row"), "near-members")
-    first = members.groupBy("root").agg(F.min(F.struct("doc_id", "row")).alias("first"))
+    # Written, so that the join with it can be split at a large group.
+    first = staged(members.groupBy("root").agg(F.min(F.struct("doc_id", "row")).alias("first")), "near-first")
     others = members.join(first, "root").where(F.struct("doc_id", "row") != F.col("first"))
-    gone = staged(others.select(F.col("doc_id").alias("_gone_id"), F.col("row").alias("_gone_row")).distinct(), "near-copies")
-    kept = docs.withColumns({"_near_id": doc_id, "_near_row": row})
-    kept = kept.join(gone, (F.col("_near_id") == F.col("_gone_id")) & (F.col("_near_row") == F.col("_gone_row")), "left_anti")
-    if not classed.groupBy("doc_id", "row").count().where("count > 1").isEmpty():
-        kept = kept.dropDuplicates(["_near_id", "_near_row"])
-    return kept.drop("_near_id", "_near_row")
+    gone = staged(others.select(F.col("row").alias("_gone")).distinct(), "near-copies")
+    kept = docs.withColumn("_near_row", row).join(gone, F.col("_near_row") == F.col("_gone"), "left_anti")
+    if not classed.groupBy("row").count().where("count > 1").isEmpty():
+        kept = kept.dropDuplicates(["_near_row"])
+    return kept.drop("_near_row")
