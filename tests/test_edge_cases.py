@@ -25,8 +25,9 @@ from atelier.operators.star import order_rows
 from atelier.operators.upsert import MergeConflict, merge_upsert, update_from
 from atelier.plans.load import fact_key_lookup
 from atelier.plans.mart import full_mart, incremental_mart, intended_mart, stored_mart
-from atelier.plans.refresh import newest_load
+from atelier.plans.refresh import next_watermark
 from atelier.schemas import D_CUSTOMER, MART
+from atelier.sources.tables import stamp_literal
 from tiny import NEW, OLD, D, order, star
 
 
@@ -199,7 +200,9 @@ def test_empty_delta_keeps_mart_and_watermark(spark):
     before = full_mart(s)
     after = incremental_mart(before, s, wm)
     assert sorted(after.collect()) == sorted(before.collect())
-    assert newest_load(s, wm) == wm
+    commits = {name: {"folders": [{"high": stamp_literal(OLD)}, {"high": None}]} for name in s}
+    assert next_watermark(commits, wm) == wm
+    assert next_watermark({"t": {"folders": [{"high": stamp_literal(NEW)}]}}, wm) == NEW
 
 
 def test_duplicate_natural_key_in_dimension_multiplies_and_is_reported(spark):

@@ -147,7 +147,7 @@ def test_load_rewrites_only_touched_months(spark, workdir):
     assert fo.filter(F.col("load_dttm") == F.lit(T1)).count() == one_month.count()
 
 
-def test_incremental_refresh_rewrites_only_touched_buckets(spark, workdir):
+def test_incremental_refresh_writes_only_affected_customers(spark, workdir):
     from atelier.plans.refresh import mart_buckets, mart_partition
     from atelier.sources.tables import partition_value
 
@@ -158,6 +158,7 @@ def test_incremental_refresh_rewrites_only_touched_buckets(spark, workdir):
     refresh_mart(spark, dwh, mode="full")
     before = current_commit(spark, f"{dwh}/{MART_TABLE}")
     full_rows = _business(read_table(spark, f"{dwh}/{MART_TABLE}", MART))
+    mart_keys = read_table(spark, f"{dwh}/{MART_TABLE}", MART).select("customer_id", "report_period").collect()
 
     # One customer's orders are loaded again after the watermark, first as they were, then with another status.
     fo = read_star(spark, dwh)["f_order"]
@@ -174,9 +175,10 @@ def test_incremental_refresh_rewrites_only_touched_buckets(spark, workdir):
             assert after["paths"] == before["paths"]  # the same orders: nothing to write
             assert _business(read_table(spark, f"{dwh}/{MART_TABLE}", MART)) == full_rows
 
-    new_paths = set(after["paths"]) - set(before["paths"])
-    assert len({partition_value(p, bucket_col) for p in new_paths}) == 1
-    assert len(after["paths"]) == len(before["paths"])
+    # The buckets stay as they are; the change is one folder of that customer's rows.
+    assert after["paths"][:-1] == before["paths"] and all(partition_value(p, bucket_col) for p in before["paths"])
+    assert partition_value(after["paths"][-1], bucket_col) is None
+    assert after["folders"][-1]["rows"] == sum(r[0] == one for r in mart_keys)
     incremental = _business(read_table(spark, f"{dwh}/{MART_TABLE}", MART))
     refresh_mart(spark, dwh, mode="full")
     assert _business(read_table(spark, f"{dwh}/{MART_TABLE}", MART)) == incremental != full_rows
