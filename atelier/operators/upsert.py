@@ -28,6 +28,11 @@ conflicts (ids matched more than once), the updates (by id) and the inserts
 from it. The source is on the left, where AQE can split a hot key.
 Physical strategies are left to the planner: a side is broadcast only when
 its measured size is under the threshold, otherwise both are shuffled.
+
+``merge_clustered`` is the same for a target whose files lie by the natural key
+(``sources.clustered``). It joins on the key both times: first source and target keys, to number
+the inserts, then the target and its changes (updates and inserts), in one full outer join. The
+target has no exchange in either; the source's rows go to its buckets.
 """
 
 from __future__ import annotations
@@ -36,9 +41,11 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from atelier.operators.keys import assign_ids_counted
 from atelier.session import materialize
+from atelier.sources.clustered import keyed
 
 
 class MergeConflict(ValueError):
@@ -167,6 +174,74 @@ def merge_upsert_counted(
     return updated.unionByName(inserted), max_id
 
 
+def merge_clustered(
+    target: DataFrame | None,
+    source: DataFrame,
+    keys: list[str],
+    set_cols: list[str],
+    as_of,
+    id_col: str,
+    schema: T.StructType,
+    base_id: int,
+    buckets: int,
+    load_col: str = "load_dttm",
+    on_conflict: str = "error",
+    latest_by: list[str] | None = None,
+    only_if_changed: bool = False,
+) -> tuple[DataFrame, int]:
+    """``merge_upsert_counted`` for the part of a target that lies by its key: the rows that the source may match.
+
+    ``target`` is None where there are no such rows. The result lies by the key, but for inserted rows with
+    a NULL in it, which keep the ranges of their ids.
+    """
+    if on_conflict not in ("error", "latest"):
+        raise ValueError(f"on_conflict is 'error' or 'latest', not {on_conflict!r}")
+    if on_conflict == "latest":
+        source = latest_rows(source, keys, latest_by or [])
+    src_cols = [c for c in source.columns if c in schema.names and c not in (id_col, load_col)]
+    kept = [c for c in src_cols if c in set_cols]
+    s = source.select(*src_cols)
+    order = keys + [c for c in src_cols if c not in keys]
+    stamp = F.lit(as_of).cast(schema[load_col].dataType)
+
+    def whole(rows: DataFrame) -> DataFrame:
+        made = {load_col: stamp} | {c: F.col(c) for c in (*src_cols, id_col)}
+        return rows.select(*[made.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in schema])
+
+    if target is None:
+        inserted, max_id = assign_ids_counted(s, order, id_col, base_id)
+        rows = whole(inserted)
+        return rows.where(keyed(keys)).repartition(buckets, *keys).unionByName(rows.where(~keyed(keys))), max_id
+    t = target.select(F.col(id_col), *[F.col(k).alias(f"t_{k}") for k in keys])
+    with_key = s.where(keyed(keys))
+    met = materialize(with_key.join(t, _eq(with_key, t, keys, "t_"), "left").select(id_col, *src_cols), "merge")
+    matched = met.where(F.col(id_col).isNotNull())
+    if on_conflict == "error":
+        check_no_conflicts(matched, keys, id_col)
+    unmatched = met.where(F.col(id_col).isNull()).select(*src_cols)
+    inserted, max_id = assign_ids_counted(unmatched.unionByName(s.where(~keyed(keys))), order, id_col, base_id)
+    # One source row for each matched key is left, but a key may stand in several target rows.
+    updates = matched.groupBy(*keys).agg(F.max(F.struct(*kept)).alias("_new")) if kept else matched.select(*keys).distinct()
+    updates = updates.select(*keys, *[F.col(f"_new.{c}").alias(c) for c in kept])
+    changes = inserted.where(keyed(keys)).unionByName(updates, allowMissingColumns=True)
+    changes = changes.select(*[F.col(c).alias(f"s_{c}") for c in changes.columns])
+    joined = target.join(changes, _eq(target, changes, keys, "s_"), "full_outer")
+    old = F.col(id_col).isNotNull()
+    hit = old & F.col(f"s_{keys[0]}").isNotNull()
+    if only_if_changed:
+        hit = hit & ~reduce(lambda a, b: a & b, [F.col(f"s_{c}").eqNullSafe(F.col(c)) for c in kept], F.lit(True))
+
+    def merged(f: T.StructField) -> Column:
+        c = f.name
+        if c == load_col:
+            return F.when(old & ~hit, F.col(c)).otherwise(stamp)
+        new = F.col(f"s_{c}") if c == id_col or c in src_cols else F.lit(None)
+        return F.when(hit | ~old if c in kept else ~old, new).otherwise(F.col(c))
+
+    rows = joined.select(*[merged(f).cast(f.dataType).alias(f.name) for f in schema])
+    return rows.unionByName(whole(inserted.where(~keyed(keys)))), max_id
+
+
 def update_from(
     target: DataFrame,
     source: DataFrame,

@@ -40,6 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from atelier.functions.conform import conform
+from atelier.sources.clustered import Clustering, write_clustered
 
 COMMITS = "_commits"
 STAMP = "load_dttm"
@@ -274,6 +275,8 @@ def prepare_version(
     after: int | None = None,
     note: dict | None = None,
     checks: dict[str, Column] | None = None,
+    clustering: Clustering | None = None,
+    placed: bool = False,
 ) -> Prepared:
     """Write ``df`` as the next version's folders; ``publish_version`` commits it. Parameters: see ``commit_version``."""
     spark = df.sparkSession
@@ -289,6 +292,11 @@ def prepare_version(
     name = None
     if partition is not None:
         name, expr = partition
+    if clustering is not None:
+        if not placed:
+            out = out.repartition(clustering.buckets, *clustering.keys)
+        write_clustered(out.withColumn(name, expr), folder, name, clustering)
+    elif partition is not None:
         # REBALANCE lets AQE pack small partition values into one file and
         # split a large one into advisory-size files (no small-file explosion
         # of one file per task and value, no single huge file per value).
@@ -302,6 +310,8 @@ def prepare_version(
         fs.delete(place, True)
         raise CheckFailed(f"{root}: rows that violate a check: {failed}; the version isn't committed")
     new, largest = _written_folders(spark, folder, schema, name, id_col)
+    if clustering is not None:
+        new = [f | {"buckets": clustering.buckets} for f in new]
     kept = []
     if base is not None and mode == "append":
         kept = base["folders"]
@@ -353,6 +363,9 @@ def commit_version(df: DataFrame, root: str, schema: T.StructType, mode: str = "
     ``df`` holds their complete new content, and the base's folders for every
     other value are kept as they are. ``note`` is kept in the commit.
 
+    With ``clustering`` (and ``partition``) the files of each partition lie in buckets by its keys,
+    see ``clustered``. ``placed`` says that ``df`` lies by these keys already; else it is shuffled.
+
     ``checks`` are conditions that no row may meet, by name (Q1, Q3). They are
     counted in the pass that writes; if a row meets one, the folder goes, and ``CheckFailed`` leaves
     the table at its old version. A repeated task may count a row twice, which makes
