@@ -226,17 +226,20 @@ def run_load(spark: SparkSession, sources: dict[str, DataFrame], dwh_root: str,
 
 
 def load_orders(
-    spark: SparkSession, stage: DataFrame, dims: dict[str, DataFrame], root: str, as_of, base: dict | None, modes: Modes = Modes()
-) -> int:
+    spark: SparkSession, stage: DataFrame, dims: dict[str, DataFrame], root: str, as_of, base: dict | None, modes: Modes = Modes(),
+    buckets: int | None = None,
+) -> int:
     """M4 on the month-partitioned fact: read, merge and rewrite touched months only.
 
-    With a number of buckets the files of a month lie by the order key, and its rows aren't shuffled.
+    With a number of ``buckets``, by default the session's, the files of a month lie by the order key, and its rows
+    aren't shuffled.
     """
     lookup = materialize(fact_key_lookup(stage, dims), "order-lookup")
     months = [r[0] for r in lookup.select(month_key("order_created_date")).distinct().collect()]
     base_id = (base or {}).get("max_id") or 0
     how = {"on_conflict": modes.on_conflict, "only_if_changed": modes.only_if_changed}
-    buckets = int(spark.conf.get(ORDER_BUCKETS_CONF, "0"))
+    if buckets is None:
+        buckets = int(spark.conf.get(ORDER_BUCKETS_CONF, "0"))
     if not buckets:
         target = read_paths(spark, partition_paths(base, ORDER_MONTH, months), F_ORDER)
         merged, max_id = merge_upsert_counted(target, lookup, ORDER_KEY, ORDER_SET, as_of, "order_id", base_id=base_id, **how)

@@ -14,6 +14,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from atelier.functions.conform import report_types
 from atelier.functions.measures import fee_rounded
@@ -38,10 +39,11 @@ from atelier.operators.ranking import (
 from atelier.operators.star import order_rows
 from atelier.plans import load
 from atelier.plans import mart as mart_plan
-from atelier.schemas import MART, MART_BUSINESS_COLS, MART_NOT_NULL, PRICE
-from atelier.session import materialize
-from atelier.sources import changes
+from atelier.schemas import D_CUSTOMER, F_ORDER, MART, MART_BUSINESS_COLS, MART_NOT_NULL, ORDER_KEY, PRICE
+from atelier.session import materialize, scratch_dir
+from atelier.sources import changes, tables
 from atelier.sources import fixtures as fx
+from atelier.sources.clustered import Clustering
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -202,12 +204,10 @@ def q_fact_key_lookup_fractional(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load.fact_key_lookup(_fractional(_stage(spark, sf_dir)), dict(star, d_product=_fractional(star["d_product"])))
 
 
-@register("merge_order")
-def q_merge_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _earlier_orders(star: dict[str, DataFrame]) -> DataFrame:
     """Orders created before 1997 were loaded earlier, still in status 'created'."""
-    star = fx.star_schema(spark, sf_dir)
     earlier = star["f_order"].filter(F.col("order_created_date") < F.lit(dt.date(1997, 1, 1)))
-    target = earlier.select(
+    return earlier.select(
         "order_id",
         "product_id",
         "craftsman_id",
@@ -217,7 +217,12 @@ def q_merge_order(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("created").alias("order_status"),
         "load_dttm",
     )
-    return load.merge_orders(target, _stage(spark, sf_dir), star, AS_OF)
+
+
+@register("merge_order")
+def q_merge_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    star = fx.star_schema(spark, sf_dir)
+    return load.merge_orders(_earlier_orders(star), _stage(spark, sf_dir), star, AS_OF)
 
 
 @register("merge_conflicts")
@@ -469,6 +474,39 @@ def q_merge_customer_if_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return upsert.merge_upsert(target, source, key, set_cols, AS_OF, id_col, only_if_changed=True)
 
 
+def _stored_dates(spark: SparkSession, root: str, schema: StructType) -> DataFrame:
+    """The newest version of a table, with the fixture's dates as load stamps."""
+    return tables.read_table(spark, root, schema).withColumn("load_dttm", F.col("load_dttm").cast("date"))
+
+
+@register("merge_customer_clustered")
+def q_merge_customer_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The load's own merge of a stored table that lies by natural key; some customers had another address or no birthday."""
+    target = _prior(fx.star_schema(spark, sf_dir)["d_customer"])
+    target = target.withColumn(
+        "customer_address", F.when(F.col("customer_id") % 5 == 0, F.lit("elsewhere")).otherwise(F.col("customer_address"))
+    ).withColumn("customer_birthday", F.when(F.col("customer_id") % 7 != 0, F.col("customer_birthday")))
+    _, id_col, _, key, _ = load.DIMENSIONS["d_customer"]
+    dwh = scratch_dir(spark, "clustered")
+    root, layout = f"{dwh}/d_customer", Clustering(tuple(key), load.DEFAULT_DIMENSION_BUCKETS)
+    tables.commit_version(target, root, D_CUSTOMER, id_col=id_col, partition=layout.partition, clustering=layout)
+    load.load_dimension(spark, _stage(spark, sf_dir), dwh, "d_customer", AS_OF, tables.current_commit(spark, root))
+    return _stored_dates(spark, root, D_CUSTOMER)
+
+
+@register("merge_order_clustered")
+def q_merge_order_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The load's merge into months that lie by the order key; the earlier orders are those of ``merge_order``."""
+    star = fx.star_schema(spark, sf_dir)
+    root, layout = scratch_dir(spark, "clustered"), Clustering(tuple(ORDER_KEY), load.DEFAULT_DIMENSION_BUCKETS)
+    tables.commit_version(
+        _earlier_orders(star), root, F_ORDER, id_col="order_id", partition=load.order_partition(), clustering=layout
+    )
+    base = tables.current_commit(spark, root)
+    load.load_orders(spark, _stage(spark, sf_dir), star, root, AS_OF, base, buckets=layout.buckets)
+    return _stored_dates(spark, root, F_ORDER)
+
+
 # --- A6 / A7 subsets -------------------------------------------------------------
 @register("status_counts")
 def q_status_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
