@@ -12,9 +12,13 @@ the others are revisit records that name it and carry no payload. Payloads
 are compared by SHA-256 and length; only digests and ids take part, and the
 payloads move once, to meet the decisions.
 
+A record's id is made of its page's id and payload digest, so a revisit knows that of its response, and
+rows of one page id with different payloads have different ids. All records have one ``WARC-Date``, a
+parameter, so that reruns write the same.
+
 Defined results: a null payload is empty. Rows that repeat the response's id
-and payload are responses too. A row without an id is a response that nothing
-refers to. Null target URIs are written as an empty header.
+and payload are responses too, one record written again under its id. A row without an id is a response that nothing
+refers to; its record's id is made of its bundle and place. Null target URIs are written as an empty header.
 """
 
 from __future__ import annotations
@@ -35,6 +39,8 @@ from atelier.llm.staging import shared_folder, staged, with_types
 FRAME_BYTES = 1 << 18
 BUNDLE_BYTES = 1 << 26
 LEVEL = 3
+#: Date of the records where the caller names none.
+DATE = "2000-01-01T00:00:00Z"
 #: Tasks that read bundles back.
 MAX_READERS = 100_000
 #: Fixed values of the seekable Zstandard format: skippable frame, footer.
@@ -49,20 +55,22 @@ def payload_digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None, revisit: bool) -> bytes:
-    """One WARC record; a revisit has the digest and size of the payload it leaves out."""
+def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None, revisit: bool, date: str = DATE, place: str = "") -> bytes:
+    """One WARC record; a revisit has the digest and size of the payload it leaves out. ``place`` names a record without a page id."""
     body = b"" if revisit else payload
+    digest = payload_digest(payload)
     lines = [
         "WARC/1.1",
         f"WARC-Type: {'revisit' if revisit else 'response'}",
-        f"WARC-Record-ID: <urn:page:{'' if page_id is None else page_id}>",
+        f"WARC-Record-ID: <urn:page:{f'-:{place}' if page_id is None else f'{page_id}:{digest}'}>",
+        f"WARC-Date: {date}",
         f"WARC-Target-URI: {' '.join((url or '').split())}",
-        f"WARC-Payload-Digest: sha1:{payload_digest(payload)}",
+        f"WARC-Payload-Digest: sha1:{digest}",
         f"WARC-Payload-Length: {len(payload)}",
     ]
     if revisit:
-        lines += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: <urn:page:{refers_to}>"]
-    lines += [f"Content-Length: {len(body)}", "", ""]
+        lines += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: <urn:page:{refers_to}:{digest}>"]
+    lines += ["Content-Type: text/html; charset=utf-8", f"Content-Length: {len(body)}", "", ""]
     return "\r\n".join(lines).encode() + body + b"\r\n\r\n"
 
 
@@ -153,15 +161,16 @@ def _index_batch(rows: list[tuple]) -> pa.RecordBatch:
     )
 
 
-def _bundled(folder: str):
+def _bundled(folder: str, date: str):
     def run(batches):
         writer, rows = None, []
         for batch in batches:
             columns = [batch.column(c) for c in ("page_id", "url", "payload", "refers_to", "revisit")]
             for k in range(batch.num_rows):
                 page_id, url, payload, refers_to, revisit = (c[k].as_py() for c in columns)
-                item = record(page_id, url, payload, refers_to, revisit)
                 writer = writer or BundleWriter(new_name(folder, ".warc.zst"))
+                place = f"{writer.uri.rsplit('/', 1)[-1].split('.')[0]}:{len(rows)}"
+                item = record(page_id, url, payload, refers_to, revisit, date, place)
                 rows.append((page_id, writer.uri, *writer.add(item), len(item)))
                 if writer.written >= BUNDLE_BYTES:
                     writer.close()
@@ -189,14 +198,14 @@ def decided(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     return out.select("page_id", "url", "payload", "refers_to", F.col("refers_to").isNotNull().alias("revisit"))
 
 
-def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0) -> DataFrame:
+def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0, date: str = DATE) -> DataFrame:
     """Writes bundles below ``folder``; one index row per record: page_id, bundle, frame, at, length."""
-    return staged(decided(pages, min_bytes).mapInArrow(_bundled(folder), INDEX), "warc-index")
+    return staged(decided(pages, min_bytes).mapInArrow(_bundled(folder, date), INDEX), "warc-index")
 
 
 def _id_of(header: str | None) -> int | None:
-    value = (header or "").removeprefix("<urn:page:").removesuffix(">")
-    return int(value) if value else None
+    value = (header or "<urn:page:-:>").removeprefix("<urn:page:").split(":")[0]
+    return None if value == "-" else int(value)
 
 
 def _described(headers: dict[str, str], body: bytes) -> tuple:
