@@ -15,8 +15,10 @@ Finding links takes these steps, none of which loses one:
    rare ones first, by counts over all survivors in a table of fixed size.
    Linked sets share a shingle among the first ones of each, so the connected
    components of survivors and such first shingles are blocks: linked sets
-   meet in one. A large block is cut by size class and hash, and pairs of
-   pieces that can link become blocks of their own.
+   meet in one. A large block is cut by size class and hash into pieces, which are
+   compared with themselves and along a chain. The links found make components; what
+   is left to compare are sets of different ones, so a large group's pieces, by
+   then one component mostly, needn't meet each other.
 3. *Trees.* In a block the sets, in one order of their shingles, make a prefix
    tree. A set is compared with all others by walking the tree once: the
    overlap with a path is shared by all sets below it, and a subtree is left
@@ -352,39 +354,90 @@ def block_labels(sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def blocked(sets: DataFrame, percent: int, most: int) -> DataFrame:
-    """The survivors in their blocks: label, a, i, b, j name a block; (piece_class, piece) is the set's side of it."""
-    labels = block_labels(sets, percent)
-    named = sets.join(labels, "short")
-    # Sets whose sizes differ by more than the ratio can't link; these classes are that wide, so only neighbours can.
+def named_sets(sets: DataFrame, percent: int) -> DataFrame:
+    """key, label and size class c of each survivor: sets whose sizes differ by more than the ratio can't link, and classes are that wide."""
     size_class = F.floor(F.log("n_shingles") / float(np.log(100 / percent))).cast("int")
-    totals = staged(sets.select("short", "n_shingles").join(labels, "short").groupBy("label", size_class.alias("c")).count(), "block-sizes")
+    labels = block_labels(sets, percent)
+    return staged(sets.select("key", "short", size_class.alias("c")).join(labels, "short").select("key", "label", "c"), "block-sets")
+
+
+def sized(named: DataFrame, most: int) -> DataFrame:
+    """label, c, pieces and cut: a label of at most ``most`` sets is one piece, a larger one is cut by size class and into pieces."""
+    totals = staged(named.groupBy("label", "c").count(), "block-sizes")
     whole = totals.groupBy("label").agg(F.sum("count").alias("total"))
-    parts = totals.join(whole, "label").select(
-        "label",
-        F.when(F.col("total") <= most, F.lit(0)).otherwise(F.col("c")).alias("c"),
-        F.when(F.col("total") <= most, F.lit(1)).otherwise(F.ceil(F.col("count") / most)).cast("int").alias("pieces"),
-        (F.col("total") > most).alias("cut"),
-    ).distinct()
-    parts = staged(parts, "block-parts")
+    pieces = F.when(F.col("total") > most, F.ceil(F.col("count") / most)).otherwise(F.lit(1)).cast("int")
+    cut = F.col("total") > most
+    return staged(totals.join(whole, "label").select("label", "c", pieces.alias("pieces"), cut.alias("cut")), "block-parts")
+
+
+def _piece(c, component, number) -> Column:
+    """The name of a piece in its label."""
+    return F.concat_ws(":", c, component, number)
+
+
+def first_round(named: DataFrame, parts: DataFrame, every_pair: bool) -> tuple[DataFrame, DataFrame]:
+    """Blocks (label, a, b) and the pieces that sets are in (key, label, piece, component).
+
+    Blocks are the whole labels, and of a cut one each piece with itself and the next one, and the first pieces of neighbouring
+    size classes; with ``every_pair`` all pairs of pieces of one or two neighbouring size classes.
+    """
+    none = F.lit("")
     last = F.col("pieces") - 1
-    within = parts.select("label", F.col("c").alias("a"), F.explode(F.sequence(F.lit(0), last)).alias("i"), F.col("c").alias("b"), "pieces")
-    within = within.select("label", "a", "i", "b", F.explode(F.sequence("i", last)).alias("j"))
-    above = parts.select("label", (F.col("c") - 1).alias("a"), F.col("pieces").alias("pieces_b")).join(
-        parts.where("cut").select("label", F.col("c").alias("a"), "pieces"), ["label", "a"]
+    alone = parts.where("not cut").select("label", F.lit("").alias("a"), F.lit("").alias("b")).distinct()
+    own = parts.where("cut").select("label", "c", last.alias("last"), F.explode(F.sequence(F.lit(0), last)).alias("i"))
+    reach = F.col("last") if every_pair else F.least(F.col("last"), F.col("i") + 1)
+    own = own.select("label", "c", "i", F.explode(F.sequence(F.col("i"), reach)).alias("j"))
+    own = own.select("label", _piece("c", none, "i").alias("a"), _piece("c", none, "j").alias("b"))
+    lower = parts.where("cut").select("label", "c", F.explode(F.sequence(F.lit(0), last if every_pair else F.lit(0))).alias("i"))
+    upper = parts.where("cut").select("label", (F.col("c") - 1).alias("c"), F.explode(F.sequence(F.lit(0), last if every_pair else F.lit(0))).alias("j"))
+    next_to = lower.join(upper, ["label", "c"]).select("label", _piece("c", none, "i").alias("a"), _piece(F.col("c") + 1, none, "j").alias("b"))
+    number = F.pmod(F.xxhash64("key"), "pieces")
+    placed = named.join(parts, ["label", "c"]).select(
+        "key", "label", F.when(F.col("cut"), _piece("c", none, number)).otherwise(F.lit("")).alias("piece"), F.col("key").alias("component")
     )
-    across = above.select("label", "a", F.explode(F.sequence(F.lit(0), last)).alias("i"), (F.col("a") + 1).alias("b"), "pieces_b")
-    across = across.select("label", "a", "i", "b", F.explode(F.sequence(F.lit(0), F.col("pieces_b") - 1)).alias("j"))
-    blocks = staged(within.union(across), "blocks")
-    members = blocks.select("label", "a", "i", "b", "j", F.col("a").alias("piece_class"), F.col("i").alias("piece")).union(
-        blocks.where("a != b or i != j").select("label", "a", "i", "b", "j", F.col("b").alias("piece_class"), F.col("j").alias("piece"))
-    )
-    plan = parts.withColumnRenamed("label", "p_label")
-    fits = (F.col("label") == F.col("p_label")) & (~F.col("cut") | (size_class == F.col("c")))
-    placed = named.join(plan, fits).select(
-        "label", F.col("c").alias("piece_class"), F.pmod(F.xxhash64("key"), "pieces").cast("int").alias("piece"), "key", "n_shingles", "shingles"
+    return alone.union(own).union(next_to), placed
+
+
+def second_round(named: DataFrame, parts: DataFrame, found: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
+    """What the first round left of the cut labels, by the components that its links make (``found``: node, root).
+
+    A component of more than ``most`` sets of a size class has pieces of its own, which meet no others of it; all other
+    sets have pieces together. So a large group's sets are sent as often as there are pieces of other sets,
+    and not as often as the group has pieces.
+    """
+    cut = parts.where("cut").select("label", "c", F.col("pieces").alias("before"))
+    sets = named.join(cut, ["label", "c"]).join(found, F.col("key") == F.col("node"), "left")
+    sets = staged(sets.select("key", "label", "c", "before", F.coalesce("root", "key").alias("component")), "cut-sets")
+    large = sets.groupBy("label", "c", "component").count().where(F.col("count") > most)
+    large = staged(large.select("label", "c", "component", F.hex("component").alias("name")), "large-components")
+    sets = staged(sets.join(large, ["label", "c", "component"], "left").withColumn("name", F.coalesce("name", F.lit(""))), "cut-places")
+    units = sets.groupBy("label", "c", "name").agg(F.ceil(F.count("*") / most).cast("int").alias("pieces"), F.max("before").alias("before"))
+    units = staged(units, "units")
+    # Where the others have as many pieces as before they are the same ones, and some pairs have been compared.
+    same = (F.col("name") == "") & (F.col("pieces") == F.col("before"))
+    units = units.withColumn("same", same)
+    one, other = (units.select("label", *[F.col(c).alias(f"{c}_{side}") for c in ("c", "name", "pieces", "same")]) for side in "ab")
+    met = one.join(other, "label").where(
+        ((F.col("c_b") == F.col("c_a")) & (F.col("name_a") <= F.col("name_b"))) | (F.col("c_b") == F.col("c_a") + 1)
     )
-    return placed.join(members, ["label", "piece_class", "piece"])
+    met = met.where("name_a != name_b or name_a = ''")
+    pairs = met.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("pieces_a") - 1)))
+    pairs = pairs.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("pieces_b") - 1)))
+    alike = "(c_a = c_b and name_a = name_b)"
+    done = f"same_a and same_b and ({alike} and j - i <= 1 or c_a != c_b and i = 0 and j = 0)"
+    pairs = pairs.where(f"(not {alike} or i <= j) and not ({done})")
+    blocks = pairs.select("label", _piece("c_a", "name_a", "i").alias("a"), _piece("c_b", "name_b", "j").alias("b"))
+    number = F.pmod(F.xxhash64("key"), "pieces")
+    placed = sets.join(units.select("label", "c", "name", "pieces"), ["label", "c", "name"])
+    return blocks, placed.select("key", "label", _piece("c", "name", number).alias("piece"), "component")
+
+
+def compared(sets: DataFrame, blocks: DataFrame, placed: DataFrame, percent: int, all_links: bool) -> DataFrame:
+    """label, u and v: the links found in the blocks."""
+    sides = blocks.select("label", "a", "b", F.col("a").alias("piece")).union(blocks.where("a != b").select("label", "a", "b", F.col("b").alias("piece")))
+    where = placed.join(staged(sides, "blocks"), ["label", "piece"])
+    sent = sets.select("key", "n_shingles", "shingles").join(where, "key")
+    return sent.groupBy("label", "a", "b").applyInArrow(lean_group(_block(percent, all_links)), "label long, u binary, v binary")
 
 
 # ---- trees -------------------------------------------------------------------------------------
@@ -459,8 +512,8 @@ class PrefixTree:
             waiting += [(child, overlap) for child in self.children[node]]
 
 
-def block_links(sets: list[np.ndarray], sizes: np.ndarray, left: np.ndarray | None, percent: int, all_links: bool):
-    """Pairs of linked sets of one block; with ``left``, pairs of a set there and one that isn't."""
+def block_links(sets: list[np.ndarray], sizes: np.ndarray, left: np.ndarray | None, percent: int, all_links: bool, known: np.ndarray | None = None):
+    """Pairs of linked sets of one block; with ``left``, pairs of a set there and one that isn't. ``known``: the sets' components so far."""
     every = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
     values, inverse, counts = np.unique(every, return_inverse=True, return_counts=True)
     # Shingles of one set only can't overlap; the others are ranked by falling count, so that paths are shared.
@@ -471,7 +524,7 @@ def block_links(sets: list[np.ndarray], sizes: np.ndarray, left: np.ndarray | No
     for a, b in zip(np.append(0, ends[:-1]), ends, strict=True):
         at = inverse[a:b]
         ranks.append(np.sort(rank[at[counts[at] > 1]]))
-    group = np.arange(len(sets))
+    group = np.arange(len(sets)) if known is None else known.copy()
 
     def join(a: int, b: int) -> None:
         group[group == group[a]] = group[b]
@@ -502,13 +555,15 @@ def _block(percent: int, all_links: bool):
         keys = block.column("key").to_pylist()
         sets = [np.frombuffer(x, "<u8") for x in block.column("shingles").to_pylist()]
         sizes = block.column("n_shingles").to_numpy().astype(np.int64)
-        row = {c: block.column(c)[0].as_py() for c in ("a", "i", "b", "j")}
+        label, a, b = (block.column(c)[0].as_py() for c in ("label", "a", "b"))
         side = None
-        if (row["a"], row["i"]) != (row["b"], row["j"]):
-            classes, pieces = (block.column(c).to_numpy() for c in ("piece_class", "piece"))
-            side = (classes == row["a"]) & (pieces == row["i"])
-        pairs = list(block_links(sets, sizes, side, percent, all_links))
+        if a != b:
+            side = np.array([x == a for x in block.column("piece").to_pylist()])
+        numbers: dict[bytes, int] = {}
+        known = np.array([numbers.setdefault(x, len(numbers)) for x in block.column("component").to_pylist()])
+        pairs = list(block_links(sets, sizes, side, percent, all_links, known))
         return pa.table({
+            "label": pa.array([label] * len(pairs), pa.int64()),
             "u": pa.array([keys[a] for a, _ in pairs], pa.binary()),
             "v": pa.array([keys[b] for _, b in pairs], pa.binary()),
         })
@@ -537,8 +592,15 @@ def links(docs: DataFrame, classes: DataFrame, width: int = WORDS, percent: int
     rows = with_types(docs, doc_id="long", text="string")
     chosen = staged(survivors(rows, classes, width, percent), "survivors")
     sets = staged(survivor_sets(rows, chosen, width), "sets")
-    blocks = blocked(sets, percent, most).groupBy("label", "a", "i", "b", "j")
-    return blocks.applyInArrow(lean_group(_block(percent, all_links)), "u binary, v binary")
+    named = named_sets(sets, percent)
+    parts = sized(named, most)
+    found = staged(compared(sets, *first_round(named, parts, all_links), percent, all_links), "first-links")
+    cut = parts.where("cut")
+    if all_links or cut.isEmpty():
+        return found.select("u", "v")
+    near = staged(components(found.join(cut.select("label").distinct(), "label", "left_semi").select("u", "v")), "first-components")
+    rest = compared(sets, *second_round(named, parts, near, most), percent, all_links)
+    return found.select("u", "v").union(rest.select("u", "v"))
 
 
 def linked_classes(docs: DataFrame, classes: DataFrame, width: int, percent: int, most: int) -> DataFrame:

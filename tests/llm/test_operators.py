@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import zlib
 from collections import Counter, defaultdict
 from pathlib import Path
@@ -412,3 +413,27 @@ def test_registered_columns(spark):
     }
     for name, columns in want.items():
         assert queries()[name](spark, SF_SMALL).columns[:len(columns)] == columns
+
+
+def test_near_groups_of_several_large_components(spark):
+    """Groups of near copies, chains of drifting texts and strangers that share rare shingles, with pieces of two to forty sets."""
+    rng = random.Random(8)
+    words = lambda n, of: [rng.choice(of) for _ in range(n)]
+    common = words(14, [f"c{k}" for k in range(40)])
+    rows = []
+    for group in range(3):
+        base = common + words(60 + 30 * group, [f"g{group}x{k}" for k in range(200)])
+        for _ in range(30):
+            text = list(base)
+            text[rng.randrange(14, len(text))] = f"n{len(rows)}"
+            rows.append((len(rows), " ".join(text)))
+    drift = common + words(50, [f"d{k}" for k in range(90)])
+    for step in range(25):
+        drift = [*drift[:14], *drift[16:], f"s{step}", f"t{step}"]
+        rows.append((len(rows), " ".join(drift)))
+    for _ in range(30):
+        rows.append((len(rows), " ".join(common + words(rng.choice([20, 45, 80]), [f"u{k}" for k in range(900)]))))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    wanted = plain.near_groups(rows)
+    for most in (2, 7, 40):
+        assert rows_of(ngramjoin.near_groups(docs, most=most), "doc_id", "n_shingles", "component_id") == wanted, most
