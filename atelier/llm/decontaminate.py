@@ -17,7 +17,9 @@ others are. Such items have seeds of two pairs of words more, no, two or four
 words apart; however the substituted words lie, one of them is left whole.
 
 A passage that a third of all documents contain makes hits by the same few
-hashes; the join is salted, so they spread over tasks.
+hashes. The hits are written and counted by hash; a hash with more than a quarter of
+a partition's even share is split into as many salts as it has such quarters,
+so there are at most four times as many of these hashes as partitions.
 
 Words are runs of letters and digits, A-Z lower-cased, so punctuation and
 markup between words don't matter. Defined results: null and empty texts are
@@ -49,7 +51,8 @@ RULES = ((2, 13, 0.7), (1, 14, 0.6))
 MIN_ITEM = 8
 SHORT_ITEM = 20
 SHORT_SHARE = 0.75
-SALTS = 8
+#: Hashes with fewer hits aren't split.
+HOT_HITS = 1_000
 _WORD = ByteHash(301, LOWER)
 _FACTORS = np.random.default_rng(302).integers(1, 1 << 62, (64, SPAN), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 #: What stands beyond either end of a text; no word has these.
@@ -211,6 +214,21 @@ def _verified(batches):
             yield verify(batch)
 
 
+def split_hot(hits: DataFrame, seeds: DataFrame, least: int = HOT_HITS) -> tuple[DataFrame, DataFrame]:
+    """Both sides of the join with a ``salt``: hits of a frequent hash have different ones, its seeds have each of them."""
+    parts = int(hits.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    share = max(least, hits.count() // (4 * parts))
+    hot = hits.groupBy("hash").count().where(F.col("count") > share)
+    hot = staged(hot.select("hash", F.ceil(F.col("count") / share).alias("salts")), "hot")
+    hot = F.broadcast(hot)  # at most four rows for each partition
+    salts = F.coalesce("salts", F.lit(1))
+    # The hits are read from files, so a task that runs again gives its rows the same numbers.
+    hits = hits.withColumn("number", F.monotonically_increasing_id()).join(hot, "hash", "left")
+    hits = hits.withColumn("salt", F.pmod("number", salts)).drop("number", "salts")
+    each = F.explode(F.sequence(F.lit(0).cast("long"), salts - 1))
+    return hits, seeds.join(hot, "hash", "left").withColumn("salt", each).drop("salts")
+
+
 def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, mark (a hash of the text), item_id, matched, word_start, word_end: one row per document and item."""
     spark = docs.sparkSession
@@ -220,10 +238,9 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     table = spark.sparkContext.broadcast(collect_bits(seeds, "hash", bits_for(stats[0])))
     rows = with_types(docs, doc_id="long", text="string").select("doc_id", F.xxhash64("text").alias("mark"), "text")
     hits = rows.mapInArrow(lean(_text_hits(table, stats[1] > 0)), "hash long, doc_id long, mark long, at long, doc_words binary")
-    hits = hits.withColumn("salt", F.pmod(F.xxhash64("doc_id", "mark"), F.lit(SALTS)))
-    salted = seeds.withColumn("salt", F.explode(F.array(*[F.lit(k).cast("long") for k in range(SALTS)])))
+    hits, seeds = split_hot(staged(hits, "hits"), seeds)
     kind = "doc_id long, mark long, item_id long, matched long, word_start long, word_end long"
-    found = hits.join(salted, ["hash", "salt"]).mapInArrow(lean(_verified), kind)
+    found = hits.join(seeds, ["hash", "salt"]).mapInArrow(lean(_verified), kind)
     best = F.max(F.struct("matched", (-F.col("word_start")).alias("first"), F.col("word_end").alias("last"))).alias("best")
     return found.groupBy("doc_id", "mark", "item_id").agg(best).select(
         "doc_id", "mark", "item_id", F.col("best.matched").alias("matched"),

@@ -262,3 +262,32 @@ def test_the_pipeline_is_its_stages(spark, pipeline_run):
     assert Counter(map(tuple, again.collect())) == Counter(map(tuple, pipeline_run[-1][1].collect()))
     assert corpus_pipeline.ORACLE_SQL is None and shared_root(spark)
     assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss > 0
+
+
+def test_hits_of_a_frequent_hash_are_split_and_meet_every_seed(spark):
+    from atelier.llm import decontaminate
+
+    hits = spark.range(5000).selectExpr("if(id % 5 < 4, 7, id) as hash", "id as doc_id")
+    seeds = spark.createDataFrame([(7, 1), (7, 2), (10, 3), (14, 4), (99, 5)], "hash long, item_id long")
+    left, right = decontaminate.split_hot(hits, seeds, least=300)
+    assert left.where("hash = 7").select("salt").distinct().count() == right.where("hash = 7 and item_id = 1").count() > 1
+    most = left.where("hash = 7").groupBy("salt").count().agg({"count": "max"}).first()[0]
+    assert most < 1000
+    got = sorted((r.doc_id, r.item_id) for r in left.join(right, ["hash", "salt"]).collect())
+    want = sorted((r.doc_id, r.item_id) for r in hits.join(seeds, "hash").collect())
+    assert got == want
+
+
+@pytest.mark.parametrize("most", [0, 100])
+def test_rows_alike_share_their_numbers_out(spark, monkeypatch, most):
+    from atelier.llm import mixing
+
+    monkeypatch.setattr(mixing, "BROADCAST_SOURCES", most)
+    rows = [(None, "a", "one two three")] * 5 + [(k, "a", "one two " * (k % 3)) for k in range(9)] + [(k, "b", "x y") for k in range(40)] + [(1, None, "z")]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    chosen = mixing.mix(docs).groupBy("doc_id", "source", "mark").agg({"times": "sum"}).collect()
+    want = sorted((str(r[0]), str(r[1]), r[3]) for r in chosen if r[3])
+    taken = mixing.mixed_rows(docs)
+    assert taken.columns == docs.columns
+    got = taken.selectExpr("doc_id", "source", "xxhash64(text) as mark").groupBy("doc_id", "source", "mark").count().collect()
+    assert sorted((str(r[0]), str(r[1]), r[3]) for r in got) == want
