@@ -44,6 +44,8 @@ WEIGHTS = (5, 2, 1)
 MAX_REPEATS = 3
 DP_BUDGET = 1 << 14
 BUCKETS = 4096
+#: The sources' targets are broadcast up to so many sources, and joined without a hint beyond.
+BROADCAST_SOURCES = 100_000
 
 
 def _sizes(batches):
@@ -181,7 +183,9 @@ def mix(docs: DataFrame, weights=WEIGHTS, cap: int = MAX_REPEATS, seed: int = 11
     partly = drawn.where("room < n").withColumn("extra", (place <= F.col("room")).cast("long"))
     wholly = drawn.where("room is null or room = n").withColumn("extra", F.col("room").isNotNull().cast("long"))
     chosen = wholly.unionByName(partly)
-    plan = F.broadcast(plan.withColumnRenamed("source", "r_source"))  # one row per source
+    plan = plan.withColumnRenamed("source", "r_source")
+    if len(sizes) <= BROADCAST_SOURCES:
+        plan = F.broadcast(plan)
     out = chosen.join(plan, F.col("source").eqNullSafe(F.col("r_source")))
     times = F.when(F.col("size") > 0, F.col("whole") + F.col("extra")).otherwise(F.lit(0))
     return out.select(
@@ -208,8 +212,9 @@ def mixed_rows(docs: DataFrame, weights=WEIGHTS, cap: int = MAX_REPEATS, seed: i
     columns = docs.columns
     chosen = mix(docs, weights, cap, seed).where("times > 0")
     key = ["mix_id", "mix_source", "mix_mark"]
-    times = chosen.groupBy("doc_id", "source", "mark").agg(F.sort_array(F.collect_list("times"), asc=False).alias("mix_times"))
-    times = times.toDF(*key, "mix_times")
+    # Such rows are of one source and size, so their numbers differ by one at most.
+    times = chosen.groupBy("doc_id", "source", "mark").agg(F.count("*"), F.min("times"), F.sum("times") - F.count("*") * F.min("times"))
+    times = times.toDF(*key, "mix_rows", "mix_low", "mix_more")
     named = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in columns]).alias("mix_row"),
         F.col("doc_id").cast("long").alias("d_id"),
@@ -221,6 +226,7 @@ def mixed_rows(docs: DataFrame, weights=WEIGHTS, cap: int = MAX_REPEATS, seed: i
     named = named.withColumn("place", place)
     same = [F.col(f"d_{k}").eqNullSafe(F.col(f"mix_{k}")) for k in ("id", "source", "mark")]
     out = named.join(times, same[0] & same[1] & same[2])
-    out = out.select("mix_row", F.expr("get(mix_times, place - 1)").alias("n")).where("n > 0")
+    n = F.when(F.col("place") <= F.col("mix_rows"), F.col("mix_low") + (F.col("place") <= F.col("mix_more")).cast("long"))
+    out = out.select("mix_row", n.alias("n")).where("n > 0")
     return out.select("mix_row", F.explode(F.sequence(F.lit(1), F.col("n").cast("int")))).select("mix_row.*")
 
