@@ -21,8 +21,8 @@ the text's end, so encoding units one by one gives the ids of the whole text. Un
 that begin with a space or newline can stand side by side in one string; the byte lengths of its ids tell them apart again.
 
 Defined results: null and empty texts have the end id only. Documents without
-an id come first. Rows with the same id follow each other, ordered by their
-ids' content; each gets its own start. Bytes that aren't UTF-8 count as U+FFFD.
+an id come first. Rows with the same id follow each other, ordered by a hash of their
+ids and by these, so that many rows without an id spread over files; each gets its own start. Bytes that aren't UTF-8 count as U+FFFD.
 """
 
 from __future__ import annotations
@@ -401,7 +401,8 @@ def write_files(encoded: DataFrame, kind: str, folder: str) -> DataFrame:
     with open_new(f"{folder}/ranks.json") as out:
         out.write(json.dumps(ranked.tolist()).encode())
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = encoded.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "ids")
+    ordered = encoded.withColumn("place", F.xxhash64("ids")).repartitionByRange(parts, "doc_id", "place")
+    ordered = ordered.sortWithinPartitions("doc_id", "place", "ids").drop("place")
     row = "part int, seq int, file string, n_docs long, n_ids long"
     return staged(ordered.mapInArrow(lean(_written(folder, spark.sparkContext.broadcast(ranked), kind)), row), "files")
 
