@@ -97,7 +97,8 @@ def _star_join(star: dict[str, DataFrame]) -> DataFrame:
         "product_type",
         F.col("load_dttm").alias("products_load_dttm"),
     )
-    return fo.join(dc, "craftsman_id").join(du, "customer_id").join(dp, "product_id")
+    # Customers last: their wide attributes aren't shuffled, and what follows groups and joins by customer.
+    return fo.join(dp, "product_id").join(dc, "craftsman_id").join(du, "customer_id")
 
 
 def _with_existing(rows: DataFrame, mart_keys: DataFrame) -> DataFrame:
@@ -126,7 +127,8 @@ def _with_existing(rows: DataFrame, mart_keys: DataFrame) -> DataFrame:
     )
 
 
-DIM_KEYS = {"craftsman_id": "d_craftsman", "product_id": "d_product", "customer_id": "d_customer"}
+# Products last: the star join, which begins with them, finds the flagged orders by product already.
+DIM_KEYS = {"customer_id": "d_customer", "craftsman_id": "d_craftsman", "product_id": "d_product"}
 
 
 def changed_keys(star: dict[str, DataFrame], watermark) -> dict[str, DataFrame]:

@@ -83,3 +83,21 @@ def test_pruned_delta_scans_the_fact_once(spark, workdir):
     plan = executed(delta_pruned(star, keys, fx.FIXTURE_WATERMARK))
     final = plan.split("== Initial Plan ==")[0]
     assert final.count(f"{workdir}/f_order") == 1
+
+
+def test_delta_shuffles_the_orders_once_by_product_and_customers_last(spark):
+    """Without broadcasts, flags and star join share the orders' places by product, star join and multiplicity those by customer."""
+    from atelier.operators import delta
+    from atelier.sources import fixtures as fx
+
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        star = fx.star_schema(spark, SF_SMALL)
+        rows = delta.delta_pruned(star, fx.existing_mart_keys(star["f_order"]), fx.FIXTURE_WATERMARK)
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    assert plan.count("Exchange hashpartitioning") == 17, plan
