@@ -8,13 +8,18 @@ projected by name into one order (``WIDE_COLS``) and the four are combined
 with a distinct union (SQL ``UNION``, not ``UNION ALL``): duplicates inside a
 source go too, and NULLs compare equal.
 
-The distinct is one shuffle over all 19 columns, partially aggregated on the
-map side. Joins inside a source are left to the planner (broadcast of the
-smaller side only under the measured-size threshold).
+Equal rows have one customer, so the distinct needs its rows by customer only.
+Sources that end with the join to customers lie so already, and Spark drops
+their repartition; the others are shuffled once. The customers of a source are the
+hashed side, so no order rows are sorted for that join. Other joins inside a
+source are left to the planner (broadcast of the smaller side only under the
+measured-size threshold).
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 
 from atelier.schemas import CRAFTSMAN_COLS, CUSTOMER_COLS, ORDER_COLS, PRODUCT_COLS, WIDE_COLS
@@ -46,7 +51,7 @@ def join_source3(orders: DataFrame, craftsmen: DataFrame, customers: DataFrame)
     o = orders.select(*ORDER_COLS, *PRODUCT_COLS, "craftsman_id", "customer_id")
     return (
         o.join(craftsmen.select(*CRAFTSMAN_COLS), "craftsman_id")
-        .join(customers.select(*CUSTOMER_COLS), "customer_id")
+        .join(customers.select(*CUSTOMER_COLS).hint("shuffle_hash"), "customer_id")
         .select(*WIDE_COLS)
     )
 
@@ -54,7 +59,7 @@ def join_source3(orders: DataFrame, craftsmen: DataFrame, customers: DataFrame)
 def join_external(orders: DataFrame, customers: DataFrame) -> DataFrame:
     """External orders JOIN external customers ON customer_id."""
     o = orders.select(*ORDER_COLS, *CRAFTSMAN_COLS, *PRODUCT_COLS, "customer_id")
-    return o.join(customers.select(*CUSTOMER_COLS), "customer_id").select(*WIDE_COLS)
+    return o.join(customers.select(*CUSTOMER_COLS).hint("shuffle_hash"), "customer_id").select(*WIDE_COLS)
 
 
 def consolidate_sources(sources: dict[str, DataFrame]) -> DataFrame:
@@ -67,10 +72,7 @@ def consolidate_sources(sources: dict[str, DataFrame]) -> DataFrame:
         ),
         join_external(sources[EXTERNAL_ORDERS], sources[EXTERNAL_CUSTOMERS]),
     ]
-    union = parts[0]
-    for part in parts[1:]:
-        union = union.unionByName(part)
-    return union.distinct()
+    return reduce(DataFrame.unionByName, [part.repartition("customer_id") for part in parts]).distinct()
 
 
 def dimension_rows(stage: DataFrame, columns: list[str]) -> DataFrame:

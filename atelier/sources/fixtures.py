@@ -62,37 +62,50 @@ def _order_status() -> Column:
     )
 
 
-def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """lineitem JOIN orders, mapped to order attributes plus the three ids."""
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem JOIN orders, with the columns that the mapping needs."""
     li = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus"
+        "l_orderkey", "l_partkey", "l_suppkey", _order_status().alias("order_status")
     )
     orders = table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate"
-    )
-    created = F.col("o_orderdate").cast("date")
-    status = _order_status()
-    completion = F.when(
-        status == "done",
-        F.date_add(created, (F.lit(1) + F.col("l_partkey") % COMPLETION_DAYS_MODULUS).cast("int")),
+        F.col("o_orderkey").alias("l_orderkey"), "o_custkey", F.col("o_orderdate").cast("date").alias("order_created_date")
     )
-    order_id = (
+    return li.join(orders, "l_orderkey")
+
+
+def _order_id() -> Column:
+    return (
         F.col("l_orderkey") * ORDER_ID_ORDERKEY_FACTOR + F.col("l_partkey")
     ) * ORDER_ID_PARTKEY_FACTOR + F.col("l_suppkey")
-    return li.join(orders, "l_orderkey").select(
-        order_id.alias("order_id"),
-        created.alias("order_created_date"),
+
+
+def _order_attrs() -> list[Column]:
+    """``ORDER_COLS`` of a line."""
+    completion = F.when(
+        F.col("order_status") == "done",
+        F.date_add("order_created_date", (F.lit(1) + F.col("l_partkey") % COMPLETION_DAYS_MODULUS).cast("int")),
+    )
+    return [
+        _order_id().alias("order_id"),
+        F.col("order_created_date"),
         completion.alias("order_completion_date"),
-        status.alias("order_status"),
+        F.col("order_status"),
+    ]
+
+
+def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem JOIN orders, mapped to order attributes plus the three ids."""
+    return _lines(spark, sf_dir).select(
+        *_order_attrs(),
         F.col("l_suppkey").alias("craftsman_id"),
         F.col("l_partkey").alias("product_id"),
         F.col("o_custkey").alias("customer_id"),
     )
 
 
-def craftsmen(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = table(spark, sf_dir, "supplier")
-    return s.select(
+def _craftsman_attrs() -> list[Column]:
+    """``CRAFTSMAN_COLS`` of a supplier."""
+    return [
         F.col("s_suppkey").alias("craftsman_id"),
         F.col("s_name").alias("craftsman_name"),
         F.concat(F.lit(CRAFTSMAN_ADDRESS_PREFIX), F.col("s_nationkey").cast("string")).alias(
@@ -102,31 +115,49 @@ def craftsmen(spark: SparkSession, sf_dir: str) -> DataFrame:
             BIRTHDAY_BASE, (F.col("s_suppkey") * CRAFTSMAN_BIRTHDAY_FACTOR) % BIRTHDAY_SPREAD_DAYS
         ).alias("craftsman_birthday"),
         F.concat(F.col("s_name"), F.lit(CRAFTSMAN_EMAIL_SUFFIX)).alias("craftsman_email"),
+    ]
+
+
+def craftsmen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = table(spark, sf_dir, "supplier")
+    return s.select(
+        *_craftsman_attrs(),
         _days_after(
             DIM_LOAD_BASE, (F.col("s_suppkey") * CRAFTSMAN_LOAD_FACTOR) % DIM_LOAD_SPREAD_DAYS
         ).alias("load_dttm"),
     )
 
 
-def products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = table(spark, sf_dir, "part")
-    return p.select(
+def _product_price() -> Column:
+    return F.floor(F.col("p_retailprice")).cast("long")
+
+
+def _product_attrs() -> list[Column]:
+    """``PRODUCT_COLS`` of a part."""
+    return [
         F.col("p_partkey").alias("product_id"),
         F.col("p_name").alias("product_name"),
         F.concat(F.col("p_brand"), F.lit(" "), F.col("p_partkey").cast("string")).alias(
             "product_description"
         ),
         F.col("p_type").alias("product_type"),
-        F.floor(F.col("p_retailprice")).cast("long").alias("product_price"),
+        _product_price().alias("product_price"),
+    ]
+
+
+def products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = table(spark, sf_dir, "part")
+    return p.select(
+        *_product_attrs(),
         _days_after(
             DIM_LOAD_BASE, (F.col("p_partkey") * PRODUCT_LOAD_FACTOR) % DIM_LOAD_SPREAD_DAYS
         ).alias("load_dttm"),
     )
 
 
-def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = table(spark, sf_dir, "customer")
-    return c.select(
+def _customer_attrs() -> list[Column]:
+    """``CUSTOMER_COLS`` of a customer."""
+    return [
         F.col("c_custkey").alias("customer_id"),
         F.col("c_name").alias("customer_name"),
         F.concat(F.lit(CUSTOMER_ADDRESS_PREFIX), F.col("c_nationkey").cast("string")).alias(
@@ -136,52 +167,81 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
             BIRTHDAY_BASE, (F.col("c_custkey") * CUSTOMER_BIRTHDAY_FACTOR) % BIRTHDAY_SPREAD_DAYS
         ).alias("customer_birthday"),
         F.concat(F.col("c_name"), F.lit(CUSTOMER_EMAIL_SUFFIX)).alias("customer_email"),
+    ]
+
+
+def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = table(spark, sf_dir, "customer")
+    return c.select(
+        *_customer_attrs(),
         _days_after(
             DIM_LOAD_BASE, (F.col("c_custkey") * CUSTOMER_LOAD_FACTOR) % DIM_LOAD_SPREAD_DAYS
         ).alias("load_dttm"),
     )
 
 
+def _joined_lines(spark: SparkSession, sf_dir: str, last: str, *slices: int) -> DataFrame:
+    """Lines with their supplier, part and customer in the given columns (the price whole), in these slices, by default all.
+
+    ``last`` is the table joined last: where Spark shuffles the joins, the rows lie by its key then, and what joins
+    them on it needs no other exchange. The mapping is applied to the joined rows, so the exchanges move the few given
+    columns instead of the strings and dates made of them. Customers are joined last by hash: of the rows shuffled
+    for it only the customers' are held in memory.
+    """
+    dims = {
+        "supplier": ("l_suppkey", ["s_suppkey", "s_name", "s_nationkey"]),
+        "part": ("l_partkey", ["p_partkey", "p_name", "p_brand", "p_type", _product_price().alias("p_retailprice")]),
+        "customer": ("o_custkey", ["c_custkey", "c_name", "c_nationkey"]),
+    }
+    joined = _lines(spark, sf_dir)
+    if slices:
+        joined = joined.filter((_order_id() % SOURCE_SLICES).isin(*slices))
+    for name in sorted(dims, key=lambda d: d == last):
+        key, columns = dims[name]
+        rows = table(spark, sf_dir, name).select(*columns)
+        if name == last == "customer":
+            rows = rows.hint("shuffle_hash")
+        joined = joined.join(rows, F.col(key) == F.col(columns[0]))
+    return joined
+
+
 def wide_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 19-column wide row per order (the shape of ``source1``)."""
-    lines = order_lines(spark, sf_dir)
-    crafts = craftsmen(spark, sf_dir).drop("load_dttm")
-    prods = products(spark, sf_dir).drop("load_dttm")
-    custs = customers(spark, sf_dir).drop("load_dttm")
-    joined = (
-        lines.join(crafts, "craftsman_id").join(prods, "product_id").join(custs, "customer_id")
+    return _joined_lines(spark, sf_dir, "customer").select(
+        *_order_attrs(), *_craftsman_attrs(), *_product_attrs(), *_customer_attrs()
     )
-    return joined.select(*ORDER_COLS, *CRAFTSMAN_COLS, *PRODUCT_COLS, *CUSTOMER_COLS)
 
 
-def _slice(wide: DataFrame, *slices: int) -> DataFrame:
-    return wide.filter((F.col("order_id") % SOURCE_SLICES).isin(*slices))
+def source_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The eight reference source tables, keyed by their reference names.
+
+    Each is made by the joins in the order that leaves its rows by the key it is joined on next.
+    """
 
+    def lines(last: str, *slices: int) -> DataFrame:
+        return _joined_lines(spark, sf_dir, last, *slices)
 
-def source_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The eight reference source tables, keyed by their reference names."""
-    wide = wide_orders(spark, sf_dir)
-    s1 = _slice(wide, 0, 1)
-    s2 = _slice(wide, 1)
-    s3 = _slice(wide, 2)
-    ext = _slice(wide, 3)
+    product, craftsman, customer = (F.col(k) for k in ("p_partkey", "s_suppkey", "c_custkey"))
     return {
-        "source1.craft_market_wide": s1,
-        "source2.craft_market_masters_products": s2.select(
-            *CRAFTSMAN_COLS, *PRODUCT_COLS
-        ).distinct(),
-        "source2.craft_market_orders_customers": s2.select(
-            *ORDER_COLS, *CUSTOMER_COLS, "product_id", "craftsman_id"
+        "source1.craft_market_wide": lines("customer", 0, 1).select(
+            *_order_attrs(), *_craftsman_attrs(), *_product_attrs(), *_customer_attrs()
         ),
-        "source3.craft_market_orders": s3.select(
-            *ORDER_COLS, *PRODUCT_COLS, "craftsman_id", "customer_id"
+        "source2.craft_market_masters_products": lines("part", 1)
+        .repartition(product, craftsman)
+        .select(*_craftsman_attrs(), *_product_attrs())
+        .distinct(),
+        "source2.craft_market_orders_customers": lines("customer", 1)
+        .repartition(product, craftsman)
+        .select(*_order_attrs(), *_customer_attrs(), product.alias("product_id"), craftsman.alias("craftsman_id")),
+        "source3.craft_market_orders": lines("supplier", 2).select(
+            *_order_attrs(), *_product_attrs(), craftsman.alias("craftsman_id"), customer.alias("customer_id")
         ),
-        "source3.craft_market_craftsmans": s3.select(*CRAFTSMAN_COLS).distinct(),
-        "source3.craft_market_customers": s3.select(*CUSTOMER_COLS).distinct(),
-        "external_source.craft_products_orders": ext.select(
-            *ORDER_COLS, *CRAFTSMAN_COLS, *PRODUCT_COLS, "customer_id"
+        "source3.craft_market_craftsmans": lines("supplier", 2).select(*_craftsman_attrs()).distinct(),
+        "source3.craft_market_customers": lines("customer", 2).select(*_customer_attrs()).distinct(),
+        "external_source.craft_products_orders": lines("customer", 3).select(
+            *_order_attrs(), *_craftsman_attrs(), *_product_attrs(), customer.alias("customer_id")
         ),
-        "external_source.customers": ext.select(*CUSTOMER_COLS).distinct(),
+        "external_source.customers": lines("customer", 3).select(*_customer_attrs()).distinct(),
     }
 
 

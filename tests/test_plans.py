@@ -101,3 +101,16 @@ def test_delta_shuffles_the_orders_once_by_product_and_customers_last(spark):
         for k, v in kept.items():
             spark.conf.set(k, v)
     assert plan.count("Exchange hashpartitioning") == 17, plan
+
+
+def test_stage_rows_are_not_shuffled_by_all_their_columns(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        stage = E.queries()["stage_union_distinct"](spark, SF_SMALL)
+        plan = stage._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    keys = [part.split(")")[0] for part in plan.split("Exchange hashpartitioning(")[1:]]
+    assert keys and not [k for k in keys if "order_id" in k]
+    # Strings made of the given columns are made after the joins that move order rows by part.
+    assert not [k for k in keys if "product_name" in k]
