@@ -99,16 +99,17 @@ def fact_key_lookup(stage: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     """Staging rows resolved to surrogate ids by natural key (inner joins).
 
     A NULL in a natural key drops the row; a duplicated natural key in a
-    dimension multiplies it (the quality checks report both).
+    dimension multiplies it (the quality checks report both). Products come first and craftsmen last:
+    each join leaves its key behind, and the widest needn't be shuffled for the others.
     """
     dc = dims["d_craftsman"].select("craftsman_id", *CRAFTSMAN_KEY)
     du = dims["d_customer"].select("customer_id", *CUSTOMER_KEY)
     dp = dims["d_product"].select("product_id", *PRODUCT_KEY)
     src = stage.drop("craftsman_id", "customer_id", "product_id")
     return (
-        src.join(dc, CRAFTSMAN_KEY)
+        src.join(dp, PRODUCT_KEY)
         .join(du, CUSTOMER_KEY)
-        .join(dp, PRODUCT_KEY)
+        .join(dc, CRAFTSMAN_KEY)
         .select(
             "product_id",
             "craftsman_id",
