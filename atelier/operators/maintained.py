@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from atelier.operators.measures import GRAIN_KEYS, order_grain
-from atelier.operators.star import order_rows
+from atelier.operators.star import counted_orders, order_rows
 from atelier.session import materialize
 
 COUNTS = [
@@ -49,7 +49,7 @@ CUSTOMER_VALUES = ["customer_name", "customer_address", "customer_birthday", "cu
 
 def state_of(star: dict[str, DataFrame], orders: DataFrame | None = None) -> DataFrame:
     """The grain of these orders, by default of all."""
-    rows = order_rows(star["f_order"] if orders is None else orders, star["d_craftsman"], star["d_product"])
+    rows = order_rows(counted_orders(star["f_order"] if orders is None else orders), star["d_craftsman"], star["d_product"])
     return order_grain(rows).withColumn("price_sum", F.coalesce("price_sum", F.lit(0)))
 
 

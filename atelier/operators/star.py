@@ -13,6 +13,8 @@ size is under the broadcast threshold, and shuffled otherwise.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
 from atelier.functions.dates import day_diff, month_key
 
 
@@ -34,9 +36,9 @@ def order_rows(
         "customer_id",
         "craftsman_id",
         "product_id",
-        "order_created_date",
-        "order_completion_date",
         "order_status",
+        day_diff("order_completion_date", "order_created_date").alias("diff_order_date"),
+        month_key("order_created_date").alias("report_period"),
     )
     facts = facts.join(d_craftsman.select("craftsman_id"), "craftsman_id", "left_semi")
     if d_customer is not None:
@@ -50,11 +52,16 @@ def order_rows(
         "product_price",
         "product_type",
         "order_status",
-        day_diff("order_completion_date", "order_created_date").alias("diff_order_date"),
-        month_key("order_created_date").alias("report_period"),
+        "diff_order_date",
+        "report_period",
     )
 
 
+def counted_orders(f_order: DataFrame) -> DataFrame:
+    """Orders for the grain, which counts order ids: 0 in place of each, so that no id is shuffled with its order."""
+    return f_order.withColumn("order_id", F.when(F.col("order_id").isNotNull(), F.lit(0)))
+
+
 def customer_attributes(d_customer: DataFrame) -> DataFrame:
     return d_customer.select(
         "customer_id", "customer_name", "customer_address", "customer_birthday", "customer_email"

@@ -374,10 +374,16 @@ def previous_star(star: dict[str, DataFrame], watermark) -> dict[str, DataFrame]
     return prev
 
 
+def _stored_star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The star with its fact written once, for queries that read the fact several times."""
+    star = fx.star_schema(spark, sf_dir)
+    return star | {"f_order": materialize(star["f_order"], "orders")}
+
+
 @register("mart_incremental")
 def q_mart_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Full refresh of the earlier state, then an incremental refresh to now."""
-    star = fx.star_schema(spark, sf_dir)
+    star = _stored_star(spark, sf_dir)
     before = mart_plan.full_mart(previous_star(star, WATERMARK))
     after = mart_plan.incremental_mart(before, star, WATERMARK)
     return report_types(after.select(*MART_BUSINESS_COLS))
@@ -385,7 +391,7 @@ def q_mart_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- C5, C12, A6, W1, W4 from a change feed and maintained state -----------------------
 def _states(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
-    star = fx.star_schema(spark, sf_dir)
+    star = _stored_star(spark, sf_dir)
     return changes.star_before(star), changes.star_after(star)
 
 
@@ -421,7 +427,7 @@ def q_mart_maintained(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mart before the load, refreshed from the state and its change; ids included."""
     before, after = _states(spark, sf_dir)
     state = materialize(maintained.state_of(before), "state")
-    mart = materialize(mart_plan.with_mart_ids(mart_plan.mart_of_grain(state, before["d_customer"])), "mart-before")
+    mart = mart_plan.with_mart_ids(mart_plan.mart_of_grain(state, before["d_customer"]))
     change = _state_change(before, after)
     moved = maintained.other_values(
         before["d_customer"], after["d_customer"], "customer_id", maintained.CUSTOMER_VALUES, changes.CHANGED_AFTER
