@@ -38,7 +38,7 @@ from atelier.operators.ranking import (
     top_craftsman_one,
     top_craftsman_ties,
 )
-from atelier.operators.star import customer_attributes, order_rows
+from atelier.operators.star import counted_orders, customer_attributes, order_rows
 from atelier.schemas import MART, MART_BUSINESS_COLS
 from atelier.session import materialize
 
@@ -54,7 +54,7 @@ def intended_mart(star: dict[str, DataFrame], customers: DataFrame | None = None
     again, and a lost executor re-reads it rather than recomputing the fact
     join.
     """
-    fo = star["f_order"]
+    fo = counted_orders(star["f_order"])
     if customers is not None:
         fo = fo.join(customers.select("customer_id"), "customer_id", "left_semi")
     rows = order_rows(fo, star["d_craftsman"], star["d_product"])
@@ -62,14 +62,19 @@ def intended_mart(star: dict[str, DataFrame], customers: DataFrame | None = None
 
 
 def mart_of_grain(grain: DataFrame, d_customer: DataFrame) -> DataFrame:
-    """Mart business columns from the level-1 grain, which is read three times."""
+    """Mart business columns from the level-1 grain, which is read three times.
+
+    Categories are counted and ranked where the grain's rows lie by customer and month, as the measures do, so
+    the two are joined in place and customers' attributes are added after the last shuffle of the months.
+    """
     measures = finish_measures(month_measures(grain, CUSTOMER_MONTH))
     top_craft = top_craftsman_one(craftsman_counts(grain))
-    top_cat = top_category_by_count(category_counts(grain, CUSTOMER_MONTH), CUSTOMER_MONTH)
+    by_month = grain.repartition(*CUSTOMER_MONTH)
+    top_cat = top_category_by_count(category_counts(by_month, CUSTOMER_MONTH), CUSTOMER_MONTH)
     out = (
-        measures.join(customer_attributes(d_customer), "customer_id")
+        measures.join(top_cat, CUSTOMER_MONTH, "left")
+        .join(customer_attributes(d_customer), "customer_id")
         .join(top_craft, "customer_id")
-        .join(top_cat, CUSTOMER_MONTH, "left")
     )
     return out.select(*MART_BUSINESS_COLS)
 

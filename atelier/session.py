@@ -124,5 +124,5 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     re-reads the files instead of recomputing the lineage.
     """
     path = scratch_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.parquet(path)
