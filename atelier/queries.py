@@ -98,8 +98,8 @@ def q_mart_full(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # --- S1, J1-J3, X1, A12 ------------------------------------------------------
-def _sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return fx.source_tables(spark, sf_dir)
+def _sources(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
+    return fx.source_tables(spark, sf_dir, *names)
 
 
 def _stage(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -108,18 +108,18 @@ def _stage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("src_wide")
 def q_src_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cons.scan_wide(_sources(spark, sf_dir)[cons.SOURCE1_WIDE])
+    return cons.scan_wide(_sources(spark, sf_dir, cons.SOURCE1_WIDE)[cons.SOURCE1_WIDE])
 
 
 @register("src2_join")
 def q_src2_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    src = _sources(spark, sf_dir)
+    src = _sources(spark, sf_dir, cons.SOURCE2_MASTERS_PRODUCTS, cons.SOURCE2_ORDERS_CUSTOMERS)
     return cons.join_source2(src[cons.SOURCE2_MASTERS_PRODUCTS], src[cons.SOURCE2_ORDERS_CUSTOMERS])
 
 
 @register("src3_join")
 def q_src3_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    src = _sources(spark, sf_dir)
+    src = _sources(spark, sf_dir, cons.SOURCE3_ORDERS, cons.SOURCE3_CRAFTSMEN, cons.SOURCE3_CUSTOMERS)
     return cons.join_source3(
         src[cons.SOURCE3_ORDERS], src[cons.SOURCE3_CRAFTSMEN], src[cons.SOURCE3_CUSTOMERS]
     )
@@ -127,7 +127,7 @@ def q_src3_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("src_external_join")
 def q_src_external_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    src = _sources(spark, sf_dir)
+    src = _sources(spark, sf_dir, cons.EXTERNAL_ORDERS, cons.EXTERNAL_CUSTOMERS)
     return cons.join_external(src[cons.EXTERNAL_ORDERS], src[cons.EXTERNAL_CUSTOMERS])
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import contextlib
 import tempfile
+import threading
 import uuid
 from contextvars import ContextVar
 
@@ -114,9 +115,39 @@ def scratch_scope(spark: SparkSession):
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: Spark's setting by which a command's shuffle files go when it ends; else they stay until the driver's garbage collection.
+SHUFFLE_CLEANUP_CONF = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Writes that are running, and what the setting was before them, by session.
+_WRITES: dict[int, tuple[int, str | None]] = {}
+_WRITES_LOCK = threading.Lock()
+
+
+@contextlib.contextmanager
+def freed_shuffles(spark: SparkSession):
+    """Remove the shuffle files of a write made inside when it has ended: what was written is read instead of them.
+
+    Only the write itself belongs inside. A frame made there loses its shuffles after its first action too.
+    """
+    key = id(spark)
+    with _WRITES_LOCK:
+        running, earlier = _WRITES.get(key) or (0, spark.conf.get(SHUFFLE_CLEANUP_CONF, None))
+        _WRITES[key] = running + 1, earlier
+        spark.conf.set(SHUFFLE_CLEANUP_CONF, "true")
+    try:
+        yield
+    finally:
+        with _WRITES_LOCK:
+            running, earlier = _WRITES[key]
+            if running > 1:
+                _WRITES[key] = running - 1, earlier
+            else:
+                del _WRITES[key]
+                spark.conf.unset(SHUFFLE_CLEANUP_CONF) if earlier is None else spark.conf.set(SHUFFLE_CLEANUP_CONF, earlier)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Cut lineage: write ``df`` as a parquet table in the shared checkpoint
-    folder and read it back.
+    folder and read it back. The shuffles of the write go with it.
 
     One job computes and writes the data (``Dataset.checkpoint`` on an
     unpersisted frame computes it twice: once to count, once to write), and
@@ -124,5 +155,6 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     re-reads the files instead of recomputing the lineage.
     """
     path = scratch_dir(df.sparkSession, label)
-    df.write.option("compression", "zstd").parquet(path)
+    with freed_shuffles(df.sparkSession):
+        df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.parquet(path)

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from atelier.schemas import CRAFTSMAN_COLS, CUSTOMER_COLS, ORDER_COLS, PRODUCT_COLS
+from atelier.session import freed_shuffles, scratch_dir
 
 # ---------------------------------------------------------------------------
 # Fixed values of the fixture mapping (FIXTURES.md §2).
@@ -62,15 +63,19 @@ def _order_status() -> Column:
     )
 
 
-def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """lineitem JOIN orders, with the columns that the mapping needs."""
-    li = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", _order_status().alias("order_status")
-    )
-    orders = table(spark, sf_dir, "orders").select(
+def _line_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", _order_status().alias("order_status"))
+
+
+def _order_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"), "o_custkey", F.col("o_orderdate").cast("date").alias("order_created_date")
     )
-    return li.join(orders, "l_orderkey")
+
+
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem JOIN orders, with the columns that the mapping needs."""
+    return _line_columns(spark, sf_dir).join(_order_columns(spark, sf_dir), "l_orderkey")
 
 
 def _order_id() -> Column:
@@ -180,6 +185,20 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Key and given columns of what a line is joined with.
+LINE_DIMS = {
+    "supplier": ("l_suppkey", ["s_suppkey", "s_name", "s_nationkey"]),
+    "part": ("l_partkey", ["p_partkey", "p_name", "p_brand", "p_type", "p_retailprice"]),
+    "customer": ("o_custkey", ["c_custkey", "c_name", "c_nationkey"]),
+}
+
+
+def _with_dim(spark: SparkSession, sf_dir: str, rows: DataFrame, name: str, hashed: bool = False) -> DataFrame:
+    key, columns = LINE_DIMS[name]
+    dim = table(spark, sf_dir, name).select(*[_product_price().alias(c) if c == "p_retailprice" else F.col(c) for c in columns])
+    return rows.join(dim.hint("shuffle_hash") if hashed else dim, F.col(key) == F.col(columns[0]))
+
+
 def _joined_lines(spark: SparkSession, sf_dir: str, last: str, *slices: int) -> DataFrame:
     """Lines with their supplier, part and customer in the given columns (the price whole), in these slices, by default all.
 
@@ -188,20 +207,11 @@ def _joined_lines(spark: SparkSession, sf_dir: str, last: str, *slices: int) ->
     columns instead of the strings and dates made of them. Customers are joined last by hash: of the rows shuffled
     for it only the customers' are held in memory.
     """
-    dims = {
-        "supplier": ("l_suppkey", ["s_suppkey", "s_name", "s_nationkey"]),
-        "part": ("l_partkey", ["p_partkey", "p_name", "p_brand", "p_type", _product_price().alias("p_retailprice")]),
-        "customer": ("o_custkey", ["c_custkey", "c_name", "c_nationkey"]),
-    }
     joined = _lines(spark, sf_dir)
     if slices:
         joined = joined.filter((_order_id() % SOURCE_SLICES).isin(*slices))
-    for name in sorted(dims, key=lambda d: d == last):
-        key, columns = dims[name]
-        rows = table(spark, sf_dir, name).select(*columns)
-        if name == last == "customer":
-            rows = rows.hint("shuffle_hash")
-        joined = joined.join(rows, F.col(key) == F.col(columns[0]))
+    for name in sorted(LINE_DIMS, key=lambda d: d == last):
+        joined = _with_dim(spark, sf_dir, joined, name, hashed=name == last == "customer")
     return joined
 
 
@@ -223,38 +233,79 @@ def _distinct_in_order(df: DataFrame, *first: str) -> DataFrame:
     return df.withColumn("_copy", copy).where(F.col("_copy") == 1).drop("_copy")
 
 
-def source_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The eight reference source tables, keyed by their reference names.
+SLICE = "order_slice"
+#: Which slices a source table is made of.
+SOURCE_TABLES = {
+    "source1.craft_market_wide": (0, 1),
+    "source2.craft_market_masters_products": (1,),
+    "source2.craft_market_orders_customers": (1,),
+    "source3.craft_market_orders": (2,),
+    "source3.craft_market_craftsmans": (2,),
+    "source3.craft_market_customers": (2,),
+    "external_source.craft_products_orders": (3,),
+    "external_source.customers": (3,),
+}
+
 
-    Each is made by the joins in the order that leaves its rows by the key it is joined on next.
+def _stored_lines(spark: SparkSession, sf_dir: str, *slices: int) -> DataFrame:
+    """The rows of ``_joined_lines`` in these slices, written once: all source tables are columns of them.
+
+    Customers are joined to the orders, of which there are fewer, and parts come last, so no line is shuffled
+    with a part's strings. The files have a folder for each slice, in which the rows lie by part.
     """
+    lines = _line_columns(spark, sf_dir).filter((_order_id() % SOURCE_SLICES).isin(*slices))
+    lines = lines.join(_with_dim(spark, sf_dir, _order_columns(spark, sf_dir), "customer").drop("o_custkey"), "l_orderkey")
+    for name in ("supplier", "part"):
+        lines = _with_dim(spark, sf_dir, lines, name).drop(LINE_DIMS[name][0])
+    lines = _with_line_keys(lines).withColumn(SLICE, (_order_id() % SOURCE_SLICES).cast("int")).drop("l_partkey", "l_suppkey")
+    path = scratch_dir(spark, "source-lines")
+    with freed_shuffles(spark):
+        lines.sortWithinPartitions(SLICE, "p_partkey").write.option("compression", "zstd").partitionBy(SLICE).parquet(path)
+    return spark.read.schema(lines.schema).parquet(path)
+
+
+def _with_line_keys(joined: DataFrame) -> DataFrame:
+    """The keys that lines were joined on, which stand in their part and supplier already."""
+    return joined.withColumns({"l_partkey": F.col("p_partkey"), "l_suppkey": F.col("s_suppkey")})
 
-    def lines(last: str, *slices: int) -> DataFrame:
-        return _joined_lines(spark, sf_dir, last, *slices)
 
+def source_tables(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
+    """The eight reference source tables, or those named, keyed by their reference names.
+
+    Lines that must lie by a key next are shuffled in the given columns, before the mapping makes more of them; those
+    that a small table may be joined to in place are left to the planner.
+    """
+    names = names or tuple(SOURCE_TABLES)
+    stored = _stored_lines(spark, sf_dir, *sorted({k for name in names for k in SOURCE_TABLES[name]}))
     product, craftsman, customer = (F.col(k) for k in ("p_partkey", "s_suppkey", "c_custkey"))
-    return {
-        "source1.craft_market_wide": lines("customer", 0, 1).select(
+
+    def rows(name: str, *by: Column, distinct: str | None = None) -> DataFrame:
+        lines = stored.where(F.col(SLICE).isin(*SOURCE_TABLES[name]))
+        if distinct:  # the mapping keeps different rows different
+            return lines.select(*LINE_DIMS[distinct][1]).distinct()
+        return _with_line_keys(lines.repartition(*by) if by else lines)
+
+    made = {
+        "source1.craft_market_wide": lambda name: rows(name, customer).select(
             *_order_attrs(), *_craftsman_attrs(), *_product_attrs(), *_customer_attrs()
         ),
-        "source2.craft_market_masters_products": _distinct_in_order(
-            lines("part", 1).repartition(product, craftsman).select(*_craftsman_attrs(), *_product_attrs()),
-            "product_id",
-            "craftsman_id",
+        "source2.craft_market_masters_products": lambda name: _distinct_in_order(
+            rows(name, product, craftsman).select(*_craftsman_attrs(), *_product_attrs()), "product_id", "craftsman_id"
+        ),
+        "source2.craft_market_orders_customers": lambda name: rows(name, product, craftsman).select(
+            *_order_attrs(), *_customer_attrs(), product.alias("product_id"), craftsman.alias("craftsman_id")
         ),
-        "source2.craft_market_orders_customers": lines("customer", 1)
-        .repartition(product, craftsman)
-        .select(*_order_attrs(), *_customer_attrs(), product.alias("product_id"), craftsman.alias("craftsman_id")),
-        "source3.craft_market_orders": lines("supplier", 2).select(
+        "source3.craft_market_orders": lambda name: rows(name).select(
             *_order_attrs(), *_product_attrs(), craftsman.alias("craftsman_id"), customer.alias("customer_id")
         ),
-        "source3.craft_market_craftsmans": lines("supplier", 2).select(*_craftsman_attrs()).distinct(),
-        "source3.craft_market_customers": lines("customer", 2).select(*_customer_attrs()).distinct(),
-        "external_source.craft_products_orders": lines("customer", 3).select(
+        "source3.craft_market_craftsmans": lambda name: rows(name, distinct="supplier").select(*_craftsman_attrs()),
+        "source3.craft_market_customers": lambda name: rows(name, distinct="customer").select(*_customer_attrs()),
+        "external_source.craft_products_orders": lambda name: rows(name, customer).select(
             *_order_attrs(), *_craftsman_attrs(), *_product_attrs(), customer.alias("customer_id")
         ),
-        "external_source.customers": lines("customer", 3).select(*_customer_attrs()).distinct(),
+        "external_source.customers": lambda name: rows(name, distinct="customer").select(*_customer_attrs()),
     }
+    return {name: made[name](name) for name in names}
 
 
 def star_schema(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:

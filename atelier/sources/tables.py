@@ -40,6 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from atelier.functions.conform import conform
+from atelier.session import freed_shuffles
 from atelier.sources.clustered import Clustering, write_clustered
 
 COMMITS = "_commits"
@@ -415,6 +416,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
 
 def write_stage(df: DataFrame, path: str) -> DataFrame:
-    """Materialise a stage as files (the drafts' DROP + CREATE TABLE AS)."""
-    df.write.mode("overwrite").parquet(path)
+    """Materialise a stage as files (the drafts' DROP + CREATE TABLE AS). The shuffles of the write go with it."""
+    with freed_shuffles(df.sparkSession):
+        df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return df.sparkSession.read.parquet(path)
