@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from atelier.operators.keys import assign_ids_counted
-from atelier.session import materialize
+from atelier.session import freed_shuffles, materialize
 from atelier.sources.clustered import keyed
 
 
@@ -65,12 +65,13 @@ def _eq(left: DataFrame, right: DataFrame, keys: list[str], prefix: str) -> Colu
 
 def check_no_conflicts(matched: DataFrame, keys: list[str], id_col: str) -> None:
     """Raise ``MergeConflict`` when two source rows matched one target row (one aggregate job)."""
-    per_row = matched.groupBy(id_col).agg(F.count(F.lit(1)).alias("source_rows"), F.min(F.struct(*keys)).alias("key"))
-    stats = (
-        per_row.filter((F.col("source_rows") > 1) & F.col(id_col).isNotNull())
-        .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "source_rows")).alias("example"))
-        .first()
-    )
+    with freed_shuffles(matched.sparkSession):
+        per_row = matched.groupBy(id_col).agg(F.count(F.lit(1)).alias("source_rows"), F.min(F.struct(*keys)).alias("key"))
+        stats = (
+            per_row.filter((F.col("source_rows") > 1) & F.col(id_col).isNotNull())
+            .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "source_rows")).alias("example"))
+            .first()
+        )
     if stats["n"]:
         raise MergeConflict(
             f"{stats['n']} target rows matched by several source rows, e.g. {stats['example']}"

@@ -95,6 +95,10 @@ def merge_dimension_counted(
     )
 
 
+#: What the lookups take of a stage.
+LOOKUP_COLS = [*PRODUCT_KEY, *CUSTOMER_KEY, *CRAFTSMAN_KEY, "order_created_date", "order_completion_date", "order_status"]
+
+
 def fact_key_lookup(stage: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     """Staging rows resolved to surrogate ids by natural key (inner joins).
 

@@ -40,7 +40,7 @@ from atelier.operators.star import order_rows
 from atelier.plans import load
 from atelier.plans import mart as mart_plan
 from atelier.schemas import D_CUSTOMER, F_ORDER, MART, MART_BUSINESS_COLS, MART_NOT_NULL, ORDER_KEY, PRICE
-from atelier.session import materialize, scratch_dir
+from atelier.session import materialize, scratch_dir, scratch_scope
 from atelier.sources import changes, tables
 from atelier.sources import fixtures as fx
 from atelier.sources.clustered import Clustering
@@ -106,6 +106,13 @@ def _stage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cons.consolidate_sources(_sources(spark, sf_dir))
 
 
+def _stored_stage(spark: SparkSession, sf_dir: str, columns: list[str]) -> DataFrame:
+    """Columns of the stage, written as the load does it: neither what it was made of nor its shuffles stay beside those of later steps."""
+    path = scratch_dir(spark, "tmp-sources")
+    with scratch_scope(spark):
+        return tables.write_stage(_stage(spark, sf_dir).select(*columns), path)
+
+
 @register("src_wide")
 def q_src_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cons.scan_wide(_sources(spark, sf_dir, cons.SOURCE1_WIDE)[cons.SOURCE1_WIDE])
@@ -509,7 +516,7 @@ def q_merge_order_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
         _earlier_orders(star), root, F_ORDER, id_col="order_id", partition=load.order_partition(), clustering=layout
     )
     base = tables.current_commit(spark, root)
-    load.load_orders(spark, _stage(spark, sf_dir), star, root, AS_OF, base, buckets=layout.buckets)
+    load.load_orders(spark, _stored_stage(spark, sf_dir, load.LOOKUP_COLS), star, root, AS_OF, base, buckets=layout.buckets)
     return _stored_dates(spark, root, F_ORDER)
 
 

@@ -124,9 +124,9 @@ _WRITES_LOCK = threading.Lock()
 
 @contextlib.contextmanager
 def freed_shuffles(spark: SparkSession):
-    """Remove the shuffle files of a write made inside when it has ended: what was written is read instead of them.
+    """Remove the shuffle files of a write or another action made inside when it has ended.
 
-    Only the write itself belongs inside. A frame made there loses its shuffles after its first action too.
+    Only that action, and frames that nothing else reads, belong inside: a frame made there loses its shuffles after its first action.
     """
     key = id(spark)
     with _WRITES_LOCK:

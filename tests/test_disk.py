@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import datetime as dt
+import glob
 import time
 
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__  # noqa: F401
+from atelier import queries as Q
 from atelier.operators import consolidate as cons
-from atelier.session import SHUFFLE_CLEANUP_CONF, freed_shuffles, materialize
+from atelier.session import SHUFFLE_CLEANUP_CONF, checkpoint_root, freed_shuffles, materialize
 from atelier.sources import fixtures as fx
 from test_shuffles import joined_by_shuffles  # noqa: F401
 
@@ -104,3 +107,49 @@ def test_source_tables_have_the_rows_of_the_joined_tables(spark, four_slices):
         assert sorted(map(str, found[name].collect())) == sorted(map(str, rows.collect())) != [], name
         alone = fx.source_tables(spark, four_slices, name)
         assert list(alone) == [name] and alone[name].count() == rows.count()
+
+
+@pytest.fixture
+def many_lines(spark, workdir):
+    """4,000 lines of 1,000 orders, each key once; 97 suppliers, 89 parts and 83 customers."""
+    lines = spark.range(4000)
+    tables = {
+        "supplier": spark.range(97).selectExpr("id as s_suppkey", "concat('s', id) as s_name", "cast(id % 5 as int) as s_nationkey"),
+        "part": spark.range(89).selectExpr(
+            "id as p_partkey", "concat('p', id % 9) as p_name", "concat('b', id % 7) as p_brand", "concat('t', id % 11) as p_type", "id * 1.5D as p_retailprice"
+        ),
+        "customer": spark.range(83).selectExpr("id as c_custkey", "concat('c', id) as c_name", "cast(id % 5 as int) as c_nationkey"),
+        "orders": spark.range(1000).selectExpr(
+            "id as o_orderkey", "id % 83 as o_custkey", "cast(date_add(date'1996-01-01', cast(id * 2 as int)) as timestamp) as o_orderdate"
+        ),
+        "lineitem": lines.selectExpr(
+            "id % 1000 as l_orderkey", "id % 89 as l_partkey", "(id * 7) % 97 as l_suppkey", "element_at(array('R', 'A', 'N'), cast(1 + id % 3 as int)) as l_returnflag",
+            "if(id % 2 = 0, 'F', 'O') as l_linestatus",
+        ),
+    }
+    for name, df in tables.items():
+        df.write.parquet(f"{workdir}/{name}.parquet")
+    return workdir
+
+
+def shuffled_bytes(spark, earlier: set[str]) -> int:
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    files = [files.apply(k) for k in range(files.size())]
+    return sum(f.length() for f in files if f.getName().startswith("shuffle_") and f.getName().endswith(".data") and f.getName() not in earlier)
+
+
+def scratch_folders(spark, label: str) -> list[str]:
+    return glob.glob(f"{checkpoint_root(spark).removeprefix('file:')}/atelier-{label}-*")
+
+
+@pytest.mark.parametrize("name", ["merge_order_clustered"])
+def test_shuffles_of_earlier_steps_have_gone(spark, many_lines, joined_by_shuffles, name):  # noqa: F811
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    earlier, sources = shuffle_files(spark), scratch_folders(spark, "source-lines")
+    result = Q.all_queries()[name](spark, many_lines)
+    time.sleep(2)
+    left = shuffled_bytes(spark, earlier)
+    # What is left are the counts of a few collected groups: no shuffle of the lines.
+    assert left < 50_000, left
+    assert scratch_folders(spark, "source-lines") == sources
+    assert name == "mart_incremental" or result.count() == 4000
