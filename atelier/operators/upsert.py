@@ -159,7 +159,8 @@ def merge_upsert_counted(
     )
     new_rows = met.filter(F.col(id_col).isNull()).select(*src_cols)
     if base_id is None:
-        base_id = target.agg(F.max(id_col).alias("m")).first()["m"]
+        with freed_shuffles(target.sparkSession):
+            base_id = target.agg(F.max(id_col).alias("m")).first()["m"]
     base = base_id or 0
     inserted, max_id = assign_ids_counted(
         new_rows, keys + [c for c in src_cols if c not in keys], id_col, base

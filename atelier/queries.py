@@ -229,7 +229,7 @@ def _earlier_orders(star: dict[str, DataFrame]) -> DataFrame:
 @register("merge_order")
 def q_merge_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     star = fx.star_schema(spark, sf_dir)
-    return load.merge_orders(_earlier_orders(star), _stage(spark, sf_dir), star, AS_OF)
+    return load.merge_orders(_earlier_orders(star), _stored_stage(spark, sf_dir, load.LOOKUP_COLS), star, AS_OF)
 
 
 @register("merge_conflicts")
