@@ -142,7 +142,7 @@ def scratch_folders(spark, label: str) -> list[str]:
     return glob.glob(f"{checkpoint_root(spark).removeprefix('file:')}/atelier-{label}-*")
 
 
-@pytest.mark.parametrize("name", ["merge_order_clustered", "merge_order"])
+@pytest.mark.parametrize("name", ["merge_order_clustered", "merge_order", "mart_incremental"])
 def test_shuffles_of_earlier_steps_have_gone(spark, many_lines, joined_by_shuffles, name):  # noqa: F811
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     earlier, sources = shuffle_files(spark), scratch_folders(spark, "source-lines")
