@@ -191,7 +191,7 @@ def q_merge_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("fact_key_lookup")
 def q_fact_key_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return load.fact_key_lookup(_stage(spark, sf_dir), fx.star_schema(spark, sf_dir))
+    return load.fact_key_lookup(_stored_stage(spark, sf_dir, load.LOOKUP_COLS), fx.star_schema(spark, sf_dir))
 
 
 def _fractional(df: DataFrame) -> DataFrame:
