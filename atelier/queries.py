@@ -208,7 +208,8 @@ def q_merge_product_fractional(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("fact_key_lookup_fractional")
 def q_fact_key_lookup_fractional(spark: SparkSession, sf_dir: str) -> DataFrame:
     star = fx.star_schema(spark, sf_dir)
-    return load.fact_key_lookup(_fractional(_stage(spark, sf_dir)), dict(star, d_product=_fractional(star["d_product"])))
+    stage = _fractional(_stored_stage(spark, sf_dir, ["product_id", *load.LOOKUP_COLS]))
+    return load.fact_key_lookup(stage, dict(star, d_product=_fractional(star["d_product"])))
 
 
 def _earlier_orders(star: dict[str, DataFrame]) -> DataFrame:

@@ -142,7 +142,7 @@ def scratch_folders(spark, label: str) -> list[str]:
     return glob.glob(f"{checkpoint_root(spark).removeprefix('file:')}/atelier-{label}-*")
 
 
-@pytest.mark.parametrize("name", ["merge_order_clustered", "merge_order", "mart_incremental", "fact_key_lookup"])
+@pytest.mark.parametrize("name", ["merge_order_clustered", "merge_order", "mart_incremental", "fact_key_lookup", "fact_key_lookup_fractional"])
 def test_shuffles_of_earlier_steps_have_gone(spark, many_lines, joined_by_shuffles, name):  # noqa: F811
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     earlier, sources = shuffle_files(spark), scratch_folders(spark, "source-lines")
@@ -155,7 +155,7 @@ def test_shuffles_of_earlier_steps_have_gone(spark, many_lines, joined_by_shuffl
     assert name == "mart_incremental" or result.count() == 4000
 
 
-@pytest.mark.parametrize("name", ["fact_key_lookup"])
+@pytest.mark.parametrize("name", ["fact_key_lookup", "fact_key_lookup_fractional"])
 def test_lookups_read_a_written_stage(spark, many_lines, name):
     files = Q.all_queries()[name](spark, many_lines).inputFiles()
     assert any("atelier-tmp-sources" in f for f in files)
